@@ -3,16 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmark.catalog import inputs as bind
 from siftmark.catalog.inputs import Inputs
+from siftmark.functions.columns import contains_any
+from siftmark.operators import latest, setops, topk
+from siftmark.operators import profile as profiles
 from siftmark.operators.growth import cagr_name, growth_metrics
+from siftmark.operators.joins import lookup_join
+from siftmark.operators.latest import compare_back
+from siftmark.operators.profile import attribute_profile
+from siftmark.operators.rank import percent_ranks
+from siftmark.operators.reconcile import method_counts, name_mapping
+from siftmark.operators.reshape import attributes_present, category_matches, choose_attributes, pivot_present
+from siftmark.plans import audit, feeds
+from siftmark.plans import recommend as rec
 from siftmark.plans import warehouse as wh
-from siftmark.spec import MarketSpec
+from siftmark.sources.readers import read_csv, read_csv_after_preamble
+from siftmark.sources.scratch import scratch_folder
+from siftmark.sources.writers import export_tables
+from siftmark.spec import SUSPICIOUS_TOKENS, MarketSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +67,684 @@ def top_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_attractiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.customer_inputs(spark, sf_dir)
     return round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim)))
+
+
+@query
+def market_attractiveness_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranking through the bucketed ranks that large sets use."""
+    i = bind.customer_inputs(spark, sf_dir)
+    return round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=False))
+
+
+@query
+def percent_rank_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of every line item: one metric with few ties, two with very many."""
+    lines = bind.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"
+    )
+    ranked = percent_ranks(
+        lines, {"price_rank": "l_extendedprice", "quantity_rank": "l_quantity", "discount_rank": "l_discount"},
+        small=False,
+    )
+    return ranked.withColumns({c: F.round(c, 9) for c in ("price_rank", "quantity_rank", "discount_rank")})
+
+
+@query
+def recommend_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return round_score(rec.recommend(
+        snapshot_of(i), i.spec, regions=["ASIA", "EUROPE"], weights=(2.0, 1.0, 1.0, 0.0), small=wh.small_ranking(i.dim)
+    ))
+
+
+def scenario_tops(i: Inputs) -> DataFrame:
+    return rec.weight_scenarios(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim))
+
+
+@query
+def weight_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_score(scenario_tops(bind.customer_inputs(spark, sf_dir)))
+
+
+@query
+def scenario_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return rec.ranked_lists(scenario_tops(i), i.spec)
+
+
+@query
+def scenario_distinct_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return rec.distinct_lists(scenario_tops(i), i.spec)
+
+
+REGION_CHOICES = {"all": None, "asia": ["ASIA"], "africa": ["AFRICA"]}
+
+
+def region_tops(i: Inputs) -> DataFrame:
+    return rec.region_scenarios(snapshot_of(i), i.spec, REGION_CHOICES, small=wh.small_ranking(i.dim))
+
+
+@query
+def region_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_score(region_tops(bind.customer_inputs(spark, sf_dir)))
+
+
+@query
+def component_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return audit.ranking_leaders(snapshot_of(i), i.spec)
+
+
+@query
+def component_leaders_lowest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return audit.ranking_leaders(snapshot_of(i), i.spec, "lowest")
+
+
+@query
+def recommend_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.nation_inputs(spark, sf_dir)
+    top = rec.recommend(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim))
+    return rec.recommendation_cards(top, i.spec, {"NATION_7": "A note of its own."})
+
+
+@query
+def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return rec.display_table(rec.recommend(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim)), i.spec)
+
+
+# Facts and views
+
+@query
+def pivot_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bind.supplier_inputs(spark, sf_dir).fact
+
+
+@query
+def pivot_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pivot by preference lists; one measure has no attribute in the data and is left out."""
+    i = bind.balance_inputs(spark, sf_dir)
+    targets = {
+        "consumption": ["0-ABSENT", "1-URGENT/F"], "production": ["1-URGENT/O"],
+        "re_exports": ["9-ABSENT/F"], "pending": ["1-URGENT/P", "2-HIGH/P"],
+    }
+    return pivot_present(i.long, i.spec, targets).fact
+
+
+@query
+def entity_period_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics_of(bind.supplier_inputs(spark, sf_dir))
+
+
+@query
+def growth_metrics_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.nation_inputs(spark, sf_dir)
+    return round_growth(growth_metrics(i.fact, i.spec), i.spec)
+
+
+@query
+def growth_metrics_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return round_growth(growth_metrics(i.fact, i.spec), i.spec)
+
+
+@query
+def growth_exact_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return round_growth(growth_metrics(i.fact, i.spec, exact_period=True), i.spec)
+
+
+@query
+def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot_of(bind.supplier_inputs(spark, sf_dir))
+
+
+TOTALS = ("total_consumption", "total_production", "total_imports", "total_exports")
+
+
+def trends_of(i: Inputs) -> DataFrame:
+    return wh.global_trends(i.fact, i.spec).withColumns({c: F.round(c, 2) for c in TOTALS})
+
+
+@query
+def global_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trends_of(bind.supplier_inputs(spark, sf_dir)).orderBy("period")
+
+
+@query
+def trend_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.nation_inputs(spark, sf_dir)
+    rows = feeds.trend_range(trends_of(i), i.spec, 1997, 2001)
+    return rows.withColumns({c: F.round(c, 5) for c in ("consumption_thousands", "production_thousands")})
+
+
+@query
+def overview_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.nation_inputs(spark, sf_dir)
+    row = feeds.endpoint_growth(trends_of(i), i.spec, 1995, 2000)
+    return row.withColumns({"latest_thousands": F.round("latest_thousands", 5), "growth_pct": F.round("growth_pct", 7)})
+
+
+@query
+def trend_vs_five_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.nation_inputs(spark, sf_dir)
+    return compare_back(trends_of(i), i.spec.period, "total_consumption", 5)
+
+
+@query
+def region_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    totals = feeds.region_totals(metrics_of(i), i.spec, 2000)
+    return totals.withColumn("total_consumption", F.round("total_consumption", 2)).orderBy(F.desc("total_consumption"))
+
+
+@query
+def region_totals_with_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    totals = feeds.region_totals(metrics_of(i), i.spec, 2000, keep_unknown=True)
+    return totals.withColumn("total_consumption", F.round("total_consumption", 2))
+
+
+@query
+def comparison_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return feeds.comparison_feed(snapshot_of(i), i.spec, ["ASIA", "AMERICA", "AFRICA"])
+
+
+@query
+def headline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return latest.headline_rows(metrics_of(i), i.spec.entity, i.spec.period, i.spec.population)
+
+
+@query
+def deep_dive_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return feeds.deep_dive_headlines(metrics_of(i), i.spec)
+
+
+@query
+def entity_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return feeds.entity_series(metrics_of(i), i.spec, 7).orderBy("period")
+
+
+@query
+def opportunity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return feeds.opportunity_lines(snapshot_of(i), i.spec)
+
+
+@query
+def selector_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the controls offer: regions, entities and the period bounds."""
+    i = bind.customer_inputs(spark, sf_dir)
+    regions = feeds.region_choices(i.dim, i.spec).select(F.lit("region").alias("control"), F.col("region").alias("choice"))
+    entities = feeds.entity_choices(snapshot_of(i), i.spec).select(F.lit("entity"), F.col("entity_name"))
+    bounds = feeds.period_bounds(i.fact, i.spec).select(
+        F.lit("period"), F.concat_ws("-", F.col("first_period"), F.col("last_period"))
+    )
+    return regions.union(entities).union(bounds)
+
+
+@query
+def latest_n_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return latest.latest_n(i.fact, i.spec.entity, i.spec.period, 3)
+
+
+@query
+def top_n_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return audit.latest_leaders(i.fact, i.spec, "production", 5)
+
+
+@query
+def sparsest_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return topk.sparsest(i.fact, i.spec.entity)
+
+
+@query
+def abs_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    found = audit.growth_outliers(snapshot_of(i), i.spec, 0.05)
+    return found.orderBy(F.abs(cagr_name(5)).desc(), "entity_key")
+
+
+@query
+def sampled_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.sample_keys(bind.table(spark, sf_dir, "orders"), "o_custkey", 3)
+
+
+# Cleaning and reconciliation
+
+OVERRIDES = {f"Alias NATION_{k}": f"N{k:02d}" for k in range(2, 25, 5)}
+EXCLUDED = ("World",)
+
+
+def reference_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation codes with the headers of a raw code file."""
+    return bind.table(spark, sf_dir, "nation").select(
+        F.format_string("N%02d", "n_nationkey").alias("ISO3 CODE"),
+        F.format_string("%02d", "n_nationkey").alias("ISO2 CODE"),
+        F.concat(F.lit(" "), "n_name").alias("LABEL EN"),
+    )
+
+
+def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text row per order, with the nation named as sources tend to: padded, lower-cased, by an alias,
+    as an aggregate, or by an unknown name."""
+    key, nation = F.col("c_nationkey"), F.concat(F.lit("NATION_"), F.col("c_nationkey"))
+    name = (
+        F.when(key.isin(3, 8), "World")
+        .when(key == 4, "Nowhere")
+        .when(key % 5 == 2, F.concat(F.lit("Alias "), nation))
+        .when(key % 5 == 0, F.concat(F.lit("  "), F.lower(nation), F.lit(" ")))
+        .otherwise(nation)
+    )
+    customers = bind.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), name.alias("Country_Name")
+    )
+    orders = bind.table(spark, sf_dir, "orders")
+    bad_value = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    rows = lookup_join(orders, customers, "o_custkey", "inner")
+    return rows.select(
+        "Country_Name",
+        F.year("o_orderdate").cast("string").alias("Market_Year"),
+        F.substring("o_orderpriority", 1, 1).alias("Attribute_ID"),
+        F.col("o_orderpriority").alias("Attribute_Description"),
+        F.when(bad_value, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("Value"),
+        F.lit("(1000 UNITS)").alias("Unit_Description"),
+    )
+
+
+def cleaned_long(raw: DataFrame, codes: DataFrame) -> DataFrame:
+    return wh.clean_long_fact(raw, wh.code_labels(codes), RAW, overrides=OVERRIDES, excluded=EXCLUDED)
+
+
+RAW = MarketSpec()
+
+
+@query
+def clean_long_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaned_long(raw_long(spark, sf_dir), reference_codes(spark, sf_dir))
+
+
+@query
+def name_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_mapping(
+        raw_long(spark, sf_dir), "Country_Name", wh.code_labels(reference_codes(spark, sf_dir)),
+        overrides=OVERRIDES, excluded=EXCLUDED,
+    )
+
+
+@query
+def mapping_method_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return method_counts(name_reconciliation(spark, sf_dir))
+
+
+@query
+def attribute_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes that match a category word, and the one chosen for each category."""
+    long = bind.table(spark, sf_dir, "orders").select(
+        F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("attribute")
+    )
+    words = {"urgent": ("1-URGENT X", "1-URGENT O", "1-URGENT F"), "low": ("5-LOW P",)}
+    chosen = choose_attributes(attributes_present(long, bind.NATION), words)
+    matches = category_matches(long, bind.NATION, list(words))
+    picked = F.create_map(*[F.lit(x) for item in chosen.items() for x in item])
+    return matches.withColumn("chosen", F.col("attribute") == picked[F.col("category")])
+
+
+@query
+def dim_region_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = bind.table(spark, sf_dir, "customer")
+    codes = customer.select(
+        F.col("c_custkey").cast("string").alias("iso3_code"), F.col("c_name").alias("english_name"),
+        F.substring("c_mktsegment", 1, 2).alias("iso2_code"),
+        F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("region"),
+        F.lit("").alias("sub_region"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise("X").alias("continent"),
+    )
+    i = bind.customer_inputs(spark, sf_dir)
+    lookup = i.dim.filter(F.col("continent") != "EUROPE").select(
+        F.col("entity_key").cast("string").alias("iso3_code"), "continent"
+    )
+    return wh.dim_entity(codes, RAW, lookup)
+
+
+CENSUS_YEARS = range(1995, bind.CENSUS_END + 1)
+
+
+def wide_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer as text, one column per year."""
+    orders = bind.table(spark, sf_dir, "orders").select("o_custkey", bind.year("o_orderdate").alias("y"))
+    cells = [F.count_if(F.col("y") == y).alias(str(y)) for y in CENSUS_YEARS]
+    wide = orders.groupBy("o_custkey").agg(*cells)
+    return wide.select(
+        F.concat(F.lit("Customer "), F.col("o_custkey")).alias("Country Name"),
+        F.col("o_custkey").cast("string").alias("Country Code"), F.lit("orders").alias("Indicator"),
+        *[F.when(F.col(str(y)) > 0, F.col(str(y)).cast("string")).alias(str(y)) for y in CENSUS_YEARS],
+    )
+
+
+def automobile_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = bind.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "AUTOMOBILE")
+    return customer.select(F.col("c_custkey").cast("string").alias("iso3_code"))
+
+
+@query
+def unpivot_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide to long, kept for the customers of one market segment (the valid codes)."""
+    return wh.clean_population(wide_population(spark, sf_dir), automobile_codes(spark, sf_dir), RAW)
+
+
+@query
+def csv_roundtrip_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the three raw files as CSV, read them as raw sources, clean them, and total them per entity."""
+    folder = scratch_folder(spark)
+    raw_long(spark, sf_dir).write.option("header", True).csv(f"{folder}/long")
+    reference_codes(spark, sf_dir).write.option("header", True).option("sep", ";").csv(f"{folder}/codes")
+    wide = wide_population(spark, sf_dir)
+    wide.write.csv(f"{folder}/wide/rows")
+    header = ",".join(f'"{c}"' for c in wide.columns)
+    preamble = ['"Data Source","Orders"', " ", '"Last Updated","2001"', " ", header]
+    spark.createDataFrame([(x,) for x in preamble], "value string").coalesce(1).write.text(f"{folder}/wide/head")
+
+    codes = read_csv(spark, f"{folder}/codes", sep=";")
+    long = cleaned_long(read_csv(spark, f"{folder}/long"), codes)
+    population = wh.clean_population(
+        read_csv_after_preamble(spark, f"{folder}/wide/*", header_path=f"{folder}/wide/head"),
+        automobile_codes(spark, sf_dir), RAW,
+    )
+    parts = [
+        wh.clean_codes(codes).groupBy("iso3_code").agg(F.count(F.lit(1)).alias("rows"), F.lit(0.0).alias("total"))
+        .withColumn("source", F.lit("codes")),
+        long.groupBy("iso3_code").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("total"))
+        .withColumn("source", F.lit("long")),
+        population.groupBy("iso3_code").agg(F.count(F.lit(1)).alias("rows"), F.sum("population").alias("total"))
+        .withColumn("source", F.lit("population")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# Profiles
+
+@query
+def attribute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return attribute_profile(i.long, i.spec)["attribute_counts"]
+
+
+@query
+def attribute_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return attribute_profile(i.long, i.spec)["attribute_entities"]
+
+
+@query
+def period_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return attribute_profile(i.long, i.spec)["period_range"]
+
+
+@query
+def top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return attribute_profile(i.long, i.spec)["top_entities"]
+
+
+@query
+def attribute_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return attribute_profile(i.long, i.spec)["attribute_units"]
+
+
+@query
+def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = bind.table(spark, sf_dir, "orders")
+    profile = profiles.dataset_profile(orders, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
+    return profile.drop("type", "position")
+
+
+@query
+def suspicious_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names that contain one of the tokens."""
+    return profiles.suspicious_names(bind.table(spark, sf_dir, "part"), "p_name", ["ring", "BOLT", "union"])
+
+
+@query
+def token_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per language whose whole text contains one of the aggregate tokens."""
+    docs = bind.table(spark, sf_dir, "documents")
+    return docs.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(contains_any("text", SUSPICIOUS_TOKENS)).alias("matching")
+    )
+
+
+# Data quality
+
+@query
+def duplicate_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.duplicate_groups(bind.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and event users without any order."""
+    customers = bind.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_key"))
+    users = bind.table(spark, sf_dir, "events").select(F.col("user_id").alias("entity_key"))
+    ordering = bind.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity_key"))
+    return audit.all_orphans([customers, users], ordering, "entity_key")
+
+
+@query
+def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of orders and line items: in both, and on one side only."""
+    orders = bind.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    lines = bind.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"))
+    both = setops.common_keys(orders, lines, "k").withColumn("side", F.lit("both"))
+    sides = setops.same_keys(orders, lines, "k").union(both)
+    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("keys"))
+
+
+@query
+def null_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return audit.coverage_profile(i.fact, i.population, i.spec, 1998 * 12 + 1)
+
+
+@query
+def join_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return audit.check_coverage(i.fact, i.population, i.spec, since=1999, starts_by=1996, reaches=2001)
+
+
+@query
+def key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
+            "labels": ["doc_id"], "conversations": ["conv_id", "turn"]}
+    reports = [audit.key_report(bind.table(spark, sf_dir, t), k, t) for t, k in keys.items()]
+    return audit.union_checks(reports)
+
+
+@query
+def invalid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.invalid_codes(bind.table(spark, sf_dir, "part"), "p_brand", "^Brand#[0-9]$")
+
+
+@query
+def expected_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    return setops.expected_members(snapshot_of(i), "region", ["ASIA", "EUROPE", "ATLANTIS"])
+
+
+@query
+def freshness_and_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    scored = round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim)))
+    return audit.check_ranking(scored, i.spec, fresh_from=2000)
+
+
+@query
+def missing_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return audit.missing_production(i.fact, i.spec, [1, 2, 3, 5, 8], 24)
+
+
+@query
+def balance_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.balance_inputs(spark, sf_dir)
+    gaps = audit.balance_gaps(i.fact, i.spec)
+    return gaps.withColumns({"supply": F.round("supply", 2), "use": F.round("use", 2), "gap_pct": F.round("gap_pct", 6)})
+
+
+@query
+def trade_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.balance_inputs(spark, sf_dir)
+    totals = {"total_imports": F.round("total_imports", 2), "total_exports": F.round("total_exports", 2)}
+    return audit.trade_gaps(i.fact, i.spec).withColumns(totals).withColumn("gap_pct", F.round("gap_pct", 6))
+
+
+@query
+def trade_gap_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.balance_inputs(spark, sf_dir)
+    return audit.trade_gap_stability(audit.trade_gaps(i.fact, i.spec)).withColumn("gap_spread", F.round("gap_spread", 6))
+
+
+@query
+def formula_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    rows = audit.formula_agreement(snapshot_of(i), i.spec)
+    return rows.withColumn("kg_from_bags", F.round("kg_from_bags", 3)).withColumn("kg_direct", F.round("kg_direct", 3))
+
+
+@query
+def per_capita_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers whose per-capita value misses bounds taken from their account balance."""
+    i = bind.supplier_inputs(spark, sf_dir)
+    bounds = bind.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("entity_key"), F.lit(5e8).alias("low"), (F.col("s_acctbal") * 1e5).alias("high"),
+        (F.col("s_acctbal") < 2000).alias("upper_only"),
+    )
+    return audit.per_capita_outside(snapshot_of(i), bounds, i.spec).select("entity_key", "upper_only", "agrees")
+
+
+@query
+def headline_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    bounds = bind.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("entity_key"), F.lit(5.0).alias("min_population"), F.lit(3e8).alias("low"),
+        (F.col("s_acctbal") * 1e5).alias("high"),
+    )
+    heads = latest.headline_rows(metrics_of(i), "entity_key", "period", "population")
+    return audit.headline_outside(heads, bounds, i.spec).select("entity_key", "period", "population")
+
+
+@query
+def pivot_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells whose source rows are not all equal to the pivoted value: colliding line items."""
+    i = bind.supplier_inputs(spark, sf_dir)
+    return audit.pivot_differences(i.long, i.fact, i.spec)
+
+
+@query
+def layer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per order key in orders and in line items."""
+    orders = bind.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    lines = bind.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"))
+    return audit.compare_key_counts(orders, lines, "k")
+
+
+@query
+def series_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return audit.series_completeness(metrics_of(i), i.spec).withColumn("known_pct", F.round("known_pct", 6))
+
+
+@query
+def export_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    tables = {"dim": i.dim, "fact": i.fact, "population": i.population}
+    return export_tables(tables, scratch_folder(spark))
+
+
+def audit_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Check rows over the nation, supplier and customer bindings."""
+    nat, bal = bind.nation_inputs(spark, sf_dir), bind.balance_inputs(spark, sf_dir)
+    cus = bind.customer_inputs(spark, sf_dir)
+    customers = snapshot_of(cus)
+    scored = component_scores_once(cus, customers)
+    fact, metrics = nat.fact, metrics_of(nat)
+    lines = bind.table(spark, sf_dir, "lineitem")
+    mapping = mapping_method_counts(spark, sf_dir)
+    return [
+        audit.check_layers({"orders": (cus.long, bind.table(spark, sf_dir, "orders"))}),
+        audit.check_empty(audit.duplicate_groups(lines, ["l_orderkey", "l_linenumber"]), "A2", "no duplicate grain"),
+        audit.check_empty(audit.all_orphans([fact, nat.population.select("entity_key")], nat.dim, "entity_key"), "A3", "no orphans"),
+        audit.check_coverage(fact, nat.population, nat.spec, since=1996, starts_by=1996, reaches=2001),
+        audit.check_empty(audit.pivot_differences(nat.long, fact, nat.spec), "A7", "pivot equals source cells"),
+        audit.check_balance(audit.balance_gaps(bal.fact, bal.spec).withColumn("gap_pct", F.round("gap_pct", 6))),
+        audit.check_leads(fact, nat.spec, "B3", 7, "production", 20),
+        audit.check_trade_gap(audit.trade_gaps(bal.fact, bal.spec).withColumn("gap_pct", F.round("gap_pct", 6))),
+        audit.check_no_single_leader(audit.ranking_leaders(customers, cus.spec), cus.spec),
+        audit.check_ranking(scored, cus.spec, fresh_from=2000),
+        audit.check_mapping(mapping, 15, 5),
+        audit.check_table("N1", fact, key="entity_key", value="consumption", period="period",
+                          min_rows=100, min_keys=25, starts_from=1995, reaches=2001),
+        audit.check_members(setops.expected_members(nat.dim, "region", ["ASIA", "EUROPE"]), "G2"),
+        audit.check_any_value(fact, nat.spec, "G3", 3, "consumption"),
+        audit.check_rose(compare_back(trends_of(nat), "period", "total_consumption", 5)),
+        audit.check_range(trends_of(nat), nat.spec, (1995, 2001), (1998, 2001)),
+        audit.check_region_growth(metrics, nat.spec, 1996, 2000),
+        audit.check_headline(latest.headline_rows(metrics, "entity_key", "period", "population"), nat.spec, 3, 2000),
+        audit.check_series(audit.series_completeness(metrics, nat.spec), nat.spec, 3,
+                           min_rows=7, starts_by=1995, reaches=2001, min_known=90.0),
+    ]
+
+
+def component_scores_once(i: Inputs, snapshot: DataFrame) -> DataFrame:
+    return round_score(wh.market_attractiveness(snapshot, i.spec, small=wh.small_ranking(i.dim)))
+
+
+@query
+def audit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.union_checks(audit_parts(spark, sf_dir)).withColumn("measured", F.round("measured", 4))
+
+
+@query
+def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.scorecard(audit.union_checks(audit_parts(spark, sf_dir)))
+
+
+@query
+def snapshot_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.supplier_inputs(spark, sf_dir)
+    return audit.check_snapshot(snapshot_of(i), i.spec)
+
+
+@query
+def scenario_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rankings react to weights and to regions."""
+    i = bind.customer_inputs(spark, sf_dir)
+    tops, by_region = scenario_tops(i), region_tops(i)
+    return audit.union_checks([
+        audit.check_weights_matter(tops, i.spec),
+        audit.check_scenarios(tops, i.spec),
+        audit.check_region_filter(by_region, i.spec, {"asia": "ASIA", "africa": "AFRICA"}),
+    ])
+
+
+@query
+def edge_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.customer_inputs(spark, sf_dir)
+    snapshot, small = snapshot_of(i), wh.small_ranking(i.dim)
+    return audit.check_edges(
+        rec.recommend(snapshot, i.spec, small=small),
+        rec.recommend(snapshot, i.spec, regions=["ATLANTIS"], small=small),
+        feeds.trend_range(trends_of(i), i.spec, 2001, 2001),
+        feeds.entity_series(metrics_of(i), i.spec, -1),
+    )

@@ -53,7 +53,7 @@ def lookup_join(
 def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Distinct fact keys that have no dimension row."""
     keys = facts.select(key).filter(F.col(key).isNotNull()).distinct()
-    return keys.join(dim.select(key), key, "left_anti")
+    return keys.join(dim.select(key).distinct(), key, "left_anti")
 
 
 def fill_from_lookup(

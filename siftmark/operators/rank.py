@@ -3,34 +3,20 @@
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Iterable, Mapping, Sequence
 from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftmark.sources.scratch import ensure_checkpoint_dir
 from siftmark.spec import WINDOW_ROWS
 
 BUCKETS = 1024
 SALTS = 256
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a temporary one only in local mode."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="siftmark-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-
-
 def percent_ranks(
     df: DataFrame,
     ranks: Mapping[str, str | Column],
