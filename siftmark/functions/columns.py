@@ -36,14 +36,12 @@ def sentinels_to_null(c: str | Column, sentinels: Sequence[str] = ("nan", "None"
 
 def to_double(c: str | Column) -> Column:
     """Number or NULL; text that is not a number, and NaN, become NULL."""
-    x = strip(c).try_cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.nanvl(strip(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_long(c: str | Column) -> Column:
     """Integer or NULL; accepts text such as ``2020`` and ``2020.0``."""
-    x = to_double(c)
-    return F.when(x == F.floor(x), x.try_cast("bigint"))
+    return F.regexp_replace(strip(c), r"\.0+$", "").try_cast("bigint")
 
 
 def contains_any(c: str | Column, tokens: Iterable[str]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftmark.sources.scratch import ensure_checkpoint_dir
+from siftmark.sources.scratch import written
 from siftmark.spec import WINDOW_ROWS
 
 BUCKETS = 1024
@@ -27,8 +27,8 @@ def percent_ranks(
     """Add one PERCENT_RANK column per entry of ``ranks`` (output name -> metric).
 
     ``small=True`` says the caller has proven the set to be small: all ranks then run in
-    one window task. Otherwise the rows are written to the checkpoint folder once,
-    counted, and ranked by buckets when there are more than ``WINDOW_ROWS``. Ascending,
+    one window task. Otherwise the rows are written to the shared folder once, counted,
+    and ranked by buckets when there are more than ``WINDOW_ROWS``. Ascending,
     NULLs last, ties share the lowest rank, a single row gets 0.
     """
     metrics = {f"_metric_{i}": (F.col(m) if isinstance(m, str) else m).cast("double")
@@ -38,8 +38,7 @@ def percent_ranks(
     out = dict(zip(metrics, ranks))
     rows = df.withColumns(metrics)
     if small is not True:
-        ensure_checkpoint_dir(df.sparkSession)
-        rows = rows.checkpoint()
+        rows = written(rows)
         if small is None:
             small = rows.count() <= WINDOW_ROWS
     ranked = _window_ranks(rows, out) if small else _bucket_ranks(rows, out, buckets)

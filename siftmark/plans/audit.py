@@ -29,6 +29,7 @@ from siftmark.plans.warehouse import (
     component_metrics,
     ranking_base,
 )
+from siftmark.sources.scratch import written
 from siftmark.spec import MarketSpec
 
 CODE_PATTERN = "^[A-Z]{3}$"
@@ -367,6 +368,7 @@ def check_ranking(
     attractiveness: DataFrame, spec: MarketSpec, *, fresh_from: int = 2023, min_spread: float = 0.05
 ) -> DataFrame:
     """Freshness of the first ten, score spread, missing scores and ties among the first three."""
+    attractiveness = written(attractiveness.select(*spec.keys, COMPOSITE))
     top10 = top_k(attractiveness, COMPOSITE, 10, [spec.entity])
     stale = top10.agg(F.count_if(F.col(spec.period) < fresh_from).alias("stale"))
     spread = attractiveness.agg(

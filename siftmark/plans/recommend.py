@@ -18,8 +18,10 @@ from siftmark.plans.warehouse import (
     component_scores,
     market_attractiveness,
     rank_position,
+    ranking_base,
     top_candidates,
 )
+from siftmark.sources.scratch import written
 from siftmark.spec import WEIGHT_SCENARIOS, MarketSpec
 
 
@@ -118,9 +120,13 @@ def region_scenarios(
     k: int = 3,
     small: bool | None = None,
 ) -> DataFrame:
-    """Top k per region choice; the ranks are computed anew within each choice."""
+    """Top k per region choice; the ranks are computed anew within each choice.
+
+    The ranking set is written once, so that the choices do not each recompute the snapshot.
+    """
+    base = written(ranking_base(snapshot, spec))
     parts = [
-        rank_position(recommend(snapshot, spec, regions=chosen, k=k, small=small), spec)
+        rank_position(recommend(base, spec, regions=chosen, k=k, small=small), spec)
         .select(F.lit(name).alias("scenario"), "position", spec.entity, spec.name, spec.region, COMPOSITE)
         for name, chosen in regions.items()
     ]

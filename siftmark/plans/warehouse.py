@@ -95,7 +95,7 @@ def clean_population(
     typed = long.select(
         F.col(f"`{name}`").alias(spec.name),
         F.col(f"`{code}`").alias(spec.entity),
-        to_long(spec.population_period).alias(spec.population_period),
+        F.col(spec.population_period).cast("bigint").alias(spec.population_period),
         to_double(spec.population).alias(spec.population),
     ).na.drop(subset=[spec.population_period, spec.population, spec.entity])
     valid = codes.select(F.col("iso3_code").alias(spec.entity)).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -26,3 +26,14 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new folder name inside the checkpoint folder, which all executors share."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/siftmark-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For a frame that several later passes read: it is computed once, later passes read
+    only their columns, and a lost executor costs no more than re-reading a file.
+    """
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
