@@ -15,11 +15,14 @@ Population stops with the year 2000, so every series has later periods without i
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftmark.operators.joins import count_up_to
 from siftmark.operators.reshape import pivot_measures
+from siftmark.plans.warehouse import small_ranking
 from siftmark.spec import MarketSpec
 
 CENSUS_END = 2000
@@ -54,20 +57,49 @@ SUPPLIER = MarketSpec(**_COLUMNS, measures=FLAG_MEASURES)
 CUSTOMER = MarketSpec(**_COLUMNS, measures=PRIORITY_MEASURES, lags=(1, 3))
 
 
-@dataclass(frozen=True)
+@dataclass
 class Inputs:
     spec: MarketSpec
     long: DataFrame
     dim: DataFrame
     population: DataFrame
+    entities: DataFrame
+
+    @cached_property
+    def dim_rows(self) -> int:
+        """Rows of the table that holds the entities: a bound on the dimension and the ranking set."""
+        return count_up_to(self.entities)
+
+    @property
+    def small(self) -> bool:
+        return small_ranking(self.dim_rows)
 
     @property
     def fact(self) -> DataFrame:
         return pivot_measures(self.long, self.spec)
 
 
+# Stated, so that no job has to read file footers before a query is planned.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def year(c: str) -> Column:
@@ -112,7 +144,7 @@ def _nation_inputs(spark: SparkSession, sf_dir: str, spec: MarketSpec, attribute
         .groupBy("entity_key", F.col("period").alias("census_period"))
         .agg(F.count_distinct("o_custkey").cast("double").alias("population"))
     )
-    return Inputs(spec, long, nation_dim(spark, sf_dir), population)
+    return Inputs(spec, long, nation_dim(spark, sf_dir), population, table(spark, sf_dir, "nation"))
 
 
 def nation_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -144,7 +176,7 @@ def supplier_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         .groupBy("entity_key", F.col("period").alias("census_period"))
         .agg(F.count(F.lit(1)).cast("double").alias("population"))
     )
-    return Inputs(SUPPLIER, lines, dim, population)
+    return Inputs(SUPPLIER, lines, dim, population, table(spark, sf_dir, "supplier"))
 
 
 def customer_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -166,4 +198,4 @@ def customer_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         .groupBy("entity_key", F.col("period").alias("census_period"))
         .agg(F.count(F.lit(1)).cast("double").alias("population"))
     )
-    return Inputs(CUSTOMER, orders, dim, population)
+    return Inputs(CUSTOMER, orders, dim, population, table(spark, sf_dir, "customer"))

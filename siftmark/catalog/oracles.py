@@ -496,6 +496,7 @@ FROM (SELECT a.entity_key, a.period, a.consumption, b.consumption AS consumption
       LEFT JOIN sup_history b ON a.entity_key = b.entity_key AND b.period = a.period - 5
       LEFT JOIN sup_history c ON a.entity_key = c.entity_key AND c.period = a.period - 10)"""),
     "snapshot_latest": _sql("sup", "SELECT * FROM sup_snapshot"),
+    "snapshot_from_metrics": _sql("sup", "SELECT * FROM sup_snapshot"),
     "global_trends": _sql("sup", "SELECT * FROM sup_trends ORDER BY period"),
     "trend_range": _sql("nat", """
 SELECT *, round(total_consumption / 1000.0, 5) AS consumption_thousands,

@@ -42,11 +42,12 @@ def round_growth(df: DataFrame, spec: MarketSpec) -> DataFrame:
 
 
 def metrics_of(i: Inputs) -> DataFrame:
-    return wh.entity_period_metrics(i.fact, i.dim, i.population, i.spec)
+    return wh.entity_period_metrics(i.fact, i.dim, i.population, i.spec, dim_rows=i.dim_rows)
 
 
 def snapshot_of(i: Inputs) -> DataFrame:
-    return round_growth(wh.latest_snapshot(metrics_of(i), i.spec), i.spec)
+    snapshot = wh.market_snapshot(i.fact, i.dim, i.population, i.spec, dim_rows=i.dim_rows)
+    return round_growth(snapshot, i.spec)
 
 
 def round_score(df: DataFrame) -> DataFrame:
@@ -58,15 +59,14 @@ def round_score(df: DataFrame) -> DataFrame:
 @query
 def top_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.nation_inputs(spark, sf_dir)
-    small = wh.small_ranking(i.dim)
-    scored = round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=small))
+    scored = round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=i.small))
     return wh.top_candidates(scored, i.spec)
 
 
 @query
 def market_attractiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.customer_inputs(spark, sf_dir)
-    return round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim)))
+    return round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=i.small))
 
 
 @query
@@ -93,12 +93,12 @@ def percent_rank_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recommend_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.customer_inputs(spark, sf_dir)
     return round_score(rec.recommend(
-        snapshot_of(i), i.spec, regions=["ASIA", "EUROPE"], weights=(2.0, 1.0, 1.0, 0.0), small=wh.small_ranking(i.dim)
+        snapshot_of(i), i.spec, regions=["ASIA", "EUROPE"], weights=(2.0, 1.0, 1.0, 0.0), small=i.small
     ))
 
 
 def scenario_tops(i: Inputs) -> DataFrame:
-    return rec.weight_scenarios(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim))
+    return rec.weight_scenarios(snapshot_of(i), i.spec, small=i.small)
 
 
 @query
@@ -122,7 +122,7 @@ REGION_CHOICES = {"all": None, "asia": ["ASIA"], "africa": ["AFRICA"]}
 
 
 def region_tops(i: Inputs) -> DataFrame:
-    return rec.region_scenarios(snapshot_of(i), i.spec, REGION_CHOICES, small=wh.small_ranking(i.dim))
+    return rec.region_scenarios(snapshot_of(i), i.spec, REGION_CHOICES, small=i.small)
 
 
 @query
@@ -145,14 +145,14 @@ def component_leaders_lowest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def recommend_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.nation_inputs(spark, sf_dir)
-    top = rec.recommend(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim))
+    top = rec.recommend(snapshot_of(i), i.spec, small=i.small)
     return rec.recommendation_cards(top, i.spec, {"NATION_7": "A note of its own."})
 
 
 @query
 def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.customer_inputs(spark, sf_dir)
-    return rec.display_table(rec.recommend(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim)), i.spec)
+    return rec.display_table(rec.recommend(snapshot_of(i), i.spec, small=i.small), i.spec)
 
 
 # Facts and views
@@ -196,6 +196,13 @@ def growth_exact_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_growth(growth_metrics(i.fact, i.spec, exact_period=True), i.spec)
 
 
+@query
+def snapshot_from_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot taken from the metrics view, as a user of a stored view would."""
+    i = bind.supplier_inputs(spark, sf_dir)
+    return round_growth(wh.latest_snapshot(metrics_of(i), i.spec), i.spec)
+
+
 @query
 def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_of(bind.supplier_inputs(spark, sf_dir))
@@ -586,7 +593,7 @@ def expected_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def freshness_and_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.customer_inputs(spark, sf_dir)
-    scored = round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=wh.small_ranking(i.dim)))
+    scored = round_score(wh.market_attractiveness(snapshot_of(i), i.spec, small=i.small))
     return audit.check_ranking(scored, i.spec, fresh_from=2000)
 
 
@@ -674,7 +681,7 @@ def export_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored(i: Inputs) -> Inputs:
-    return Inputs(i.spec, written(i.long), i.dim, written(i.population))
+    return Inputs(i.spec, written(i.long), i.dim, written(i.population), i.entities)
 
 
 def audit_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -685,7 +692,7 @@ def audit_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     nat, bal = stored(bind.nation_inputs(spark, sf_dir)), bind.balance_inputs(spark, sf_dir)
     cus = bind.customer_inputs(spark, sf_dir)
     customers = written(snapshot_of(cus))
-    scored = round_score(wh.market_attractiveness(customers, cus.spec, small=wh.small_ranking(cus.dim)))
+    scored = round_score(wh.market_attractiveness(customers, cus.spec, small=cus.small))
     fact, balances = written(nat.fact), written(bal.fact)
     metrics = written(wh.entity_period_metrics(fact, nat.dim, nat.population, nat.spec))
     trends = wh.global_trends(fact, nat.spec).withColumns({c: F.round(c, 2) for c in TOTALS})
@@ -747,7 +754,7 @@ def scenario_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def edge_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.customer_inputs(spark, sf_dir)
-    snapshot, small = written(snapshot_of(i)), wh.small_ranking(i.dim)
+    snapshot, small = written(snapshot_of(i)), i.small
     return audit.check_edges(
         rec.recommend(snapshot, i.spec, small=small),
         rec.recommend(snapshot, i.spec, regions=["ATLANTIS"], small=small),

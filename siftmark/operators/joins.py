@@ -13,9 +13,13 @@ from siftmark.spec import BROADCAST_ROWS
 HOT_KEYS = 4096
 
 
+def count_up_to(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> int:
+    """Number of rows, or ``max_rows + 1`` if there are more; reads no further than that."""
+    return df.limit(max_rows + 1).count()
+
+
 def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return count_up_to(df, max_rows) <= max_rows
 
 
 def lookup_join(
@@ -23,6 +27,7 @@ def lookup_join(
     lookup: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
+    lookup_rows: int | None = None,
     max_rows: int = BROADCAST_ROWS,
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
@@ -31,10 +36,12 @@ def lookup_join(
     A lookup known to be small is broadcast and the facts are not shuffled. Otherwise the
     most frequent keys are split off: their facts join a broadcast of the few lookup rows
     they need (at most ``hot_keys``), and the rest goes through an ordinary shuffled join.
-    ``how`` is one of ``left``, ``inner``, ``left_semi`` and ``left_anti``.
+    ``how`` is one of ``left``, ``inner``, ``left_semi`` and ``left_anti``. ``lookup_rows``
+    saves the count when the caller has already taken it.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if is_bounded(lookup, max_rows):
+    rows = count_up_to(lookup, max_rows) if lookup_rows is None else lookup_rows
+    if rows <= max_rows:
         return facts.join(F.broadcast(lookup), keys, how)
 
     top = (

@@ -18,7 +18,7 @@ from siftmark.functions.columns import (
     weighted_sum,
 )
 from siftmark.operators.growth import cagr_name, with_growth
-from siftmark.operators.joins import fill_from_lookup, is_bounded, lookup_join
+from siftmark.operators.joins import fill_from_lookup, lookup_join
 from siftmark.operators.latest import latest_valid
 from siftmark.operators.rank import percent_ranks
 from siftmark.operators.reconcile import MAPPED_METHODS, label_lookup, resolve_codes
@@ -131,38 +131,65 @@ def fact_population(population: DataFrame, spec: MarketSpec) -> DataFrame:
 
 # Views
 
-def entity_period_metrics(
-    fact: DataFrame, dim: DataFrame, population: DataFrame, spec: MarketSpec
-) -> DataFrame:
-    """Fact with dimension attributes, population and the four derived metrics."""
+def _with_population(fact: DataFrame, population: DataFrame, spec: MarketSpec) -> DataFrame:
     people = population.select(
         spec.entity, F.col(spec.population_period).alias(spec.period), spec.population
     )
-    attributes = dim.select(spec.entity, spec.name, spec.region, spec.sub_region, spec.continent)
-    joined = lookup_join(
-        fact.select(*spec.keys, *spec.core_measures).join(people, spec.keys, "left"),
-        attributes, spec.entity, "inner",
-    )
+    return fact.select(*spec.keys, *spec.core_measures).join(people, spec.keys, "left")
+
+
+def _derived(spec: MarketSpec) -> list[Column]:
     c, p = spec.consumption, spec.population
-    return joined.select(
-        spec.entity, spec.name, spec.region, spec.sub_region, spec.continent, spec.period,
-        *spec.core_measures, p,
+    return [
         per_population(c, p, spec.kg_per_unit).alias(PER_CAPITA_KG),
         per_population(c, p, spec.bags_per_unit_1000).alias(PER_CAPITA_BAGS),
         difference(spec.imports, spec.exports).alias(NET_IMPORTS),
         ratio_if_positive(spec.imports, c).alias(IMPORT_SHARE),
+    ]
+
+
+def entity_period_metrics(
+    fact: DataFrame, dim: DataFrame, population: DataFrame, spec: MarketSpec, *, dim_rows: int | None = None
+) -> DataFrame:
+    """Fact with dimension attributes, population and the four derived metrics."""
+    attributes = dim.select(spec.entity, spec.name, spec.region, spec.sub_region, spec.continent)
+    joined = lookup_join(
+        _with_population(fact, population, spec), attributes, spec.entity, "inner", lookup_rows=dim_rows
+    )
+    return joined.select(
+        spec.entity, spec.name, spec.region, spec.sub_region, spec.continent, spec.period,
+        *spec.core_measures, spec.population, *_derived(spec),
     )
 
 
+def _latest_with_growth(rows: DataFrame, spec: MarketSpec) -> DataFrame:
+    """Growth and latest period from the same exchange on the entity."""
+    valid = F.col(spec.consumption).isNotNull() & F.col(spec.population).isNotNull()
+    return latest_valid(with_growth(rows, spec), spec.entity, spec.period, valid)
+
+
 def latest_snapshot(metrics: DataFrame, spec: MarketSpec) -> DataFrame:
-    """Each entity's latest period with consumption and population, with its growth.
+    """Each entity's latest period with consumption and population, with its growth."""
+    return _latest_with_growth(metrics, spec).drop(spec.sub_region)
+
+
+def market_snapshot(
+    fact: DataFrame, dim: DataFrame, population: DataFrame, spec: MarketSpec, *, dim_rows: int | None = None
+) -> DataFrame:
+    """``latest_snapshot`` of ``entity_period_metrics``, straight from the facts.
 
-    Growth and latest period come from the same exchange on the entity.
+    The dimension is joined after the series are reduced to one row per entity, so its
+    text columns are neither shuffled nor sorted with the series, and rows without
+    consumption, which no result depends on, go before the shuffle.
     """
-    grown = with_growth(metrics, spec)
-    valid = F.col(spec.consumption).isNotNull() & F.col(spec.population).isNotNull()
-    latest = latest_valid(grown, spec.entity, spec.period, valid)
-    return latest.drop(spec.sub_region)
+    series = _with_population(fact.filter(F.col(spec.consumption).isNotNull()), population, spec)
+    latest = _latest_with_growth(series, spec)
+    attributes = dim.select(spec.entity, spec.name, spec.region, spec.continent)
+    joined = lookup_join(latest, attributes, spec.entity, "inner", lookup_rows=dim_rows)
+    return joined.select(
+        spec.entity, spec.name, spec.region, spec.continent, spec.period,
+        *spec.core_measures, spec.population, *_derived(spec), *[cagr_name(n) for n in spec.lags],
+    )
 
 
 def global_trends(fact: DataFrame, spec: MarketSpec) -> DataFrame:
@@ -206,9 +233,9 @@ def component_scores(
     return percent_ranks(base, component_metrics(spec), small=small)
 
 
-def small_ranking(dim: DataFrame) -> bool:
-    """Whether a dimension proves the ranking set small: it has at most one row per dimension row."""
-    return is_bounded(dim, WINDOW_ROWS)
+def small_ranking(dim_rows: int) -> bool:
+    """Whether the size of the dimension proves the ranking set small: it has at most one row per dimension row."""
+    return dim_rows <= WINDOW_ROWS
 
 
 def market_attractiveness(
