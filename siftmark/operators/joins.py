@@ -41,8 +41,10 @@ def lookup_join(
     """
     keys = [on] if isinstance(on, str) else list(on)
     rows = count_up_to(lookup, max_rows) if lookup_rows is None else lookup_rows
+    added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in keys]
+    columns = [*facts.columns, *added]
     if rows <= max_rows:
-        return facts.join(F.broadcast(lookup), keys, how)
+        return facts.join(F.broadcast(lookup), keys, how).select(*columns)
 
     top = (
         facts.select(*keys).na.drop().groupBy(*keys).count()
@@ -54,7 +56,7 @@ def lookup_join(
     hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
     joined_hot = hot_facts.join(F.broadcast(hot_lookup), keys, how)
     joined_cold = cold_facts.join(lookup, keys, how)
-    return joined_hot.unionByName(joined_cold)
+    return joined_hot.unionByName(joined_cold).select(*columns)
 
 
 def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
