@@ -16,5 +16,5 @@ def rows(df, *order):
 def plan(df) -> str:
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
-        df.explain("formatted")
+        df.explain()
     return out.getvalue()
