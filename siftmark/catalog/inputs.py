@@ -20,7 +20,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmark.operators.joins import count_up_to
 from siftmark.operators.reshape import pivot_measures
 from siftmark.plans.warehouse import small_ranking
 from siftmark.spec import MarketSpec
@@ -67,8 +66,8 @@ class Inputs:
 
     @cached_property
     def dim_rows(self) -> int:
-        """Rows of the table that holds the entities: a bound on the dimension and the ranking set."""
-        return count_up_to(self.entities)
+        """Rows of the table that holds the entities, which bound the dimension and the ranking set."""
+        return self.entities.count()
 
     @property
     def small(self) -> bool:

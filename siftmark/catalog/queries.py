@@ -84,7 +84,7 @@ def percent_rank_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ranked = percent_ranks(
         lines, {"price_rank": "l_extendedprice", "quantity_rank": "l_quantity", "discount_rank": "l_discount"},
-        small=False,
+        small=False, stored=True,
     )
     return ranked.withColumns({c: F.round(c, 9) for c in ("price_rank", "quantity_rank", "discount_rank")})
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,13 +14,9 @@ from siftmark.spec import BROADCAST_ROWS
 HOT_KEYS = 4096
 
 
-def count_up_to(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> int:
-    """Number of rows, or ``max_rows + 1`` if there are more; reads no further than that."""
-    return df.limit(max_rows + 1).count()
-
-
 def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return count_up_to(df, max_rows) <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows; for a stored table the count reads file footers only."""
+    return df.count() <= max_rows
 
 
 def lookup_join(
@@ -36,27 +33,33 @@ def lookup_join(
     A lookup known to be small is broadcast and the facts are not shuffled. Otherwise the
     most frequent keys are split off: their facts join a broadcast of the few lookup rows
     they need (at most ``hot_keys``), and the rest goes through an ordinary shuffled join.
-    ``how`` is one of ``left``, ``inner``, ``left_semi`` and ``left_anti``. ``lookup_rows``
-    saves the count when the caller has already taken it.
+    Facts without a key match nothing and are not shuffled either. ``how`` is one of
+    ``left``, ``inner``, ``left_semi`` and ``left_anti``. ``lookup_rows`` saves the count
+    when the caller has already taken it.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    rows = count_up_to(lookup, max_rows) if lookup_rows is None else lookup_rows
+    rows = lookup.count() if lookup_rows is None else lookup_rows
     added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in keys]
     columns = [*facts.columns, *added]
     if rows <= max_rows:
         return facts.join(F.broadcast(lookup), keys, how).select(*columns)
 
-    top = (
-        facts.select(*keys).na.drop().groupBy(*keys).count()
-        .orderBy(F.desc("count"), *keys).limit(hot_keys).select(*keys)
-    )
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    keyed, keyless = facts.filter(~no_key), facts.filter(no_key)
+    top = keyed.groupBy(*keys).count().orderBy(F.desc("count"), *keys).limit(hot_keys).select(*keys)
     hot = facts.sparkSession.createDataFrame(top.collect(), top.schema)
-    hot_facts = facts.join(F.broadcast(hot), keys, "left_semi")
-    cold_facts = facts.join(F.broadcast(hot), keys, "left_anti")
+    hot_facts = keyed.join(F.broadcast(hot), keys, "left_semi")
+    cold_facts = keyed.join(F.broadcast(hot), keys, "left_anti")
     hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
-    joined_hot = hot_facts.join(F.broadcast(hot_lookup), keys, how)
-    joined_cold = cold_facts.join(lookup, keys, how)
-    return joined_hot.unionByName(joined_cold).select(*columns)
+    joined = (
+        hot_facts.join(F.broadcast(hot_lookup), keys, how).select(*columns)
+        .union(cold_facts.join(lookup, keys, how).select(*columns))
+    )
+    if how in ("left", "left_anti"):
+        types = dict(lookup.dtypes)
+        unmatched = keyless.select(*facts.columns, *[F.lit(None).cast(types[c]).alias(c) for c in added])
+        joined = joined.union(unmatched)
+    return joined
 
 
 def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:

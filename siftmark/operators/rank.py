@@ -15,6 +15,7 @@ from siftmark.spec import WINDOW_ROWS
 
 BUCKETS = 1024
 SALTS = 256
+SUMMARY_GROUPS = 64
 
 
 def percent_ranks(
@@ -22,13 +23,15 @@ def percent_ranks(
     ranks: Mapping[str, str | Column],
     *,
     small: bool | None = None,
+    stored: bool = False,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Add one PERCENT_RANK column per entry of ``ranks`` (output name -> metric).
 
     ``small=True`` says the caller has proven the set to be small: all ranks then run in
-    one window task. Otherwise the rows are written to the shared folder once, counted,
-    and ranked by buckets when there are more than ``WINDOW_ROWS``. Ascending,
+    one window task. Otherwise the rows are written to the shared folder once (unless they
+    are a ``stored`` table, which can simply be read again), counted, and ranked by buckets
+    when there are more than ``WINDOW_ROWS``. Ascending,
     NULLs last, ties share the lowest rank, a single row gets 0.
     """
     metrics = {f"_metric_{i}": (F.col(m) if isinstance(m, str) else m).cast("double")
@@ -38,7 +41,7 @@ def percent_ranks(
     out = dict(zip(metrics, ranks))
     rows = df.withColumns(metrics)
     if small is not True:
-        rows = written(rows)
+        rows = rows if stored else written(rows)
         if small is None:
             small = rows.count() <= WINDOW_ROWS
     ranked = _window_ranks(rows, out) if small else _bucket_ranks(rows, out, buckets)
@@ -61,16 +64,17 @@ def _bucket_ranks(rows: DataFrame, out: Mapping[str, str], buckets: int) -> Data
     """
     metrics = list(out)
     probabilities = _array(i / buckets for i in range(buckets + 1))
-    profile = rows.agg(
+    # Summaries are merged in groups of tasks, not all in one; the grouping only moves limits.
+    profile = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(SUMMARY_GROUPS)).alias("_group")).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.expr(f"percentile_approx(CASE WHEN NOT isnan({m}) THEN {m} END, {probabilities}, {8 * buckets})").alias(m)
+        *[F.expr(f"percentile_approx(CASE WHEN NOT isnan({m}) THEN {m} END, {probabilities}, {2 * buckets})").alias(m)
           for m in metrics],
-    ).first()
-    n = profile["n"]
+    ).collect()
+    n = sum(r["n"] for r in profile)
     if n == 0:
         return rows.withColumns({name: F.lit(None).cast("double") for name in out.values()})
 
-    limits = {m: _bucket_limits(profile[m] or []) for m in metrics}
+    limits = {m: _bucket_limits(_merge([(r["n"], r[m]) for r in profile if r[m]], buckets)) for m in metrics}
     bucket_of = {m: f"{m}_bucket" for m in metrics}
     # After the value buckets come one for NaN ("keep") and one for NULL.
     null_bucket = {m: len(limits[m][0]) for m in metrics}
@@ -105,6 +109,20 @@ def _array(values: Iterable[float], suffix: str = "") -> str:
     return "array(" + ", ".join(f"{v}{suffix or ('D' if isinstance(v, float) else '')}" for v in values) + ")"
 
 
+def _merge(parts: Sequence[tuple[int, Sequence[float]]], buckets: int) -> list[float]:
+    """Approximate quantiles of a whole from the quantiles of its weighted parts."""
+    weighted = sorted((v, n / len(values)) for n, values in parts for v in values)
+    if not weighted:
+        return []
+    total = sum(w for _, w in weighted)
+    quantiles, passed = [weighted[0][0]], 0.0
+    for v, w in weighted:
+        passed += w
+        while len(quantiles) <= buckets and passed >= total * len(quantiles) / buckets:
+            quantiles.append(v)
+    return quantiles
+
+
 def _bucket_limits(quantiles: Sequence[float]) -> tuple[list[float], set[int]]:
     """Bucketizer splits, and the indexes of buckets that can hold one value only."""
     finite = [q for q in quantiles if math.isfinite(q)]

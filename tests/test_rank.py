@@ -66,6 +66,14 @@ def test_hot_value_gets_its_own_bucket_and_is_salted():
     assert splits[hot + 1] == math.nextafter(2.0, math.inf)
 
 
+def test_merged_quantiles_weigh_their_parts():
+    same = rank._merge([(100, [0.0, 1.0, 2.0, 3.0, 4.0]), (1, [50.0] * 5)], 4)
+    assert max(same[:-1]) <= 4.0 and same == sorted(same)
+    assert rank._merge([], 4) == []
+    half = rank._merge([(10, [1.0, 1.0, 1.0]), (10, [2.0, 3.0, 4.0])], 4)
+    assert half.count(1.0) >= 2  # a frequent value stays visible as a repeated quantile
+
+
 def test_large_sets_choose_buckets(spark, monkeypatch):
     monkeypatch.setattr(rank, "WINDOW_ROWS", 10)
     df = spark.range(100).select("id", F.col("id").cast("double").alias("v"))
