@@ -33,6 +33,8 @@ _COLUMNS = dict(
     opening="opening_stocks", closing="closing_stocks",
     other_imports=("roast_imports", "soluble_imports"),
     other_exports=("roast_exports", "soluble_exports"),
+    net_imports="net_imports", total_imports="total_imports", total_exports="total_exports",
+    reporting="reporting_entities", region_members="entities",
 )
 
 PRIORITY_MEASURES = {

@@ -31,7 +31,7 @@ def endpoint_growth(trends: DataFrame, spec: MarketSpec, low: int, high: int) ->
     first, last = f"first_{spec.period}", f"last_{spec.period}"
     ends = first_and_last(
         trends.filter(F.col(spec.period).between(low, high)), spec.period,
-        ["total_consumption", "reporting_entities"],
+        ["total_consumption", spec.reporting],
     ).filter("periods >= 2")
     span = F.col(last) - F.col(first)
     growth = F.when(span > 0, cagr("last_total_consumption", "first_total_consumption", span.cast("double")))
@@ -39,7 +39,7 @@ def endpoint_growth(trends: DataFrame, spec: MarketSpec, low: int, high: int) ->
         first, last,
         (F.col("last_total_consumption") / 1000.0).alias("latest_thousands"),
         (F.coalesce(growth, F.lit(0.0)) * 100.0).alias("growth_pct"),
-        F.col("last_reporting_entities").alias("reporting_entities"),
+        F.col(f"last_{spec.reporting}").alias(spec.reporting),
     )
 
 
@@ -52,7 +52,7 @@ def region_totals(
         rows = rows.filter(F.col(spec.region).isNotNull() & F.col(spec.consumption).isNotNull())
     return rows.groupBy(spec.region).agg(
         F.sum(spec.consumption).alias("total_consumption"),
-        F.count_distinct(spec.entity).alias("entities"),
+        F.count_distinct(spec.entity).alias(spec.region_members),
     )
 
 

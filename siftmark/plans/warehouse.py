@@ -31,7 +31,6 @@ SCORES = ["size_score", "growth_score", "population_score", "import_openness_sco
 COMPOSITE = "composite_score"
 PER_CAPITA_KG = "per_capita_kg_per_person"
 PER_CAPITA_BAGS = "per_capita_bags_per_1000"
-NET_IMPORTS = "net_imports"
 IMPORT_SHARE = "import_dependency_ratio"
 
 
@@ -143,7 +142,7 @@ def _derived(spec: MarketSpec) -> list[Column]:
     return [
         per_population(c, p, spec.kg_per_unit).alias(PER_CAPITA_KG),
         per_population(c, p, spec.bags_per_unit_1000).alias(PER_CAPITA_BAGS),
-        difference(spec.imports, spec.exports).alias(NET_IMPORTS),
+        difference(spec.imports, spec.exports).alias(spec.net_imports),
         ratio_if_positive(spec.imports, c).alias(IMPORT_SHARE),
     ]
 
@@ -197,9 +196,9 @@ def global_trends(fact: DataFrame, spec: MarketSpec) -> DataFrame:
     return fact.groupBy(spec.period).agg(
         F.sum(spec.consumption).alias("total_consumption"),
         F.sum(spec.production).alias("total_production"),
-        F.sum(spec.imports).alias("total_imports"),
-        F.sum(spec.exports).alias("total_exports"),
-        F.count_distinct(spec.entity).alias("reporting_entities"),
+        F.sum(spec.imports).alias(spec.total_imports),
+        F.sum(spec.exports).alias(spec.total_exports),
+        F.count_distinct(spec.entity).alias(spec.reporting),
     )
 
 

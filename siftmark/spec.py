@@ -126,6 +126,13 @@ class MarketSpec:
     other_imports: tuple[str, ...] = ("roast_ground_imports", "soluble_imports")
     other_exports: tuple[str, ...] = ("roast_ground_exports", "soluble_exports")
 
+    # Names of derived columns
+    net_imports: str = "net_bean_imports"
+    total_imports: str = "total_bean_imports"
+    total_exports: str = "total_bean_exports"
+    reporting: str = "reporting_countries"
+    region_members: str = "countries"
+
     measures: Mapping[str, str] = field(default_factory=lambda: dict(BALANCE_MEASURES))
     kg_per_unit: float = 60_000.0
     bags_per_unit_1000: float = 1_000_000.0

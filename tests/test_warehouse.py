@@ -164,7 +164,7 @@ def test_cards_need_three_markets(snapshot):
 def test_trends(spark, warehouse):
     fact, dim, population = warehouse
     trends = wh.global_trends(fact, SPEC)
-    assert trends.filter("market_year = 2025").first().reporting_entities > 0
+    assert trends.filter("market_year = 2025").first().reporting_countries > 0
     wide, narrow = feeds.trend_range(trends, SPEC, 2010, 2025), feeds.trend_range(trends, SPEC, 2020, 2025)
     assert {r.market_year for r in narrow.collect()} < {r.market_year for r in wide.collect()}
     row = feeds.endpoint_growth(trends, SPEC, 2010, 2020).first()
@@ -179,10 +179,10 @@ def test_trends(spark, warehouse):
 
 def test_endpoint_growth_is_zero_when_undefined(spark):
     trends = spark.createDataFrame(
-        [(2000, 0.0, 1), (2001, 5.0, 2)], "market_year bigint, total_consumption double, reporting_entities bigint"
+        [(2000, 0.0, 1), (2001, 5.0, 2)], "market_year bigint, total_consumption double, reporting_countries bigint"
     )
     row = feeds.endpoint_growth(trends, SPEC, 2000, 2001).first()
-    assert (row.growth_pct, row.reporting_entities) == (0.0, 2)
+    assert (row.growth_pct, row.reporting_countries) == (0.0, 2)
 
 
 def test_other_column_names(spark):
