@@ -234,6 +234,12 @@ def overview_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.withColumns({"latest_thousands": F.round("latest_thousands", 5), "growth_pct": F.round("growth_pct", 7)})
 
 
+@query
+def overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = bind.nation_inputs(spark, sf_dir)
+    return feeds.kpi_cards(overview_kpi(spark, sf_dir), i.spec)
+
+
 @query
 def trend_vs_five_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = bind.nation_inputs(spark, sf_dir)
@@ -328,7 +334,9 @@ def sampled_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Cleaning and reconciliation
 
-OVERRIDES = {f"Alias NATION_{k}": f"N{k:02d}" for k in range(2, 25, 5)}
+ALIASED = (2, 7, 12, 17, 22)
+PADDED = (0, 5, 10, 15, 20)
+OVERRIDES = {f"Alias NATION_{k}": f"N{k:02d}" for k in ALIASED}
 EXCLUDED = ("World",)
 
 
@@ -344,12 +352,13 @@ def reference_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row per order, with the nation named as sources tend to: padded, lower-cased, by an alias,
     as an aggregate, or by an unknown name."""
-    key, nation = F.col("c_nationkey"), F.concat(F.lit("NATION_"), F.col("c_nationkey"))
+    key = F.col("c_nationkey")
+    nation = F.concat(F.lit("NATION_"), key)
     name = (
         F.when(key.isin(3, 8), "World")
         .when(key == 4, "Nowhere")
-        .when(key % 5 == 2, F.concat(F.lit("Alias "), nation))
-        .when(key % 5 == 0, F.concat(F.lit("  "), F.lower(nation), F.lit(" ")))
+        .when(key.isin(*ALIASED), F.concat(F.lit("Alias "), nation))
+        .when(key.isin(*PADDED), F.concat(F.lit("  "), F.lower(nation), F.lit(" ")))
         .otherwise(nation)
     )
     customers = bind.table(spark, sf_dir, "customer").select(

@@ -40,7 +40,7 @@ def millions(c: str | Column) -> Column:
 
 
 def number(c: str | Column, decimals: int = 0) -> Column:
-    return _or_na(col(c), F.format_string(f"%,.{decimals}f", col(c)))
+    return _or_na(col(c), F.format_string(f"%,.{decimals}f", col(c).cast("double")))
 
 
 def narrative(rank: str | Column, growth: str | Column, import_share: str | Column) -> Column:

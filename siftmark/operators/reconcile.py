@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftmark.functions.columns import match_key, strip
+from siftmark.functions.columns import match_key, sentinels_to_null, strip
 from siftmark.operators.joins import lookup_join
 from siftmark.spec import EXCLUDED_NAMES, NAME_OVERRIDES
 
@@ -16,7 +16,8 @@ MAPPED_METHODS = ("manual_override", "exact_match")
 
 def label_lookup(codes: DataFrame, name: str, code: str, order: str | Column) -> DataFrame:
     """One code per lower-cased, stripped label; the row latest in ``order`` wins."""
-    rows = codes.filter(F.col(name).isNotNull() & F.col(code).isNotNull()).select(
+    known = sentinels_to_null(name).isNotNull() & sentinels_to_null(code).isNotNull()
+    rows = codes.filter(known).select(
         match_key(name).alias("_label"),
         strip(code).alias("_label_code"),
         (F.col(order) if isinstance(order, str) else order).alias("_order"),

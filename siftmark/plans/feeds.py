@@ -43,6 +43,16 @@ def endpoint_growth(trends: DataFrame, spec: MarketSpec, low: int, high: int) ->
     )
 
 
+def kpi_cards(growth: DataFrame, spec: MarketSpec) -> DataFrame:
+    """Display texts of the headline row; input is ``endpoint_growth``."""
+    return growth.select(
+        F.format_string("%.1fM", F.col("latest_thousands")).alias("latest_label"),
+        F.format_string("%.2f%%", F.col("growth_pct")).alias("growth_label"),
+        F.format_string("CAGR (%d to %d)", F.col(f"first_{spec.period}"), F.col(f"last_{spec.period}")).alias("growth_title"),
+        labels.number(spec.reporting).alias("reporting_label"),
+    )
+
+
 def region_totals(
     metrics: DataFrame, spec: MarketSpec, period: int, *, keep_unknown: bool = False
 ) -> DataFrame:

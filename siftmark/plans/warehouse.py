@@ -51,10 +51,10 @@ def clean_codes(raw: DataFrame) -> DataFrame:
 
 
 def code_labels(raw_codes: DataFrame, order: str | Column | None = None) -> DataFrame:
-    """Label lookup of raw reference codes; the later row in ``order`` wins (default: the larger code)."""
+    """Label lookup of raw reference codes; the later row in ``order`` wins (default: the order in the file)."""
     name = choose_column(raw_codes.columns, NAME_HEADERS, "name")
     iso3 = choose_column(raw_codes.columns, ISO3_HEADERS, "ISO3")
-    return label_lookup(raw_codes, name, iso3, F.col(iso3) if order is None else order)
+    return label_lookup(raw_codes, name, iso3, F.monotonically_increasing_id() if order is None else order)
 
 
 def clean_long_fact(

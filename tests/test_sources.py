@@ -33,6 +33,9 @@ def test_clean_layer(spark, raw):
     assert rows(codes.select("iso3_code", "iso2_code", "english_name")) == [
         ("BHS", "BS", "Bahamas"), ("BRA", "BR", "Brazil"), ("NAM", "NA", "Namibia")  # the code NA survives
     ]
+    assert rows(wh.code_labels(raw_codes)) == [
+        ("bahamas", "BHS"), ("brazil", "BRA"), ("namibia", "NAM")
+    ]
     long = wh.clean_long_fact(
         readers.read_csv(spark, str(raw / "long.csv")), wh.code_labels(raw_codes), SPEC
     )
@@ -47,6 +50,12 @@ def test_clean_layer(spark, raw):
     assert dim.filter(F.col("region").isNull()).count() == 3
 
 
+def test_later_label_row_wins(spark, tmp_path):
+    (tmp_path / "codes.csv").write_text("ISO3 CODE;ISO2 CODE;LABEL EN\nZZZ;Z;Brazil\nBRA;B; BRAZIL\nAAA;A;Chad\n")
+    labels = wh.code_labels(readers.read_csv(spark, str(tmp_path / "codes.csv"), sep=";"))
+    assert rows(labels) == [("brazil", "BRA"), ("chad", "AAA")]
+
+
 def test_preamble_shorter_than_asked(spark, raw):
     with pytest.raises(ValueError):
         readers.read_csv_after_preamble(spark, str(raw / "codes.csv"), skip=40)
