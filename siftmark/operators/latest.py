@@ -21,18 +21,21 @@ def latest_valid(rows: DataFrame, entity: str, period: str, valid: Column) -> Da
 
 def headline_rows(rows: DataFrame, entity: str, period: str, companion: str) -> DataFrame:
     """One row per entity: the latest with ``companion`` known, else the latest."""
-    order = F.struct(F.col(companion).isNotNull(), F.col(period))
-    picked = rows.groupBy(entity).agg(F.max_by(F.struct(*rows.columns), order).alias("_row"))
-    return picked.select("_row.*")
+    return _first_n(rows, entity, [F.col(companion).isNotNull().desc(), F.col(period).desc()], 1)
 
 
 def latest_n(rows: DataFrame, entity: str, period: str, n: int) -> DataFrame:
-    """The latest n rows of every entity.
+    """The latest n rows of every entity."""
+    return _first_n(rows, entity, [F.col(period).desc()], n)
+
+
+def _first_n(rows: DataFrame, entity: str, order: Sequence[Column], n: int) -> DataFrame:
+    """First n rows per entity.
 
     The rank limit is applied in every map task first, so at most n rows per entity and
     task are shuffled.
     """
-    w = Window.partitionBy(entity).orderBy(F.col(period).desc())
+    w = Window.partitionBy(entity).orderBy(*order)
     return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftmark.functions.columns import gap_pct, null_or_zero, sum_of
@@ -259,10 +259,17 @@ def per_capita_outside(snapshot: DataFrame, bounds: DataFrame, spec: MarketSpec)
 
 
 def latest_leaders(fact: DataFrame, spec: MarketSpec, measure: str, k: int = 5) -> DataFrame:
-    """Top k entities by a measure in the latest period of the fact."""
-    latest = fact.agg(F.max(spec.period)).scalar()
-    rows = fact.filter(F.col(spec.period) == latest).select(spec.entity, measure)
-    return top_k(rows, measure, k, [spec.entity])
+    """Top k entities by a measure in the latest period of the fact.
+
+    One pass: rows of the latest period come first in the order, so the k first rows hold
+    all that is wanted, and only they are compared with their own latest period.
+    """
+    first = (
+        fact.select(spec.period, spec.entity, measure)
+        .orderBy(F.desc(spec.period), F.desc_nulls_last(measure), spec.entity).limit(k)
+    )
+    latest = F.max(spec.period).over(Window.partitionBy())
+    return first.withColumn("_latest", latest).filter(F.col(spec.period) == F.col("_latest")).select(spec.entity, measure)
 
 
 def check_leads(fact: DataFrame, spec: MarketSpec, check_id: str, entity, measure: str, within: int) -> DataFrame:
@@ -273,15 +280,21 @@ def check_leads(fact: DataFrame, spec: MarketSpec, check_id: str, entity, measur
 
 
 def trade_gaps(fact: DataFrame, spec: MarketSpec, periods: int = 3) -> DataFrame:
-    """Total imports and exports of the latest periods and their gap in percent of imports."""
+    """Total imports and exports of the latest periods and their gap in percent of imports.
+
+    One pass over the fact; the latest periods are picked from the totals, one row per period.
+    """
     have = set(fact.columns)
     imports = [c for c in (spec.imports, *spec.other_imports) if c in have]
     exports = [c for c in (spec.exports, *spec.other_exports) if c in have]
-    first = fact.agg(F.max(spec.period) - (periods - 1)).scalar()
+    totals = fact.groupBy(spec.period).agg(
+        F.sum(sum_of(imports)).alias("total_imports"), F.sum(sum_of(exports)).alias("total_exports")
+    )
+    latest = F.max(spec.period).over(Window.partitionBy())
     return (
-        fact.filter(F.col(spec.period) >= first)
-        .groupBy(spec.period)
-        .agg(F.sum(sum_of(imports)).alias("total_imports"), F.sum(sum_of(exports)).alias("total_exports"))
+        totals.withColumn("_latest", latest)
+        .filter(F.col(spec.period) > F.col("_latest") - periods)
+        .drop("_latest")
         .withColumn("gap_pct", gap_pct("total_imports", "total_exports"))
     )
 

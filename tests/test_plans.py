@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftmark.catalog import inputs as bind
 from siftmark.catalog.queries import QUERIES
+from siftmark.operators import latest
 from siftmark.operators.joins import lookup_join
 from siftmark.operators.reshape import pivot_measures
 from siftmark.plans import audit, feeds
@@ -61,7 +62,10 @@ def test_top_lists_are_limited_before_the_shuffle(supplier):
     assert "WindowGroupLimit" in plan(rec.weight_scenarios(snapshot, i.spec, small=False))
     assert "WindowGroupLimit" in plan(QUERIES["latest_n_rows"](i.fact.sparkSession, SF_DIR))
     assert "TakeOrderedAndProject" in plan(rec.recommend(snapshot, i.spec, small=False))
-    assert "TakeOrderedAndProject" in plan(audit.latest_leaders(i.fact, i.spec, "production"))
+    leaders = plan(audit.latest_leaders(i.fact, i.spec, "production"))
+    assert "TakeOrderedAndProject" in leaders and leaders.count("FileScan") == 1
+    assert "WindowGroupLimit" in plan(latest.headline_rows(i.fact, "entity_key", "period", "production"))
+    assert plan(audit.trade_gaps(i.fact, i.spec)).count("FileScan") == 1
 
 
 def test_no_cartesian_products(spark):
