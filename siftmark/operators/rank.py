@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from siftmark.sources.scratch import written
 from siftmark.spec import WINDOW_ROWS
 
-BUCKETS = 1024
+# Buckets grow with the set, within what the driver and a literal can hold.
+ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKETS, MAX_BUCKETS = 1024, 16_384
 SALTS = 256
 SUMMARY_GROUPS = 64
 
@@ -24,15 +26,15 @@ def percent_ranks(
     *,
     small: bool | None = None,
     stored: bool = False,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add one PERCENT_RANK column per entry of ``ranks`` (output name -> metric).
 
     ``small=True`` says the caller has proven the set to be small: all ranks then run in
     one window task. Otherwise the rows are written to the shared folder once (unless they
     are a ``stored`` table, which can simply be read again), counted, and ranked by buckets
-    when there are more than ``WINDOW_ROWS``. Ascending,
-    NULLs last, ties share the lowest rank, a single row gets 0.
+    when there are more than ``WINDOW_ROWS``. Ascending, NULLs last, ties share the lowest
+    rank, a single row gets 0.
     """
     metrics = {f"_metric_{i}": (F.col(m) if isinstance(m, str) else m).cast("double")
                for i, m in enumerate(ranks.values())}
@@ -40,12 +42,14 @@ def percent_ranks(
     metrics = {k: F.when(m == 0, F.lit(0.0)).otherwise(m) for k, m in metrics.items()}
     out = dict(zip(metrics, ranks))
     rows = df.withColumns(metrics)
-    if small is not True:
-        rows = rows if stored else written(rows)
-        if small is None:
-            small = rows.count() <= WINDOW_ROWS
-    ranked = _window_ranks(rows, out) if small else _bucket_ranks(rows, out, buckets)
-    return ranked.select(*df.columns, *ranks)
+    if small is True:
+        return _window_ranks(rows, out).select(*df.columns, *ranks)
+    rows = rows if stored else written(rows)
+    n = rows.count()
+    if small is None and n <= WINDOW_ROWS:
+        return _window_ranks(rows, out).select(*df.columns, *ranks)
+    buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, n // ROWS_PER_BUCKET))
+    return _bucket_ranks(rows, out, n, buckets).select(*df.columns, *ranks)
 
 
 def _window_ranks(rows: DataFrame, out: Mapping[str, str]) -> DataFrame:
@@ -54,7 +58,7 @@ def _window_ranks(rows: DataFrame, out: Mapping[str, str]) -> DataFrame:
     })
 
 
-def _bucket_ranks(rows: DataFrame, out: Mapping[str, str], buckets: int) -> DataFrame:
+def _bucket_ranks(rows: DataFrame, out: Mapping[str, str], n: int, buckets: int) -> DataFrame:
     """Rank inside value buckets and add the number of rows in all lower buckets.
 
     Bucket limits are quantiles of the metric. A value so frequent that it is a quantile
@@ -65,16 +69,16 @@ def _bucket_ranks(rows: DataFrame, out: Mapping[str, str], buckets: int) -> Data
     metrics = list(out)
     probabilities = _array(i / buckets for i in range(buckets + 1))
     # Summaries are merged in groups of tasks, not all in one; the grouping only moves limits.
-    profile = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(SUMMARY_GROUPS)).alias("_group")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.expr(f"percentile_approx(CASE WHEN NOT isnan({m}) THEN {m} END, {probabilities}, {2 * buckets})").alias(m)
-          for m in metrics],
+    numbers = {m: F.nanvl(m, F.lit(None).cast("double")) for m in metrics}
+    profile = rows.select(*[x.alias(m) for m, x in numbers.items()]).groupBy(
+        F.pmod(F.spark_partition_id(), F.lit(SUMMARY_GROUPS)).alias("_group")
+    ).agg(
+        *[F.count(m).alias(f"{m}_n") for m in metrics],
+        *[F.expr(f"percentile_approx({m}, {probabilities}, {2 * buckets})").alias(m) for m in metrics],
     ).collect()
-    n = sum(r["n"] for r in profile)
-    if n == 0:
-        return rows.withColumns({name: F.lit(None).cast("double") for name in out.values()})
-
-    limits = {m: _bucket_limits(_merge([(r["n"], r[m]) for r in profile if r[m]], buckets)) for m in metrics}
+    limits = {
+        m: _bucket_limits(_merge([(r[f"{m}_n"], r[m]) for r in profile if r[m]], buckets)) for m in metrics
+    }
     bucket_of = {m: f"{m}_bucket" for m in metrics}
     # After the value buckets come one for NaN ("keep") and one for NULL.
     null_bucket = {m: len(limits[m][0]) for m in metrics}
