@@ -674,6 +674,14 @@ FROM sup_metrics GROUP BY entity_key"""),
 SELECT name AS table_name, n AS live_rows, n AS exported_rows, true AS equal FROM (
   SELECT 'dim' AS name, count(*) AS n FROM cus_dim UNION ALL SELECT 'fact', count(*) FROM cus_fact
   UNION ALL SELECT 'population', count(*) FROM cus_pop)""", views=False),
+    "export_normalised": """
+SELECT event_id, event_type, CASE WHEN event_type NOT IN ('error', 'signup') THEN value END AS value FROM events""",
+    "profile_report": _sql("sup", """
+SELECT 'attribute_counts' AS part, count(DISTINCT attribute) AS rows FROM sup_long
+UNION ALL SELECT 'period_range', 1
+UNION ALL SELECT 'attribute_entities', count(DISTINCT attribute) FROM sup_long
+UNION ALL SELECT 'top_entities', least(10, count(DISTINCT entity_key)) FROM sup_long
+UNION ALL SELECT 'attribute_units', count(DISTINCT (attribute, unit)) FROM sup_long""", views=False),
     "audit_checks": _audit("SELECT check_id, status, round(measured, 4) AS measured, threshold, details FROM checks"),
     "scorecard": _audit("""
 SELECT *, CASE WHEN failed >= 4 THEN 'LOW' WHEN failed > 0 OR warned >= 6 THEN 'MEDIUM' ELSE 'HIGH' END AS confidence,

@@ -22,9 +22,9 @@ from siftmark.operators.reshape import attributes_present, category_matches, cho
 from siftmark.plans import audit, feeds
 from siftmark.plans import recommend as rec
 from siftmark.plans import warehouse as wh
-from siftmark.sources.readers import read_csv, read_csv_after_preamble
+from siftmark.sources.readers import read_csv, read_csv_after_preamble, read_table
 from siftmark.sources.scratch import scratch_folder, written
-from siftmark.sources.writers import export_tables
+from siftmark.sources.writers import export_tables, normalise_for_export, write_profile
 from siftmark.spec import SUSPICIOUS_TOKENS, MarketSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -689,6 +689,24 @@ def export_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_tables(tables, scratch_folder(spark))
 
 
+@query
+def export_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values as exported: those that are no finite number become NULL."""
+    kind, value = F.col("event_type"), F.col("value")
+    odd = F.when(kind == "error", F.lit(float("nan"))).when(kind == "signup", F.lit(float("-inf"))).otherwise(value)
+    return normalise_for_export(bind.table(spark, sf_dir, "events").select("event_id", "event_type", odd.alias("value")))
+
+
+@query
+def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every part of the attribute profile, and count the rows of each as read back."""
+    i = bind.supplier_inputs(spark, sf_dir)
+    parts, folder = attribute_profile(i.long, i.spec), scratch_folder(spark)
+    write_profile(parts, folder)
+    counts = [audit.count_rows(read_table(spark, f"{folder}/{p}"), "rows").withColumn("part", F.lit(p)) for p in parts]
+    return audit.union_checks(counts)
+
+
 def stored(i: Inputs) -> Inputs:
     return Inputs(i.spec, written(i.long), i.dim, written(i.population), i.entities)
 
