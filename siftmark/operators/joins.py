@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 
 from siftmark.spec import BROADCAST_ROWS
 
-# Removing the N most frequent keys leaves no key with more than 1/(N+1) of the rows.
+# Keys that are split off, and counters of the sketch that finds them: a key that holds
+# more than about 1/SKETCH_ITEMS of a task group's rows is found.
 HOT_KEYS = 4096
+SKETCH_ITEMS = 16_384
+SKETCH_GROUPS = 64
 
 
 def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -31,9 +35,9 @@ def lookup_join(
     """Join ``facts`` to a lookup that has one row per key, without a hot task.
 
     A lookup known to be small is broadcast and the facts are not shuffled. Otherwise the
-    most frequent keys are split off: their facts join a broadcast of the few lookup rows
-    they need (at most ``hot_keys``), and the rest goes through an ordinary shuffled join.
-    Facts without a key match nothing and are not shuffled either. ``how`` is one of
+    most frequent keys, found by a sketch in one pass without a shuffle by key, are split
+    off: their facts join a broadcast of the few lookup rows they need, and the rest goes
+    through an ordinary shuffled join. The sketch only decides the route of a row. Facts without a key match nothing and are not shuffled either. ``how`` is one of
     ``left``, ``inner``, ``left_semi`` and ``left_anti``. ``lookup_rows`` saves the count
     when the caller has already taken it.
     """
@@ -46,11 +50,11 @@ def lookup_join(
 
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     keyed, keyless = facts.filter(~no_key), facts.filter(no_key)
-    top = keyed.groupBy(*keys).count().orderBy(F.desc("count"), *keys).limit(hot_keys).select(*keys)
-    hot = facts.sparkSession.createDataFrame(top.collect(), top.schema)
-    hot_facts = keyed.join(F.broadcast(hot), keys, "left_semi")
-    cold_facts = keyed.join(F.broadcast(hot), keys, "left_anti")
-    hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
+    hot = F.broadcast(_frequent(keyed, keys, hot_keys))
+    hashed, lookup_hashed = keyed.withColumn("_h", F.xxhash64(*keys)), lookup.withColumn("_h", F.xxhash64(*keys))
+    hot_facts = hashed.join(hot, "_h", "left_semi").drop("_h")
+    cold_facts = hashed.join(hot, "_h", "left_anti").drop("_h")
+    hot_lookup = lookup_hashed.join(hot, "_h", "left_semi").drop("_h")
     joined = (
         hot_facts.join(F.broadcast(hot_lookup), keys, how).select(*columns)
         .union(cold_facts.join(lookup, keys, how).select(*columns))
@@ -62,6 +66,21 @@ def lookup_join(
     return joined
 
 
+def _frequent(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """Hashes of the up to k most frequent keys.
+
+    Each group of tasks has a sketch of its own, so that no task merges those of all.
+    """
+    top = F.expr(f"approx_top_k(_h, {k}, {max(SKETCH_ITEMS, k)})").alias("top")
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    found: Counter[int] = Counter()
+    for row in df.select(F.xxhash64(*keys).alias("_h")).groupBy(group).agg(top).collect():
+        for item in row["top"]:
+            found[item["item"]] += item["count"]
+    hashes = [(h,) for h, _ in found.most_common(k)]
+    return df.sparkSession.createDataFrame(hashes, "_h bigint")
+
+
 def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Distinct fact keys that have no dimension row."""
     keys = facts.select(key).filter(F.col(key).isNotNull()).distinct()
