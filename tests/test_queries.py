@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from siftmark.catalog.oracles import ORACLES
+from siftmark.catalog.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -31,10 +33,11 @@ def comparable(columns, data):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(ORACLES) <= set(entry.oracle_sql()) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, str(SF_DIR))
     cursor = db.execute(entry.oracle_sql()[name])
