@@ -126,5 +126,5 @@ def uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     """The rows in which no window occurs, with all their columns."""
     names = {"item_col": "item_id", "item_text_col": "text", "size": WINDOW, "broadcast_bytes": BROADCAST_BYTES} | options
     gone = judged(docs, items, id_col, text_col, **names).where("n_hit > 0").select("_id", "_fp")
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.xxhash64(f"`{text_col}`") == F.col("_fp"))
+    same = docs[id_col].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text_col]) == gone["_fp"])
     return docs.join(gone, same, "left_anti")

@@ -87,30 +87,29 @@ def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def with_deletions(docs: DataFrame, id_col: str, text_col: str, min_lines: int) -> DataFrame:
-    """The rows with _lines, _gone (places among all lines), _longest and _kept (the text that is left)."""
-    gone = deleted_lines(docs, id_col, text_col, min_lines).withColumnsRenamed({"_doc": "_d", "_fp": "_f"})
-    key = (F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))) == gone["_d"]) & (F.xxhash64(docs[text_col]) == gone["_f"])
-    rows = docs.join(gone, key, "left").withColumn("_lines", F.split(F.coalesce(docs[text_col], F.lit("")), "\n"))
-    solid = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda p: F.get("_lines", p).rlike(HAS_WORD))
-    rows = rows.withColumn("_solid", F.when(F.col("gone").isNotNull(), solid))
-    rows = rows.withColumn("_gone", F.transform("gone", lambda k: F.get("_solid", k)))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    text = F.array_join(F.transform(left, lambda p: F.get("_lines", p)), "\n")
-    return rows.withColumn("_kept", F.when(F.col("gone").isNull(), docs[text_col]).otherwise(text))
+    """(row, id, text, lines, gone, longest, kept): the row as it is, and the text that is left of it."""
+    gone = deleted_lines(docs, id_col, text_col, min_lines)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].alias("id"), docs[text_col].alias("text"),
+                       F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64(docs[text_col]).alias("_fp"))
+    rows = rows.join(gone, KEY, "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+    rows = rows.withColumn("solid", F.when(F.col("gone").isNotNull(), F.filter(places, lambda p: F.get("lines", p).rlike(HAS_WORD))))
+    left = F.array_except(places, F.transform("gone", lambda k: F.get("solid", k)))
+    kept = F.array_join(F.transform(left, lambda p: F.get("lines", p)), "\n")
+    return rows.withColumn("kept", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
     """Per row: id, n_lines, n_removed, longest_run (greatest doubled depth of a later copy, or 0), kept_text."""
-    plain = docs.select(F.col(id_col), F.col(text_col))
-    rows = with_deletions(plain, id_col, text_col, min_lines)
-    return rows.select(F.col(id_col), F.size("_lines").cast("long").alias("n_lines"),
+    rows = with_deletions(docs.select(docs[id_col], docs[text_col]), id_col, text_col, min_lines)
+    return rows.select(F.col("id").alias(id_col), F.size("lines").cast("long").alias("n_lines"),
                        F.coalesce(F.size("gone").cast("long"), F.lit(0)).alias("n_removed"),
                        F.coalesce("longest", F.lit(0)).cast("long").alias("longest_run"),
-                       F.coalesce("_kept", F.lit("")).alias("kept_text"))
+                       F.coalesce("kept", F.lit("")).alias("kept_text"))
 
 
 def deduped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
     """The rows with their text less later copies, all columns; a document of which no word is left goes."""
     rows = with_deletions(docs, id_col, text_col, min_lines)
-    rows = rows.where(F.col("gone").isNull() | F.col("_kept").rlike(HAS_WORD))
-    return rows.select(*(F.col("_kept").alias(c) if c == text_col else docs[c] for c in docs.columns))
+    rows = rows.where(F.col("gone").isNull() | F.col("kept").rlike(HAS_WORD))
+    return rows.select(*((F.col("kept") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -26,6 +26,7 @@ BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
 #: Mean log ratio below which a document counts as unlike the target.
 THRESHOLD = -0.15
+PRIOR = 5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -117,10 +118,14 @@ def trusted_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str = "
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """log p_target - log p_raw per bucket, each smoothed with one count per bucket."""
+    """log p_target - log p_raw per bucket, with PRIOR n-grams of the ratio 1 added to each bucket.
+
+    What the corpus hardly has is so neither for nor against a document.
+    """
     if not target.sum():
         return np.zeros(len(raw))
-    return (np.log((target + 1) / (target.sum() + len(target))) - np.log((raw + 1) / (raw.sum() + len(raw))))
+    share = target.sum() / raw.sum()
+    return np.log((target + PRIOR * share) / ((raw + PRIOR) * share))
 
 
 def quality_measures(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
