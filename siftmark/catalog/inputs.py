@@ -9,7 +9,7 @@ supplier   supplier/month               return and status   lines shipped
 customer   customer/year                order priority      orders placed
 =========  ===========================  ==================  ==========================
 
-Population stops with the year 2000, so every series has later periods without it.
+Populations and facts cover every period of their tables.
 """
 
 from __future__ import annotations
@@ -24,8 +24,6 @@ from siftmark.operators.reshape import pivot_measures
 from siftmark.plans.warehouse import small_ranking
 from siftmark.spec import MarketSpec
 
-CENSUS_END = 2000
-
 _COLUMNS = dict(
     entity="entity_key", name="entity_name", period="period", attribute="attribute",
     value="value", unit="unit", population_period="census_period",
@@ -67,13 +65,9 @@ class Inputs:
     entities: DataFrame
 
     @cached_property
-    def dim_rows(self) -> int:
-        """Rows of the table that holds the entities, which bound the dimension and the ranking set."""
-        return self.entities.count()
-
-    @property
     def small(self) -> bool:
-        return small_ranking(self.dim_rows)
+        """Whether one task can rank the set: the table that holds the entities bounds its rows."""
+        return small_ranking(self.entities.count())
 
     @property
     def fact(self) -> DataFrame:
@@ -141,8 +135,7 @@ def _nation_inputs(spark: SparkSession, sf_dir: str, spec: MarketSpec, attribute
         F.round(F.sum("value"), 2).alias("value")
     ).withColumn("unit", F.lit("price"))
     population = (
-        per_customer.filter(F.col("period") <= CENSUS_END)
-        .groupBy("entity_key", F.col("period").alias("census_period"))
+        per_customer.groupBy("entity_key", F.col("period").alias("census_period"))
         .agg(F.count_distinct("o_custkey").cast("double").alias("population"))
     )
     return Inputs(spec, long, nation_dim(spark, sf_dir), population, table(spark, sf_dir, "nation"))
@@ -173,8 +166,7 @@ def supplier_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         F.col("r_name").alias("continent"),
     )
     population = (
-        lines.filter(F.col("period") <= CENSUS_END * 12 + 12)
-        .groupBy("entity_key", F.col("period").alias("census_period"))
+        lines.groupBy("entity_key", F.col("period").alias("census_period"))
         .agg(F.count(F.lit(1)).cast("double").alias("population"))
     )
     return Inputs(SUPPLIER, lines, dim, population, table(spark, sf_dir, "supplier"))
@@ -195,8 +187,7 @@ def customer_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         region.alias("region"), F.col("n_name").alias("sub_region"), region.alias("continent"),
     )
     population = (
-        orders.filter(F.col("period") <= CENSUS_END)
-        .groupBy("entity_key", F.col("period").alias("census_period"))
+        orders.groupBy("entity_key", F.col("period").alias("census_period"))
         .agg(F.count(F.lit(1)).cast("double").alias("population"))
     )
     return Inputs(CUSTOMER, orders, dim, population, table(spark, sf_dir, "customer"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmark.catalog import inputs as bind
@@ -22,7 +22,7 @@ from siftmark.operators.reshape import attributes_present, category_matches, cho
 from siftmark.plans import audit, feeds
 from siftmark.plans import recommend as rec
 from siftmark.plans import warehouse as wh
-from siftmark.sources.readers import read_csv, read_csv_after_preamble, read_table
+from siftmark.sources.readers import FILE_ORDER, read_csv, read_csv_after_preamble, read_table, with_file_order
 from siftmark.sources.scratch import scratch_folder, written
 from siftmark.sources.writers import export_tables, normalise_for_export, write_profile
 from siftmark.spec import SUSPICIOUS_TOKENS, MarketSpec
@@ -42,11 +42,11 @@ def round_growth(df: DataFrame, spec: MarketSpec) -> DataFrame:
 
 
 def metrics_of(i: Inputs) -> DataFrame:
-    return wh.entity_period_metrics(i.fact, i.dim, i.population, i.spec, dim_rows=i.dim_rows)
+    return wh.entity_period_metrics(i.fact, i.dim, i.population, i.spec)
 
 
 def snapshot_of(i: Inputs) -> DataFrame:
-    snapshot = wh.market_snapshot(i.fact, i.dim, i.population, i.spec, dim_rows=i.dim_rows)
+    snapshot = wh.market_snapshot(i.fact, i.dim, i.population, i.spec)
     return round_growth(snapshot, i.spec)
 
 
@@ -377,8 +377,8 @@ def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cleaned_long(raw: DataFrame, codes: DataFrame) -> DataFrame:
-    return wh.clean_long_fact(raw, wh.code_labels(codes), RAW, overrides=OVERRIDES, excluded=EXCLUDED)
+def cleaned_long(raw: DataFrame, codes: DataFrame, order: str | Column = "ISO3 CODE") -> DataFrame:
+    return wh.clean_long_fact(raw, wh.code_labels(codes, order), RAW, overrides=OVERRIDES, excluded=EXCLUDED)
 
 
 RAW = MarketSpec()
@@ -392,7 +392,7 @@ def clean_long_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def name_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_mapping(
-        raw_long(spark, sf_dir), "Country_Name", wh.code_labels(reference_codes(spark, sf_dir)),
+        raw_long(spark, sf_dir), "Country_Name", wh.code_labels(reference_codes(spark, sf_dir), "ISO3 CODE"),
         overrides=OVERRIDES, excluded=EXCLUDED,
     )
 
@@ -409,7 +409,7 @@ def attribute_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("attribute")
     )
     words = {"urgent": ("1-URGENT X", "1-URGENT O", "1-URGENT F"), "low": ("5-LOW P",)}
-    chosen = choose_attributes(attributes_present(long, bind.NATION), words)
+    chosen = choose_attributes(attributes_present(long, bind.NATION, [a for names in words.values() for a in names]), words)
     matches = category_matches(long, bind.NATION, list(words))
     picked = F.create_map(*[F.lit(x) for item in chosen.items() for x in item])
     return matches.withColumn("chosen", F.col("attribute") == picked[F.col("category")])
@@ -432,18 +432,15 @@ def dim_region_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.dim_entity(codes, RAW, lookup)
 
 
-CENSUS_YEARS = range(1995, bind.CENSUS_END + 1)
-
-
 def wide_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per customer as text, one column per year."""
+    """Orders per customer as text, one column per year that has an order."""
     orders = bind.table(spark, sf_dir, "orders").select("o_custkey", bind.year("o_orderdate").alias("y"))
-    cells = [F.count_if(F.col("y") == y).alias(str(y)) for y in CENSUS_YEARS]
-    wide = orders.groupBy("o_custkey").agg(*cells)
+    years = sorted(r.y for r in orders.select("y").distinct().collect() if r.y is not None)
+    wide = orders.groupBy("o_custkey").agg(*[F.count_if(F.col("y") == y).alias(str(y)) for y in years])
     return wide.select(
         F.concat(F.lit("Customer "), F.col("o_custkey")).alias("Country Name"),
         F.col("o_custkey").cast("string").alias("Country Code"), F.lit("orders").alias("Indicator"),
-        *[F.when(F.col(str(y)) > 0, F.col(str(y)).cast("string")).alias(str(y)) for y in CENSUS_YEARS],
+        *[F.when(F.col(str(y)) > 0, F.col(str(y)).cast("string")).alias(str(y)) for y in years],
     )
 
 
@@ -470,8 +467,8 @@ def csv_roundtrip_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     preamble = ['"Data Source","Orders"', " ", '"Last Updated","2001"', " ", header]
     spark.createDataFrame([(x,) for x in preamble], "value string").coalesce(1).write.text(f"{folder}/wide/head")
 
-    codes = read_csv(spark, f"{folder}/codes", sep=";")
-    long = cleaned_long(read_csv(spark, f"{folder}/long"), codes)
+    codes = with_file_order(read_csv(spark, f"{folder}/codes", sep=";"))
+    long = cleaned_long(read_csv(spark, f"{folder}/long"), codes, F.struct(*FILE_ORDER))
     population = wh.clean_population(
         read_csv_after_preamble(spark, f"{folder}/wide/*", header_path=f"{folder}/wide/head"),
         automobile_codes(spark, sf_dir), RAW,
@@ -487,6 +484,21 @@ def csv_roundtrip_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def label_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each label has a code in a small first file and another in a larger second one, which wins."""
+    folder = scratch_folder(spark)
+    codes, suppliers = reference_codes(spark, sf_dir), bind.table(spark, sf_dir, "supplier")
+    old = codes.withColumn("ISO3 CODE", F.concat(F.lit("OLD"), "ISO2 CODE"))
+    more = suppliers.select(
+        F.concat(F.lit("S"), "s_suppkey").alias("ISO3 CODE"), F.lit("S").alias("ISO2 CODE"), F.col("s_name").alias("LABEL EN"))
+    for part, rows in (("1", old), ("2", codes.unionByName(more))):
+        rows.coalesce(1).write.option("header", True).option("sep", ";").csv(f"{folder}/part-{part}")
+    raw = with_file_order(read_csv(spark, f"{folder}/part-*", sep=";"))
+    labels = wh.code_labels(raw, F.struct(*FILE_ORDER))
+    return labels.select(F.col("_label").alias("label"), F.col("_label_code").alias("code"))
+
+
 # Profiles
 
 @query
@@ -744,7 +756,7 @@ def audit_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         audit.check_rose(compare_back(trends, "period", "total_consumption", 5)),
         audit.check_range(trends, nat.spec, (1995, 2001), (1998, 2001)),
         audit.check_region_growth(metrics, nat.spec, 1996, 2000),
-        audit.check_headline(latest.headline_rows(metrics, "entity_key", "period", "population"), nat.spec, 3, 2000),
+        audit.check_headline(latest.headline_rows(metrics, "entity_key", "period", "population"), nat.spec, 3, 2001),
         audit.check_series(audit.series_completeness(metrics, nat.spec), nat.spec, 3,
                            min_rows=7, starts_by=1995, reaches=2001, min_known=90.0),
     ]

@@ -1,84 +1,24 @@
-"""Joins against lookup tables, safe for lookups of any size and for hot keys."""
+"""Joins against lookup tables."""
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftmark.spec import BROADCAST_ROWS
 
-# Keys that are split off, and counters of the sketch that finds them: a key that holds
-# more than about 1/SKETCH_ITEMS of a task group's rows is found.
-HOT_KEYS = 4096
-SKETCH_ITEMS = 16_384
-SKETCH_GROUPS = 64
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``facts`` to a lookup that has one row per key; ``how`` is left, inner, left_semi or left_anti.
 
-
-def is_bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; for a stored table the count reads file footers only."""
-    return df.count() <= max_rows
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    lookup_rows: int | None = None,
-    max_rows: int = BROADCAST_ROWS,
-    hot_keys: int = HOT_KEYS,
-) -> DataFrame:
-    """Join ``facts`` to a lookup that has one row per key, without a hot task.
-
-    A lookup known to be small is broadcast and the facts are not shuffled. Otherwise the
-    most frequent keys, found by a sketch in one pass without a shuffle by key, are split
-    off: their facts join a broadcast of the few lookup rows they need, and the rest goes
-    through an ordinary shuffled join. The sketch only decides the route of a row. Facts without a key match nothing and are not shuffled either. ``how`` is one of
-    ``left``, ``inner``, ``left_semi`` and ``left_anti``. ``lookup_rows`` saves the count
-    when the caller has already taken it.
+    A plain join without hints: adaptive execution sees the sizes in bytes when both sides
+    have run, sends a small lookup to every task, and otherwise splits the partitions of
+    hot keys (and of missing keys) of the facts. Nothing runs while the plan is built and
+    each input is read once. That keys are unique is what ``audit.key_report`` checks.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    rows = lookup.count() if lookup_rows is None else lookup_rows
     added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in keys]
-    columns = [*facts.columns, *added]
-    if rows <= max_rows:
-        return facts.join(F.broadcast(lookup), keys, how).select(*columns)
-
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    keyed, keyless = facts.filter(~no_key), facts.filter(no_key)
-    hot = F.broadcast(_frequent(keyed, keys, hot_keys))
-    hashed, lookup_hashed = keyed.withColumn("_h", F.xxhash64(*keys)), lookup.withColumn("_h", F.xxhash64(*keys))
-    hot_facts = hashed.join(hot, "_h", "left_semi").drop("_h")
-    cold_facts = hashed.join(hot, "_h", "left_anti").drop("_h")
-    hot_lookup = lookup_hashed.join(hot, "_h", "left_semi").drop("_h")
-    joined = (
-        hot_facts.join(F.broadcast(hot_lookup), keys, how).select(*columns)
-        .union(cold_facts.join(lookup, keys, how).select(*columns))
-    )
-    if how in ("left", "left_anti"):
-        types = dict(lookup.dtypes)
-        unmatched = keyless.select(*facts.columns, *[F.lit(None).cast(types[c]).alias(c) for c in added])
-        joined = joined.union(unmatched)
-    return joined
-
-
-def _frequent(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    """Hashes of the up to k most frequent keys.
-
-    Each group of tasks has a sketch of its own, so that no task merges those of all.
-    """
-    top = F.expr(f"approx_top_k(_h, {k}, {max(SKETCH_ITEMS, k)})").alias("top")
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
-    found: Counter[int] = Counter()
-    for row in df.select(F.xxhash64(*keys).alias("_h")).groupBy(group).agg(top).collect():
-        for item in row["top"]:
-            found[item["item"]] += item["count"]
-    hashes = [(h,) for h, _ in found.most_common(k)]
-    return df.sparkSession.createDataFrame(hashes, "_h bigint")
+    return facts.join(lookup, keys, how).select(*facts.columns, *added)
 
 
 def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:

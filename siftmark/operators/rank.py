@@ -80,27 +80,31 @@ def _bucket_ranks(rows: DataFrame, out: Mapping[str, str], n: int, buckets: int)
         m: _bucket_limits(_merge([(r[f"{m}_n"], r[m]) for r in profile if r[m]], buckets)) for m in metrics
     }
     bucket_of = {m: f"{m}_bucket" for m in metrics}
-    # After the value buckets come one for NaN ("keep") and one for NULL.
-    null_bucket = {m: len(limits[m][0]) for m in metrics}
+    # One bucket for -inf comes first; after the value buckets come one each for +inf, NaN and NULL.
+    values = {m: len(limits[m][0]) - 1 for m in metrics}
     bucketed = Bucketizer(
         splitsArray=[splits for splits, _ in limits.values()],
         inputCols=metrics, outputCols=list(bucket_of.values()), handleInvalid="keep",
     ).transform(rows).withColumns({
-        b: F.coalesce(F.col(b).cast("int"), F.lit(null_bucket[m])) for m, b in bucket_of.items()
+        b: F.when(F.col(m).isNull(), values[m] + 3).when(F.isnan(m), values[m] + 2)
+        .when(F.col(m) == math.inf, values[m] + 1).when(F.col(m) == -math.inf, 0)
+        .otherwise(F.col(b).cast("int") + 1)
+        for m, b in bucket_of.items()
     })
 
-    sizes: dict[str, list[int]] = {m: [0] * (null_bucket[m] + 1) for m in metrics}
+    sizes: dict[str, list[int]] = {m: [0] * (values[m] + 4) for m in metrics}
     cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(b).alias("bucket")) for m, b in bucket_of.items()])
     for row in bucketed.select(F.explode(cells).alias("c")).groupBy("c.metric", "c.bucket").count().collect():
         sizes[row["metric"]][row["bucket"]] = row["count"]
 
     result = bucketed
     for m, name in out.items():
-        splits, singles = limits[m]
+        alike = {k + 1 for k in limits[m][1]} | {0, values[m] + 1, values[m] + 2, values[m] + 3}
         below = [0, *accumulate(sizes[m])][:-1]
-        salts = [SALTS if b in singles or b >= len(splits) - 1 else 1 for b in range(len(below))]
+        salts = [SALTS if b in alike else 1 for b in range(len(below))]
         position = F.col(bucket_of[m]) + 1
-        salt = F.pmod(F.xxhash64(*rows.columns), F.element_at(F.expr(_array(salts)), position))
+        # by place, not by content: rows that repeat must not share a salt; all rows of a salted bucket tie
+        salt = F.pmod(F.monotonically_increasing_id(), F.element_at(F.expr(_array(salts)), position))
         w = Window.partitionBy(bucket_of[m], "_salt").orderBy(F.col(m).asc_nulls_last())
         lower = F.element_at(F.expr(_array(below, "L")), position) + F.rank().over(w) - 1
         share = lower / F.lit(float(n - 1)) if n > 1 else F.lit(0.0)

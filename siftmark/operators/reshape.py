@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -43,14 +43,9 @@ def _pivot(long: DataFrame, spec: MarketSpec, cells: Sequence[tuple[str, str]])
     )
 
 
-def attributes_present(long: DataFrame, spec: MarketSpec, max_attributes: int = 10_000) -> list[str]:
-    """Distinct attribute labels; refuses a column that is clearly not an attribute label."""
-    rows = (
-        long.select(spec.attribute).filter(F.col(spec.attribute).isNotNull())
-        .distinct().limit(max_attributes + 1).collect()
-    )
-    if len(rows) > max_attributes:
-        raise ValueError(f"{spec.attribute} has more than {max_attributes} distinct values")
+def attributes_present(long: DataFrame, spec: MarketSpec, candidates: Iterable[str]) -> list[str]:
+    """Those of the candidate labels that occur; runs a job, whose result is no longer than the candidates."""
+    rows = long.select(spec.attribute).filter(F.col(spec.attribute).isin(*set(candidates))).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
@@ -58,7 +53,7 @@ def pivot_present(
     long: DataFrame, spec: MarketSpec, targets: Mapping[str, Sequence[str]]
 ) -> PivotReport:
     """Pivot by a preference list per measure; measures without any present attribute are dropped."""
-    present = set(attributes_present(long, spec))
+    present = set(attributes_present(long, spec, [c for names in targets.values() for c in names]))
     kept: dict[str, str] = {}
     dropped: list[str] = []
     for column, candidates in targets.items():

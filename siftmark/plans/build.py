@@ -13,11 +13,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siftmark.operators.growth import growth_metrics
 from siftmark.operators.reshape import pivot_present
 from siftmark.plans import warehouse as wh
-from siftmark.sources.readers import read_csv, read_csv_after_preamble
+from siftmark.sources.readers import FILE_ORDER, read_csv, read_csv_after_preamble, with_file_order
 from siftmark.sources.writers import write_table
 from siftmark.spec import MarketSpec
 
@@ -43,12 +44,12 @@ class RawFiles:
 
 
 def clean_layer(spark: SparkSession, files: RawFiles, spec: MarketSpec) -> dict[str, DataFrame]:
-    raw_codes = read_csv(spark, files.codes, sep=";")
+    raw_codes = with_file_order(read_csv(spark, files.codes, sep=";"))
     codes = wh.clean_codes(raw_codes)
     wide = read_csv_after_preamble(spark, files.population, files.preamble_lines)
     return {
         "codes": codes,
-        "long": wh.clean_long_fact(read_csv(spark, files.long), wh.code_labels(raw_codes), spec),
+        "long": wh.clean_long_fact(read_csv(spark, files.long), wh.code_labels(raw_codes, F.struct(*FILE_ORDER)), spec),
         "population": wh.clean_population(wide, codes, spec),
     }
 
@@ -74,6 +75,7 @@ def build(
         "analytics/dim": [spec.entity],
         "analytics/fact": spec.keys,
         "analytics/population": [spec.entity, spec.population_period],
+        "analytics/attractiveness": [spec.entity],
     }
 
     def store(name: str, df: DataFrame) -> DataFrame:
@@ -86,29 +88,33 @@ def build(
     for attribute, column in spec.measures.items():
         targets.setdefault(column, []).append(attribute)
     report = pivot_present(raw["long"], spec, targets)
-    return {
+    tables = {
         **{f"raw_{name}": df for name, df in raw.items()},
         "dim": store("analytics/dim", wh.dim_entity(raw["codes"], spec, region_lookup)),
         "fact": store("analytics/fact", report.fact),
         "population": store("analytics/population", wh.fact_population(raw["population"], spec)),
     }
+    snapshot = wh.market_snapshot(tables["fact"], tables["dim"], tables["population"], spec)
+    scores = wh.market_attractiveness(snapshot, spec, small=wh.small_ranking(tables["dim"].count()))
+    return tables | {"attractiveness": store("analytics/attractiveness", scores)}
 
 
 def analytics_views(
     tables: Mapping[str, DataFrame], spec: MarketSpec | None = None, names: Mapping[str, str] = VIEW_NAMES
 ) -> dict[str, DataFrame]:
-    """The views over stored tables, by the names to register them under."""
+    """The lazy views over stored tables, by the names to register them under.
+
+    No job runs here. Scores need the whole ranking set, so ``build`` stores them with the
+    other tables; a later build replaces them, and the view reads what is there.
+    """
     spec = spec or MarketSpec()
     fact, dim, population = tables["fact"], tables["dim"], tables["population"]
-    dim_rows = dim.count()
-    snapshot = wh.market_snapshot(fact, dim, population, spec, dim_rows=dim_rows)
-    attractiveness = wh.market_attractiveness(snapshot, spec, small=wh.small_ranking(dim_rows))
     views = {
-        "metrics": wh.entity_period_metrics(fact, dim, population, spec, dim_rows=dim_rows),
+        "metrics": wh.entity_period_metrics(fact, dim, population, spec),
         "growth": growth_metrics(fact, spec),
-        "snapshot": snapshot,
+        "snapshot": wh.market_snapshot(fact, dim, population, spec),
         "trends": wh.global_trends(fact, spec),
-        "attractiveness": attractiveness,
-        "candidates": wh.top_candidates(attractiveness, spec),
+        "attractiveness": tables["attractiveness"],
+        "candidates": wh.top_candidates(tables["attractiveness"], spec),
     }
     return {names[k]: df for k, df in views.items()}

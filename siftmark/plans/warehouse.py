@@ -24,7 +24,7 @@ from siftmark.operators.rank import percent_ranks
 from siftmark.operators.reconcile import MAPPED_METHODS, label_lookup, resolve_codes
 from siftmark.operators.reshape import unpivot_periods
 from siftmark.operators.topk import top_k
-from siftmark.sources.readers import choose_column, period_columns
+from siftmark.sources.readers import period_columns, resolve_headers
 from siftmark.spec import ISO2_HEADERS, ISO3_HEADERS, NAME_HEADERS, WINDOW_ROWS, MarketSpec
 
 SCORES = ["size_score", "growth_score", "population_score", "import_openness_score"]
@@ -38,9 +38,7 @@ IMPORT_SHARE = "import_dependency_ratio"
 
 def clean_codes(raw: DataFrame) -> DataFrame:
     """Reference codes: columns found by header candidates, stripped, sentinels to NULL."""
-    name = choose_column(raw.columns, NAME_HEADERS, "name")
-    iso3 = choose_column(raw.columns, ISO3_HEADERS, "ISO3")
-    iso2 = choose_column(raw.columns, ISO2_HEADERS, "ISO2")
+    name, iso3, iso2 = resolve_headers(raw.columns, {"name": NAME_HEADERS, "ISO3": ISO3_HEADERS, "ISO2": ISO2_HEADERS})
     blank = F.lit("")
     return raw.select(
         sentinels_to_null(strip(iso3)).alias("iso3_code"),
@@ -50,11 +48,13 @@ def clean_codes(raw: DataFrame) -> DataFrame:
     ).filter(F.col("iso3_code").isNotNull())
 
 
-def code_labels(raw_codes: DataFrame, order: str | Column | None = None) -> DataFrame:
-    """Label lookup of raw reference codes; the later row in ``order`` wins (default: the order in the file)."""
-    name = choose_column(raw_codes.columns, NAME_HEADERS, "name")
-    iso3 = choose_column(raw_codes.columns, ISO3_HEADERS, "ISO3")
-    return label_lookup(raw_codes, name, iso3, F.monotonically_increasing_id() if order is None else order)
+def code_labels(raw_codes: DataFrame, order: str | Column) -> DataFrame:
+    """Label lookup of raw reference codes; of rows with one label the last in ``order`` wins.
+
+    Rows read from files have such an order through ``readers.with_file_order``.
+    """
+    name, iso3 = resolve_headers(raw_codes.columns, {"name": NAME_HEADERS, "ISO3": ISO3_HEADERS})
+    return label_lookup(raw_codes, name, iso3, order)
 
 
 def clean_long_fact(
@@ -148,13 +148,11 @@ def _derived(spec: MarketSpec) -> list[Column]:
 
 
 def entity_period_metrics(
-    fact: DataFrame, dim: DataFrame, population: DataFrame, spec: MarketSpec, *, dim_rows: int | None = None
+    fact: DataFrame, dim: DataFrame, population: DataFrame, spec: MarketSpec
 ) -> DataFrame:
     """Fact with dimension attributes, population and the four derived metrics."""
     attributes = dim.select(spec.entity, spec.name, spec.region, spec.sub_region, spec.continent)
-    joined = lookup_join(
-        _with_population(fact, population, spec), attributes, spec.entity, "inner", lookup_rows=dim_rows
-    )
+    joined = lookup_join(_with_population(fact, population, spec), attributes, spec.entity, "inner")
     return joined.select(
         spec.entity, spec.name, spec.region, spec.sub_region, spec.continent, spec.period,
         *spec.core_measures, spec.population, *_derived(spec),
@@ -173,7 +171,7 @@ def latest_snapshot(metrics: DataFrame, spec: MarketSpec) -> DataFrame:
 
 
 def market_snapshot(
-    fact: DataFrame, dim: DataFrame, population: DataFrame, spec: MarketSpec, *, dim_rows: int | None = None
+    fact: DataFrame, dim: DataFrame, population: DataFrame, spec: MarketSpec
 ) -> DataFrame:
     """``latest_snapshot`` of ``entity_period_metrics``, straight from the facts.
 
@@ -184,7 +182,7 @@ def market_snapshot(
     series = _with_population(fact.filter(F.col(spec.consumption).isNotNull()), population, spec)
     latest = _latest_with_growth(series, spec)
     attributes = dim.select(spec.entity, spec.name, spec.region, spec.continent)
-    joined = lookup_join(latest, attributes, spec.entity, "inner", lookup_rows=dim_rows)
+    joined = lookup_join(latest, attributes, spec.entity, "inner")
     return joined.select(
         spec.entity, spec.name, spec.region, spec.continent, spec.period,
         *spec.core_measures, spec.population, *_derived(spec), *[cagr_name(n) for n in spec.lags],

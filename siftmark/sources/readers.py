@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,32 +20,68 @@ LONG_FACT_SCHEMA = (
 POPULATION_SCHEMA = "country_name string, iso3_code string, year bigint, population double"
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with a header line; columns are taken by name, so extra columns do no harm."""
+#: Columns of ``with_file_order``, in the order of rows.
+FILE_ORDER = ["_file", "_block", "_row"]
+
+
+def read_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = False) -> DataFrame:
+    """CSV with a header line; columns are taken by name, so extra columns do no harm.
+
+    Files are split into blocks at line ends. If quoted fields may hold line breaks, say
+    ``multiline=True``: each file is then read by one task.
+    """
     return (
-        spark.read.option("header", True).option("sep", sep)
+        spark.read.option("header", True).option("sep", sep).option("multiLine", multiline)
         .option("quote", '"').option("escape", '"').csv(path)
     )
 
 
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Rows read from files with their place: file name, start of the block, running number in the task.
+
+    Spark packs files into tasks by size, so a running number alone follows neither the
+    names nor the places of the files.
+    """
+    return df.withColumns({
+        "_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
+        "_row": F.monotonically_increasing_id(),
+    })
+
+
 def read_csv_after_preamble(
     spark: SparkSession, path: str, skip: int = 4, header_path: str | None = None
 ) -> DataFrame:
     """CSV whose header follows ``skip`` preamble lines.
 
     Only the first ``skip + 1`` lines come to the driver. Spark has no option to skip
-    lines, so the rows are parsed from text after dropping lines equal to one of those.
-    ``header_path`` names the part that starts with the preamble when ``path`` is a folder.
+    lines, so the rows are parsed from text. The preamble goes by its place: it is what a
+    task numbers first in the first block of the file that starts with it, so a later line
+    that repeats one of its lines stays. ``header_path`` names that file when ``path`` is
+    a folder. A quoted field must not hold a line break here; a row that has an unclosed
+    quote stops the read instead of being split.
     """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
     head = [r.value for r in spark.read.text(header_path or path).take(skip + 1)]
     if len(head) <= skip:
         raise ValueError(f"{path} has no header after {skip} preamble lines")
-    names = next(csv.reader([head[skip].lstrip("﻿")]))
+    names = next(csv.reader([head[skip].lstrip("\ufeff")]))
     names = [n if n else f"_unnamed_{i}" for i, n in enumerate(names)]
     schema = ", ".join(f"`{n}` string" for n in names)
-    lines = spark.read.text(path).filter(~F.col("value").isin(*head) & (F.trim("value") != ""))
-    row = F.from_csv("value", schema, {"quote": '"', "escape": '"'})
-    return lines.select(row.alias("row")).select("row.*")
+    # where each head line stands first in a block that begins a file: five rows for a file of one preamble
+    starts = lines.filter((F.col("_block") == 0) & F.col("value").isin(*head)).groupBy("_file", "value").agg(
+        F.min("_row").alias("_first"))
+    first = starts.groupBy("_file").agg(F.min("_first").alias("_from"), F.collect_set("value").alias("_head"))
+    whole = first.filter(F.size("_head") == len(set(head))).select("_file", "_from")
+    placed = lines.join(F.broadcast(whole), "_file", "left")
+    in_head = F.col("_row").between(F.col("_from"), F.col("_from") + skip) & (F.col("_block") == 0)
+    rows = placed.filter(~F.coalesce(in_head, F.lit(False)) & (F.trim("value") != ""))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    closed = F.when(quotes % 2 == 1, F.raise_error(F.concat(F.lit("a quoted field is not closed on its line: "), "value")))
+    row = F.from_csv(F.coalesce(closed.cast("string"), F.col("value")), schema, {"quote": '"', "escape": '"'})
+    return rows.select(row.alias("row")).select("row.*")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -53,12 +89,14 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def choose_column(columns: Sequence[str], candidates: Sequence[str], label: str) -> str:
-    """First candidate present among the columns."""
-    for c in candidates:
-        if c in columns:
-            return c
-    raise KeyError(f"no {label} column among {list(columns)}")
+def resolve_headers(columns: Sequence[str], roles: Mapping[str, Sequence[str]]) -> list[str]:
+    """The column of each role, by the order of its candidates; tells of all roles without one at once."""
+    known = set(columns)
+    found = {role: next(filter(known.__contains__, names), None) for role, names in roles.items()}
+    missing = sorted(role for role, column in found.items() if column is None)
+    if missing:
+        raise KeyError(f"no column for {', '.join(missing)} among {sorted(known)}")
+    return list(found.values())
 
 
 def period_columns(columns: Sequence[str]) -> list[str]:

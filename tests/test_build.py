@@ -5,6 +5,7 @@ import pytest
 from siftmark.plans.build import RawFiles, analytics_views, build
 from siftmark.sources.writers import register_views
 from siftmark.spec import BALANCE_MEASURES
+from util import plan
 
 COUNTRIES = {"Brazil": "BRA", "Viet Nam": "VNM", "Germany": "DEU", "Namibia": "NAM", "Mexico": "MEX"}
 SOURCE_NAMES = {"Vietnam": "VNM", "BRAZIL": "BRA", "Germany ": "DEU", "Mexico": "MEX"}
@@ -64,3 +65,11 @@ def test_views(spark, views):
     assert one.count() == 11 and one.filter("population IS NULL").count() == 1
     assert spark.table("v_country_growth_metrics").filter("consumption_cagr_10y IS NOT NULL").count() == 4 * 6
     assert spark.table("v_market_attractiveness").count() == 4
+
+
+def test_a_later_build_shows_in_the_view(spark, views):
+    """Scores are a table of the build: the view has what was stored last."""
+    path = views["attractiveness"].inputFiles()[0].rsplit("/", 1)[0]
+    before = {r.iso3_code: r.composite_score for r in spark.table("v_market_attractiveness").collect()}
+    assert set(before) == {r.iso3_code for r in spark.read.parquet(path).collect()}
+    assert "Window" not in plan(views["attractiveness"]) and "Join" not in plan(views["attractiveness"])

@@ -86,3 +86,23 @@ def test_leaders(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0), ("b", 3.0, 5.0), ("c", 3.0, None)], "e string, x double, y double")
     assert rows(component_leaders(df, "e", {"x": "x", "y": "y"})) == [("x", "b"), ("y", "a")]
     assert rows(component_leaders(df, "e", {"x": "x", "y": "y"}, direction="lowest")) == [("x", "a"), ("y", "a")]
+
+
+def test_hot_groups_are_split(spark):
+    """Rows that repeat and a frequent infinity tie, and no window group holds them all."""
+    n = 6000
+    values = [float("inf") if i % 3 == 0 else float("-inf") if i % 7 == 0 else float(i % 5) if i % 2 else float(i) for i in range(n)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
+    out = percent_ranks(df, {"p": "v"}, small=False, buckets=16)
+    got = sorted((r.v, r.p) for r in out.collect())
+    assert [p for _, p in got] == pytest.approx([p for _, p in sorted(zip(values, brute(values)))])
+    groups = out.select("v", "p").groupBy("v").count()
+    assert groups.filter("v = double('inf')").first()["count"] == n // 3
+
+
+def test_infinities_and_nan_have_places_of_their_own(spark):
+    values = [float("nan"), float("inf"), float("-inf"), 1.0, None, float("inf"), -1.7e308, 1.7e308]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    for small in (True, False):
+        got = {r.id: r.p for r in percent_ranks(df, {"p": "v"}, small=small).collect()}
+        assert got == pytest.approx({2: 0, 6: 1 / 7, 3: 2 / 7, 7: 3 / 7, 1: 4 / 7, 5: 4 / 7, 0: 6 / 7, 4: 1})

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from siftmark.plans import warehouse as wh
 from siftmark.sources import readers, writers
 from siftmark.sources.scratch import written
-from siftmark.spec import NAME_HEADERS
+from siftmark.spec import ISO3_HEADERS, NAME_HEADERS
 from util import SPEC, rows
 
 
@@ -28,16 +28,17 @@ def raw(tmp_path):
 
 
 def test_clean_layer(spark, raw):
-    raw_codes = readers.read_csv(spark, str(raw / "codes.csv"), sep=";")
+    raw_codes = readers.with_file_order(readers.read_csv(spark, str(raw / "codes.csv"), sep=";"))
+    order = F.struct(*readers.FILE_ORDER)
     codes = wh.clean_codes(raw_codes)
     assert rows(codes.select("iso3_code", "iso2_code", "english_name")) == [
         ("BHS", "BS", "Bahamas"), ("BRA", "BR", "Brazil"), ("NAM", "NA", "Namibia")  # the code NA survives
     ]
-    assert rows(wh.code_labels(raw_codes)) == [
+    assert rows(wh.code_labels(raw_codes, order)) == [
         ("bahamas", "BHS"), ("brazil", "BRA"), ("namibia", "NAM")
     ]
     long = wh.clean_long_fact(
-        readers.read_csv(spark, str(raw / "long.csv")), wh.code_labels(raw_codes), SPEC
+        readers.read_csv(spark, str(raw / "long.csv")), wh.code_labels(raw_codes, order), SPEC
     )
     assert rows(long) == [
         ("BHS", "Bahamas, The", 2020, 1, "Production", 1.5, "u"), ("BRA", "BRAZIL", 2021, 1, "Production", 2.0, "u")
@@ -52,19 +53,46 @@ def test_clean_layer(spark, raw):
 
 def test_later_label_row_wins(spark, tmp_path):
     (tmp_path / "codes.csv").write_text("ISO3 CODE;ISO2 CODE;LABEL EN\nZZZ;Z;Brazil\nBRA;B; BRAZIL\nAAA;A;Chad\n")
-    labels = wh.code_labels(readers.read_csv(spark, str(tmp_path / "codes.csv"), sep=";"))
+    raw = readers.with_file_order(readers.read_csv(spark, str(tmp_path / "codes.csv"), sep=";"))
+    labels = wh.code_labels(raw, F.struct(*readers.FILE_ORDER))
     assert rows(labels) == [("brazil", "BRA"), ("chad", "AAA")]
 
 
+def test_later_file_wins_whatever_its_size(spark, tmp_path):
+    """Spark packs large files first; the order of the names counts."""
+    head = "ISO3 CODE;ISO2 CODE;LABEL EN\n"
+    filler = "".join(f"F{k};F;Filler {k}\n" for k in range(500))
+    (tmp_path / "part-0.csv").write_text(head + "OLD;B;Brazil\n")
+    (tmp_path / "part-1.csv").write_text(head + "NEW;B;Brazil\n" + filler)
+    raw = readers.with_file_order(readers.read_csv(spark, str(tmp_path), sep=";"))
+    labels = wh.code_labels(raw, F.struct(*readers.FILE_ORDER))
+    assert labels.filter("_label = 'brazil'").first()[1] == "NEW"
+
+
+def test_data_line_equal_to_a_preamble_line_stays(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("x,1\n\nnote\n\nname,2001\na,5\nx,1\nnote\nname,2001\n")
+    found = readers.read_csv_after_preamble(spark, str(tmp_path / "p.csv"))
+    assert rows(found) == [("a", "5"), ("name", "2001"), ("note", None), ("x", "1")]
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b\n"one\ntwo",3\nx,4\n')
+    found = readers.read_csv(spark, str(tmp_path / "q.csv"), multiline=True)
+    assert rows(found) == [("one\ntwo", "3"), ("x", "4")]
+    (tmp_path / "p.csv").write_text('t\n\n\n\na,b\n"one\ntwo",3\n')
+    with pytest.raises(Exception, match="not closed"):
+        readers.read_csv_after_preamble(spark, str(tmp_path / "p.csv")).collect()
+
+
 def test_preamble_shorter_than_asked(spark, raw):
     with pytest.raises(ValueError):
         readers.read_csv_after_preamble(spark, str(raw / "codes.csv"), skip=40)
 
 
-def test_choose_column():
-    assert readers.choose_column(["a", "ISO3", "name"], NAME_HEADERS, "name") == "name"
-    with pytest.raises(KeyError):
-        readers.choose_column(["a"], NAME_HEADERS, "name")
+def test_resolve_headers():
+    assert readers.resolve_headers(["a", "ISO3", "name"], {"name": NAME_HEADERS, "ISO3": ISO3_HEADERS}) == ["name", "ISO3"]
+    with pytest.raises(KeyError, match="ISO3, name"):
+        readers.resolve_headers(["a"], {"name": NAME_HEADERS, "ISO3": ISO3_HEADERS})
 
 
 def test_export(spark, tmp_path):
