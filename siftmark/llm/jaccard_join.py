@@ -15,9 +15,11 @@ their distance 1 - J is at most eps. The result is each document's set size and
    Links to pivots are settled on the way, and a region whose documents are already connected is done.
 3. Recursion ends at LEAF documents, or where pivots don't separate; these are compared exactly.
 
-A region of at most MAX_REGION documents is split within one task. A larger one is split by Spark: its
-documents are dealt to blocks, each block meets the region's pivots, and the Voronoi regions are new
-regions. What still is too large after LEVELS rounds is joined block by block. Nothing is capped.
+A region of at most MAX_REGION shingles is split within one task. A larger one is split by Spark: its
+documents are dealt to blocks, and each block meets the region's pivots. A region that is connected by
+then is done; where few documents are outside the largest component, these are compared with all others;
+otherwise the Voronoi regions are new regions. What is left after LEVELS rounds is joined block by block.
+Equal sets are compared once. Nothing is capped.
 
 Slices: if linked sets of a size class differ in at most D elements, then of D + 1 + s slices at least
 s + 1 are equal, and one of them is not empty unless both sets have more than s empty slices. Sets with
@@ -49,7 +51,9 @@ SHINGLE = 5
 PERCENT = 80
 LEAF = 48
 PIVOTS = 8
-MAX_REGION = 4096
+#: Shingles of a region that one task takes, and documents of a block of a larger region.
+MAX_REGION = 12_000_000
+BLOCK = 4096
 LEVELS = 3
 SALTS = 32
 SLACK = 1e-9
@@ -180,22 +184,13 @@ def meeting_edges(sigs: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class Sets:
-    """Sets of a region, with union-find over those found linked."""
+    """Sets of a region, with a component label for each."""
 
     def __init__(self, blobs: list[bytes], percent: int):
         self.sets = [np.frombuffer(b, U64) for b in blobs]
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.percent, self.eps = percent, 1 - percent / 100
-        self.root = np.arange(len(blobs))
-
-    def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = int(self.root[i])
-        return i
-
-    def roots(self, members: np.ndarray) -> np.ndarray:
-        return np.array([self.find(int(i)) for i in members])
+        self.label = np.arange(len(blobs))
 
     def against(self, pivot: int, members: np.ndarray, tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances to the pivot, and whether the threshold is reached (in whole numbers)."""
@@ -206,25 +201,25 @@ class Sets:
         return 1 - shared / union, 100 * shared >= self.percent * union
 
     def link(self, pivot: int, members: np.ndarray) -> None:
-        for i in members:
-            a, b = self.find(pivot), self.find(int(i))
-            self.root[max(a, b)] = min(a, b)
+        labels = np.unique(self.label[np.append(members, pivot)])
+        if len(labels) > 1:
+            self.label[np.isin(self.label, labels)] = labels[0]
 
     def flat(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate([self.sets[i] for i in members]), np.repeat(np.arange(len(members)), self.sizes[members])
 
     def compare(self, members: np.ndarray, tokens: np.ndarray, owner: np.ndarray) -> None:
         """Every member in turn against the others, unless all it could link with are connected to it."""
+        sizes = self.sizes[members]
         for k, i in enumerate(members):
-            open_ = self.roots(members) != self.find(int(i))
-            fits = (100 * np.minimum(self.sizes[i], self.sizes[members]) >= self.percent * np.maximum(self.sizes[i], self.sizes[members]))
-            if (open_ & fits)[k:].any():
+            fits = 100 * np.minimum(self.sizes[i], sizes) >= self.percent * np.maximum(self.sizes[i], sizes)
+            if (fits & (self.label[members] != self.label[i])).any():
                 _, linked = self.against(int(i), members, tokens, owner)
                 self.link(int(i), members[linked])
 
     def join(self, members: np.ndarray) -> None:
         """Find all links between the members, as far as they connect."""
-        if len(members) < 2 or len(np.unique(self.roots(members))) == 1:
+        if len(members) < 2 or (self.label[members] == self.label[members[0]]).all():
             return
         tokens, owner = self.flat(members)
         if len(members) <= LEAF:
@@ -239,25 +234,26 @@ class Sets:
             if len(pivots) == PIVOTS or nearest.max() <= 0:
                 break
             pivots.append(int(members[nearest.argmax()]))
-        for d in distances:
-            region = members[d <= nearest + 2 * self.eps + SLACK]
-            if len(region) > 0.8 * len(members):
-                self.compare(members, tokens, owner)
-                return
-        for d in distances:
-            self.join(members[d <= nearest + 2 * self.eps + SLACK])
+        regions = [members[d <= nearest + 2 * self.eps + SLACK] for d in distances]
+        if max(map(len, regions)) > 0.8 * len(members):
+            self.compare(members, tokens, owner)
+            return
+        del tokens, owner
+        for region in regions:
+            self.join(region)
 
 
 def join_regions(regions: np.ndarray, ids: np.ndarray, blobs: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (least linked id, id) of the components in each of the regions."""
+    """Edges (a linked id, id) that connect the components in each of the regions."""
     order = np.lexsort((ids, regions))
     out_a, out_b = [], []
     for rows in np.split(order, np.flatnonzero(np.diff(regions[order])) + 1) if len(order) else []:
-        sets = Sets([blobs[i] for i in rows], percent)
-        sets.join(np.arange(len(rows)))
-        roots = sets.roots(np.arange(len(rows)))
-        moved = roots != np.arange(len(rows))
-        out_a.append(ids[rows[roots[moved]]])
+        _, lead, copy_of = np.unique([blobs[i] for i in rows], return_index=True, return_inverse=True)
+        sets = Sets([blobs[rows[i]] for i in lead], percent)  # equal sets are compared once
+        sets.join(np.arange(len(lead)))
+        first = lead[sets.label[copy_of]]
+        moved = first != np.arange(len(rows))
+        out_a.append(ids[rows[first[moved]]])
         out_b.append(ids[rows[moved]])
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
@@ -325,60 +321,97 @@ def group_edges(rows: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("task").applyInArrow(run, "a long, b long")
 
 
-def voronoi(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """One distributed split: rows (kind, a, b, set), kind 1 an edge, kind 0 (new region, id, set).
+def meet_pivots(rows: DataFrame, pivots: DataFrame, percent: int, block: int, split: bool) -> DataFrame:
+    """Rows (kind, a, b) of documents (region, size, _id, set) and pivots of their regions.
 
-    Rows need region and size, the number of the region's documents. About PIVOTS documents of a
-    region are pivots, chosen by the hash of their id; blocks of a region meet all of them.
+    The documents of a region are dealt to blocks, and each block meets all of the region's pivots. Kind 1
+    is a link (pivot, id); kind 0, only with `split`, is a Voronoi region and an id in it.
     """
     blocks = F.ceil(F.col("size") / block).cast("long")
-    pivots = rows.where(F.pmod(F.xxhash64("_id"), F.ceil(F.col("size") / PIVOTS)) == 0)
-    pivots = pivots.withColumn("task", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = rows.withColumn("task", F.pmod(F.xxhash64(F.col("_id"), F.lit(7)), blocks))
+    pivots = pivots.select("region", "_id", "set", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("task"))
+    pivots = pivots.select(*(F.col(c).alias(c) for c in pivots.columns))  # both sides may come from one frame
     eps = 1 - percent / 100
 
     def run(nodes: pa.Table, at: pa.Table) -> pa.Table:
-        own = np.array([len(s) for s in at["set"].to_pylist()])
-        k, m = at.num_rows, nodes.num_rows
-        sets = Sets(at["set"].to_pylist() + nodes["set"].to_pylist(), percent)
+        m, k = nodes.num_rows, at.num_rows
         ids, pivot_ids, region = nodes["_id"].to_numpy(), at["_id"].to_numpy(), nodes["region"].to_numpy()
-        if not m:
-            return pa.table({"kind": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "set": pa.array([], pa.binary())})
-        if not k:  # no pivot: the region stays whole
-            return pa.table({"kind": np.zeros(m, np.int32), "a": region, "b": ids, "set": nodes["set"].combine_chunks()})
-        members = np.arange(k, k + m)
-        tokens, owner = sets.flat(members)
-        found = [sets.against(p, members, tokens, owner) for p in range(len(own))]
-        nearest = np.min([d for d, _ in found], axis=0)
-        a = [np.full(int(on.sum()), pivot_ids[p]) for p, (_, on) in enumerate(found)]
-        b = [ids[on] for _, on in found]
-        where = [np.flatnonzero(d <= nearest + 2 * eps + SLACK) for d, _ in found]
-        new = [mix(np.full(len(w), region[0]).view(U64) + mix(np.full(len(w), pivot_ids[p]).view(U64))).view(np.int64) for p, w in enumerate(where)]
-        blobs = nodes["set"].combine_chunks()
-        edges = pa.table({"kind": np.ones(sum(map(len, a)), np.int32), "a": np.concatenate(a), "b": np.concatenate(b),
-                          "set": pa.nulls(sum(map(len, a)), pa.binary())})
-        rest = np.concatenate(where)
-        again = pa.table({"kind": np.zeros(len(rest), np.int32), "a": np.concatenate(new), "b": ids[rest], "set": blobs.take(pa.array(rest))})
-        return pa.concat_tables([edges, again])
+        kinds, a, b = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if m and not k and split:  # no pivot: the region stays whole
+            kinds, a, b = [np.zeros(m, np.int32)], [region], [ids]
+        elif m and k:
+            sets = Sets(at["set"].to_pylist() + nodes["set"].to_pylist(), percent)
+            members = np.arange(k, k + m)
+            tokens, owner = sets.flat(members)
+            nearest = np.full(m, np.inf)
+            found = []
+            for p in range(k):
+                d, linked = sets.against(p, members, tokens, owner)
+                kinds.append(np.ones(int(linked.sum()), np.int32))
+                a.append(np.full(int(linked.sum()), pivot_ids[p]))
+                b.append(ids[linked])
+                if split:
+                    found.append(d)
+                    nearest = np.minimum(nearest, d)
+            for p, d in enumerate(found):
+                near = d <= nearest + 2 * eps + SLACK
+                name = mix(np.array([region[0], pivot_ids[p]], np.int64).view(U64) * np.array([3, 5], U64)).sum()
+                kinds.append(np.zeros(int(near.sum()), np.int32))
+                a.append(np.full(int(near.sum()), name, U64).view(np.int64))
+                b.append(ids[near])
+        return pa.table({"kind": np.concatenate(kinds), "a": np.concatenate(a), "b": np.concatenate(b)})
 
     keys = ["region", "task"]
-    return dealt.groupBy(*keys).cogroup(pivots.groupBy(*keys)).applyInArrow(run, "kind int, a long, b long, set binary")
-
-
-def sized(rows: DataFrame) -> DataFrame:
-    return rows.join(rows.groupBy("region").agg(F.count("*").alias("size")), "region")
+    return dealt.groupBy(*keys).cogroup(pivots.groupBy(*keys)).applyInArrow(run, "kind int, a long, b long")
 
 
 def block_pairs(rows: DataFrame, block: int) -> DataFrame:
-    """Each region in blocks; every two blocks of a region, and each by itself, are a task group."""
+    """Each region in blocks; every two blocks of a region are a task group."""
     blocks = F.greatest(F.lit(2), F.ceil(F.col("size") / (block // 2))).cast("long")
     own = rows.withColumn("n", blocks).withColumn("own", F.pmod(F.xxhash64(F.col("_id"), F.lit(11)), F.col("n")))
-    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).where("own <> other or n = 1")
+    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).where("own <> other")
     return pairs.withColumn("task", F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")))
 
 
+def split_regions(members: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Edges of regions (region, _id) too large for a task. sets: (_id, set), stored.
+
+    In a round some documents of each region are its pivots and meet all the others. A region that this
+    connects is done. If few documents are left outside its largest component, these become pivots in
+    turn: then all their links are known, and the region is done. Otherwise it is split by its pivots.
+    """
+    edges = None
+    for level in range(LEVELS):
+        members = written(members.join(members.groupBy("region").agg(F.count("*").alias("size")), "region"))
+        rows = members.join(sets, "_id")
+        chosen = F.pmod(F.xxhash64("_id"), F.ceil(F.col("size") / PIVOTS)) == 0
+        links = written(meet_pivots(rows, rows.where(chosen), percent, block, False))
+        found = links.select("a", "b")
+        edges = found if edges is None else edges.unionByName(found)
+        known = components(edges)
+        label = members.join(known.withColumnRenamed("node", "_id"), "_id", "left").withColumn("label", F.coalesce("component", "_id"))
+        label = written(label.select("region", "size", "_id", "label"))
+        largest = label.groupBy("region", "label").agg(F.count("*").alias("n"), F.max("size").alias("size"))
+        largest = largest.groupBy("region").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.max("size").alias("size"), F.max("n").alias("n"))
+        state = written(largest.withColumn("outside", F.col("size") - F.col("n")).where("outside > 0").drop("size", "n"))
+        if state.isEmpty():
+            return edges
+        open_ = label.join(state, "region")
+        few = open_.where(F.col("outside") <= F.lit(block))
+        stragglers = few.where("label <> most").select("region", "size", "_id")
+        edges = edges.unionByName(written(meet_pivots(few.select("region", "size", "_id").join(sets, "_id"), stragglers.join(sets, "_id"),
+                                                      percent, block, False)).select("a", "b"))
+        many = open_.where(F.col("outside") > block).select("region", "size", "_id").join(sets, "_id")
+        members = written(meet_pivots(many, many.where(chosen), percent, block, True).where("kind = 0")
+                          .select(F.col("a").alias("region"), F.col("b").alias("_id")))
+        if members.isEmpty():
+            return edges
+    sized = members.join(members.groupBy("region").agg(F.count("*").alias("size")), "region")
+    return edges.unionByName(group_edges(block_pairs(sized.join(sets, "_id"), block), percent))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                       percent: int = PERCENT, max_region: int = MAX_REGION) -> DataFrame:
+                       percent: int = PERCENT, max_region: int = MAX_REGION, block: int = BLOCK) -> DataFrame:
     """Per row: id, n_shingles, component_id (least id reachable by links).
 
     Runs jobs while it is called: meetings, components of regions and their sizes are written to the
@@ -389,29 +422,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     met = written(seed_meetings(rows, shingle, percent, count))
     regions = components(met.where("kind = 1").select("a", "b"))
-    sizes = regions.groupBy("component").agg(F.count("*").alias("size"))
-    large = written(sizes.where(F.col("size") > max_region))
+    widths = met.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.max("b").alias("n"))
+    sizes = regions.join(widths, "node").groupBy("component").agg(F.sum("n").alias("n"))
+    large = written(sizes.where(F.col("n") > max_region).select("component"))
     deal = F.pmod(F.xxhash64("region"), F.lit(count)).cast("long")
     if large.isEmpty():
         edges = group_edges(with_sets(rows, regions, shingle).withColumn("task", deal), percent)
     else:
-        small = regions.join(large, "component", "left_anti")
+        small, rest = (regions.join(large, "component", how) for how in ("left_anti", "left_semi"))
         edges = group_edges(with_sets(rows, small, shingle).withColumn("task", deal), percent)
-        rest = written(sized(with_sets(rows, regions.join(large.select("component"), "component", "left_semi"), shingle)))
-        for _ in range(LEVELS):
-            split = written(voronoi(rest, percent, max_region))
-            edges = edges.unionByName(split.where("kind = 1").select("a", "b"))
-            known = components(split.where("kind = 1").select("a", "b"))
-            parts = split.where("kind = 0").select(F.col("a").alias("region"), F.col("b").alias("_id"), "set")
-            label = parts.select("region", "_id").join(known.withColumnRenamed("node", "_id"), "_id", "left")
-            label = label.groupBy("region").agg(F.min(F.coalesce("component", "_id")).alias("low"), F.max(F.coalesce("component", "_id")).alias("high"), F.count("*").alias("size"))
-            parts = written(parts.join(label.where("low <> high"), "region").drop("low", "high"))
-            edges = edges.unionByName(group_edges(parts.where(F.col("size") <= max_region).withColumn("task", deal), percent))
-            rest = parts.where(F.col("size") > max_region)
-            if rest.isEmpty():
-                break
-        else:
-            edges = edges.unionByName(group_edges(block_pairs(rest, max_region), percent))
+        sets = written(with_sets(rows, rest, shingle))
+        alike = sets.groupBy(F.sha2("set", 256).alias("key"), "region").agg(F.min("_id").alias("first"))
+        copies = written(sets.select(F.sha2("set", 256).alias("key"), "region", "_id").join(alike, ["key", "region"]).where("_id <> first"))
+        edges = edges.unionByName(copies.select(F.col("first").alias("a"), F.col("_id").alias("b")))
+        nodes = sets.join(copies.select("_id"), "_id", "left_anti")
+        edges = edges.unionByName(split_regions(nodes.select("region", "_id"), nodes.select("_id", "set"), percent, block))
     found = components(edges)
     sized_docs = met.where("kind <> 1").select(F.when(F.col("kind") == 0, F.col("a")).alias("_id"), F.col("b").alias("n_shingles"))
     out = sized_docs.join(found.withColumnsRenamed({"node": "_id"}), "_id", "left")
