@@ -727,3 +727,38 @@ b AS (SELECT count(*) AS n FROM cus_snapshot WHERE region = 'ATLANTIS'),
 c AS (SELECT count(*) AS n FROM cus_trends WHERE period = 2001),
 d AS (SELECT count(*) AS n FROM cus_metrics WHERE entity_key = -1)"""),
 }
+
+
+def _findings(check_id: str, details: str, name: str, sql: str, otherwise: str = "FAIL") -> str:
+    return (
+        f"SELECT '{check_id}' AS check_id, CASE WHEN n = 0 THEN 'PASS' ELSE '{otherwise}' END AS status, CAST(n AS DOUBLE) AS measured, "
+        f"0.0::DOUBLE AS threshold, '{details}' || CASE WHEN n > 0 THEN ': ' || names ELSE '' END AS details FROM ("
+        f"SELECT count(*) AS n, array_to_string(list(CAST({name} AS VARCHAR) ORDER BY {name})[1:5], ', ') AS names FROM ({sql}))"
+    )
+
+
+def _minimums(prefix: str, sql: str, rows: int, keys: int, value: str | None = None) -> list[str]:
+    found = (f"(SELECT count(*) AS n, count(DISTINCT entity_key) AS keys, count(*) FILTER (WHERE entity_key IS NULL) AS nulls, "
+             f"count(*) FILTER (WHERE {value or 'entity_key'} IS NULL) AS empty FROM ({sql}))")
+    out = [_check(f"{prefix}-rows", "n", rows, f"n >= {rows}", "row count", found),
+           _check(f"{prefix}-keys", "keys", keys, f"keys >= {keys}", "distinct keys", found),
+           _check(f"{prefix}-null-keys", "nulls", 0, "nulls = 0", "no missing key", found)]
+    return out + ([_check(f"{prefix}-null-values", "empty", 0, "empty = 0", "no missing value", found)] if value else [])
+
+
+ORACLES["detail_checks"] = "\nUNION ALL ".join([
+    _findings("B2", "per capita within bounds", "entity_key", ORACLES["per_capita_outside"]),
+    _check("B4", "n", 1, "n >= 1", "7 is in the top 20 by imports", "(SELECT count(*) FILTER (WHERE entity_key = 7) AS n FROM ("
+           + _sql("sup", """
+SELECT entity_key FROM sup_fact WHERE period = (SELECT max(period) FROM sup_fact)
+ORDER BY imports DESC NULLS LAST, entity_key LIMIT 20""", views=False) + "))"),
+    _findings("C1-names", "no extreme growth", "entity_key", _sql("sup", "SELECT entity_key FROM sup_snapshot WHERE abs(consumption_cagr_5y) > 0.5"), "WARN"),
+    _findings("C2", "core producers report production", "entity_key", ORACLES["missing_production"], "WARN"),
+    _findings("E5", "codes have the right form", "p_brand", ORACLES["invalid_codes"]),
+    _findings("T4", "headlines within bounds", "entity_key", ORACLES["headline_outside"]),
+    _findings("M1-names", "every name is mapped", '"Country_Name"',
+              f"SELECT * FROM ({ORACLES['name_reconciliation']}) WHERE match_method = 'unmapped'", "WARN"),
+    *_minimums("G2", _sql("sup", "SELECT entity_key FROM sup_dim"), 5, 5),
+    *_minimums("G4", _sql("sup", "SELECT entity_key, population FROM sup_pop"), 100, 0, "population"),
+    *_minimums("G5", _sql("sup", "SELECT entity_key, consumption FROM sup_snapshot"), 5, 0, "consumption"),
+])

@@ -767,6 +767,30 @@ def audit_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.union_checks(audit_parts(spark, sf_dir)).withColumn("measured", F.round("measured", 4))
 
 
+def detail_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Status rows of the checks whose findings are queries of their own, with the first names."""
+    i = bind.supplier_inputs(spark, sf_dir)
+    unmapped = name_reconciliation(spark, sf_dir).filter("match_method = 'unmapped'")
+    growth = F.abs(F.col(cagr_name(i.spec.lags[0])))
+    return [
+        audit.check_findings(per_capita_outside(spark, sf_dir), "B2", "per capita within bounds", "entity_key"),
+        audit.check_leads(i.fact, i.spec, "B4", 7, "imports", 20),
+        audit.check_findings(snapshot_of(i).filter(growth > 0.5), "C1-names", "no extreme growth", "entity_key", "WARN"),
+        audit.check_findings(missing_production(spark, sf_dir), "C2", "core producers report production", "entity_key", "WARN"),
+        audit.check_findings(invalid_codes(spark, sf_dir), "E5", "codes have the right form", "p_brand"),
+        audit.check_findings(headline_outside(spark, sf_dir), "T4", "headlines within bounds", "entity_key"),
+        audit.check_findings(unmapped, "M1-names", "every name is mapped", "Country_Name", "WARN"),
+        audit.check_table("G2", i.dim, key="entity_key", min_rows=5, min_keys=5),
+        audit.check_table("G4", i.population, key="entity_key", value="population", min_rows=100),
+        audit.check_table("G5", snapshot_of(i), key="entity_key", value="consumption", min_rows=5),
+    ]
+
+
+@query
+def detail_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.union_checks(detail_parts(spark, sf_dir))
+
+
 @query
 def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.scorecard(audit.union_checks(audit_parts(spark, sf_dir)))

@@ -370,11 +370,18 @@ def check_snapshot(snapshot: DataFrame, spec: MarketSpec, min_pct: float = 95.0)
 
 
 def missing_production(fact: DataFrame, spec: MarketSpec, entities: Sequence, periods: int = 5) -> DataFrame:
-    """Rows of core producers in the latest periods without production."""
-    first = fact.agg(F.max(spec.period) - (periods - 1)).scalar()
-    return fact.filter(
-        (F.col(spec.period) >= first) & F.col(spec.entity).isin(*entities) & null_or_zero(spec.production)
-    ).select(*spec.keys, spec.production)
+    """Rows of core producers in the latest periods without production.
+
+    One pass: totals per period, each with the named producers that lack production in it
+    (no more than there are names), and the latest period is taken over these few rows.
+    """
+    wanted = F.col(spec.entity).isin(*entities) & null_or_zero(spec.production)
+    by_period = fact.groupBy(spec.period).agg(
+        F.collect_list(F.when(wanted, F.struct(spec.entity, spec.production))).alias("_rows"))
+    latest = F.max(spec.period).over(Window.partitionBy())
+    recent = by_period.withColumn("_latest", latest).filter(F.col(spec.period) > F.col("_latest") - periods)
+    return recent.select(spec.period, F.explode("_rows").alias("_row")).select(
+        F.col(f"_row.{spec.entity}").alias(spec.entity), spec.period, F.col(f"_row.{spec.production}").alias(spec.production))
 
 
 def check_ranking(
@@ -401,6 +408,20 @@ def check_ranking(
     )
 
 
+def check_findings(
+    findings: DataFrame, check_id: str, details: str, name: str, otherwise: str = "FAIL", show: int = 5
+) -> DataFrame:
+    """As ``check_empty``, with the first names of the findings in the details."""
+    first = findings.select(F.col(name).alias("name")).orderBy("name").limit(show)
+    listed = first.agg(F.array_join(F.transform(F.array_sort(F.collect_list("name")), lambda x: x.cast("string")), ", ").alias("names"))
+    both = count_rows(findings).withColumn("names", F.lit("")).unionByName(listed.select(F.lit(0).cast("bigint").alias("n"), "names"))
+    one = both.agg(F.sum("n").alias("n"), F.max("names").alias("names"))
+    status = F.when(F.col("n") == 0, "PASS").otherwise(otherwise)
+    shown = F.concat(F.lit(details), F.when(F.col("n") > 0, F.concat(F.lit(": "), "names")).otherwise(""))
+    return one.select(F.lit(check_id).alias("check_id"), status.alias("status"), F.col("n").cast("double").alias("measured"),
+                      F.lit(0.0).alias("threshold"), shown.alias("details"))
+
+
 # Load, mapping and cleaning
 
 def check_mapping(counts: DataFrame, min_mapped: int = 70, max_unmapped: int = 15) -> DataFrame:
