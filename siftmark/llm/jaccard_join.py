@@ -183,75 +183,116 @@ def meeting_edges(sigs: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.nd
     return ids[root[moved]], ids[moved]
 
 
+class Table:
+    """Elements of some sets as numbers, for counting what one of them shares with the others.
+
+    Elements that only one set has, and those that all have, are not stored: they add nothing or one.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        keep = (count[number] > 1) & (count[number] < len(sets))
+        self.common = int((count == len(sets)).sum()) if len(sets) > 1 else 0
+        self.number, self.owner = number[keep].astype(np.int32), owner[keep].astype(np.int32)
+        self.start = np.searchsorted(self.owner, np.arange(len(sets) + 1))
+        self.mark = np.zeros(len(count), bool)
+
+    def shared(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Elements that the k-th set shares with each of the others."""
+        own = self.number[self.start[k] : self.start[k + 1]]
+        self.mark[own] = True
+        if 4 * len(others) > len(self.sizes):
+            counts = np.bincount(self.owner[self.mark[self.number]], minlength=len(self.sizes))[others]
+        else:
+            counts = np.array([np.count_nonzero(self.mark[self.number[self.start[i] : self.start[i + 1]]]) for i in others], np.int64)
+        self.mark[own] = False
+        return np.where(others == k, self.sizes[k], counts + self.common)
+
+
 class Sets:
     """Sets of a region, with a component label for each."""
 
     def __init__(self, blobs: list[bytes], percent: int):
         self.sets = [np.frombuffer(b, U64) for b in blobs]
-        self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.percent, self.eps = percent, 1 - percent / 100
         self.label = np.arange(len(blobs))
 
-    def against(self, pivot: int, members: np.ndarray, tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distances to the pivot, and whether the threshold is reached (in whole numbers)."""
-        own = self.sets[pivot]
-        at = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
-        shared = np.bincount(owner[own[at] == tokens], minlength=len(members))
-        union = len(own) + self.sizes[members] - shared
-        return 1 - shared / union, 100 * shared >= self.percent * union
-
-    def link(self, pivot: int, members: np.ndarray) -> None:
-        labels = np.unique(self.label[np.append(members, pivot)])
+    def link(self, members: np.ndarray) -> None:
+        labels = np.unique(self.label[members])
         if len(labels) > 1:
             self.label[np.isin(self.label, labels)] = labels[0]
 
-    def flat(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.concatenate([self.sets[i] for i in members]), np.repeat(np.arange(len(members)), self.sizes[members])
-
-    def compare(self, members: np.ndarray, tokens: np.ndarray, owner: np.ndarray) -> None:
-        """Every member in turn against the others, unless all it could link with are connected to it."""
-        sizes = self.sizes[members]
-        for k, i in enumerate(members):
-            fits = 100 * np.minimum(self.sizes[i], sizes) >= self.percent * np.maximum(self.sizes[i], sizes)
-            if (fits & (self.label[members] != self.label[i])).any():
-                _, linked = self.against(int(i), members, tokens, owner)
-                self.link(int(i), members[linked])
+    def against(self, table: Table, k: int, members: np.ndarray) -> np.ndarray:
+        """Distances of all members to the k-th; those that reach the threshold (in whole numbers) are linked."""
+        shared = table.shared(k, np.arange(len(members)))
+        union = table.sizes[k] + table.sizes - shared
+        self.link(members[100 * shared >= self.percent * union])
+        return 1 - shared / union
+
+    def compare(self, table: Table, members: np.ndarray, distances: list[np.ndarray]) -> None:
+        """Members in turn against those they could still link with.
+
+        These are the ones of another component whose size fits and which no pivot's distance rules out:
+        linked documents differ by eps at most in their distance to any pivot. Central documents come
+        first, as they link most of a family, then members of small components; when the largest one's
+        turn comes, all others have been compared.
+        """
+        sizes, done = table.sizes, np.zeros(len(members), bool)
+        centre = np.argsort(np.sum(distances, axis=0), kind="stable")[:PIVOTS] if distances else []
+        for k in centre:
+            self.against(table, int(k), members)
+            done[k] = True
+        counts = np.bincount(self.label[members], minlength=len(self.label))[self.label[members]]
+        for k in np.argsort(counts, kind="stable"):
+            near = (self.label[members] != self.label[members[k]]) & ~done
+            near &= 100 * np.minimum(sizes[k], sizes) >= self.percent * np.maximum(sizes[k], sizes)
+            for d in distances:
+                near &= np.abs(d - d[k]) <= self.eps + SLACK
+            others = np.flatnonzero(near)
+            if len(others) and not done[k]:
+                shared = table.shared(int(k), others)
+                linked = 100 * shared >= self.percent * (sizes[k] + sizes[others] - shared)
+                self.link(members[np.append(others[linked], k)])
+            done[k] = True
 
     def join(self, members: np.ndarray) -> None:
         """Find all links between the members, as far as they connect."""
         if len(members) < 2 or (self.label[members] == self.label[members[0]]).all():
             return
-        tokens, owner = self.flat(members)
+        table = Table([self.sets[i] for i in members])
         if len(members) <= LEAF:
-            self.compare(members, tokens, owner)
+            self.compare(table, members, [])
             return
-        pivots, distances = [int(members[0])], []
+        pivots, distances = [0], []
         while True:  # the next pivot is the document farthest from those so far
-            d, linked = self.against(pivots[-1], members, tokens, owner)
-            self.link(pivots[-1], members[linked])
-            distances.append(d)
+            distances.append(self.against(table, pivots[-1], members))
             nearest = np.min(distances, axis=0)
             if len(pivots) == PIVOTS or nearest.max() <= 0:
                 break
-            pivots.append(int(members[nearest.argmax()]))
+            pivots.append(int(nearest.argmax()))
         regions = [members[d <= nearest + 2 * self.eps + SLACK] for d in distances]
         if max(map(len, regions)) > 0.8 * len(members):
-            self.compare(members, tokens, owner)
+            self.compare(table, members, distances)
             return
-        del tokens, owner
+        del table
         for region in regions:
             self.join(region)
 
 
 def join_regions(regions: np.ndarray, ids: np.ndarray, blobs: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (a linked id, id) that connect the components in each of the regions."""
+    """Edges (least id of a component, id) in each of the regions."""
     order = np.lexsort((ids, regions))
     out_a, out_b = [], []
     for rows in np.split(order, np.flatnonzero(np.diff(regions[order])) + 1) if len(order) else []:
         _, lead, copy_of = np.unique([blobs[i] for i in rows], return_index=True, return_inverse=True)
         sets = Sets([blobs[rows[i]] for i in lead], percent)  # equal sets are compared once
         sets.join(np.arange(len(lead)))
-        first = lead[sets.label[copy_of]]
+        label = sets.label[copy_of]
+        first = np.full(len(lead), len(rows))
+        np.minimum.at(first, label, np.arange(len(rows)))
+        first = first[label]
         moved = first != np.arange(len(rows))
         out_a.append(ids[rows[first[moved]]])
         out_b.append(ids[rows[moved]])
@@ -340,13 +381,14 @@ def meet_pivots(rows: DataFrame, pivots: DataFrame, percent: int, block: int, sp
         if m and not k and split:  # no pivot: the region stays whole
             kinds, a, b = [np.zeros(m, np.int32)], [region], [ids]
         elif m and k:
-            sets = Sets(at["set"].to_pylist() + nodes["set"].to_pylist(), percent)
+            table = Table([np.frombuffer(x, U64) for x in at["set"].to_pylist() + nodes["set"].to_pylist()])
             members = np.arange(k, k + m)
-            tokens, owner = sets.flat(members)
             nearest = np.full(m, np.inf)
             found = []
             for p in range(k):
-                d, linked = sets.against(p, members, tokens, owner)
+                shared = table.shared(p, members)
+                union = table.sizes[p] + table.sizes[members] - shared
+                d, linked = 1 - shared / union, 100 * shared >= percent * union
                 kinds.append(np.ones(int(linked.sum()), np.int32))
                 a.append(np.full(int(linked.sum()), pivot_ids[p]))
                 b.append(ids[linked])
