@@ -338,7 +338,8 @@ def seed_meetings(docs: DataFrame, shingle: int, percent: int, count: int) -> Da
 
 def with_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
     """(region, _id, set) of the documents that have met others."""
-    rows = docs.join(members.withColumnsRenamed({"node": "_id", "component": "region"}), "_id")
+    # a share of all texts, so a shuffle at every size; the hint keeps small trials to the plan of large runs
+    rows = docs.join(members.withColumnsRenamed({"node": "_id", "component": "region"}).hint("merge"), "_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
