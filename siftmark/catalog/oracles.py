@@ -502,6 +502,7 @@ FROM (SELECT a.entity_key, a.period, a.consumption, b.consumption AS consumption
 SELECT *, round(total_consumption / 1000.0, 5) AS consumption_thousands,
        round(total_production / 1000.0, 5) AS production_thousands
 FROM nat_trends WHERE period BETWEEN 1997 AND 2001"""),
+    "unordered_sample": "SELECT count(*) AS n FROM (SELECT * FROM orders LIMIT 10)",
     "label_file_order": """
 SELECT lower(n_name) AS label, format('N{:02d}', n_nationkey) AS code FROM nation
 UNION ALL SELECT lower(s_name), 'S' || s_suppkey FROM supplier""",
@@ -601,8 +602,12 @@ SELECT min(period) AS min_period, max(period) AS max_period, count(DISTINCT peri
 SELECT entity_key, count(*) AS rows FROM sup_long GROUP BY entity_key ORDER BY rows DESC, entity_key LIMIT 10""", views=False),
     "attribute_units": _sql("sup", "SELECT DISTINCT attribute, unit FROM sup_long", views=False),
     "dataset_profile": "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column_name, count(*) AS rows, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values FROM orders"
-        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")),
+        f"SELECT {i} AS position, '{c}' AS column_name, '{kind}' AS type, count(*) AS rows, count({c}) AS non_null, "
+        f"count(DISTINCT {c}) AS distinct_values FROM orders"
+        for i, (c, kind) in enumerate((
+            ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+            ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")))),
+    "distinct_values": "SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL",
     "suspicious_names": """
 SELECT DISTINCT p_name FROM part
 WHERE contains(lower(p_name), 'ring') OR contains(lower(p_name), 'bolt') OR contains(lower(p_name), 'union')""",

@@ -332,6 +332,12 @@ def sampled_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.sample_keys(bind.table(spark, sf_dir, "orders"), "o_custkey", 3)
 
 
+@query
+def unordered_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any ten rows; which ones is left open, so they are counted."""
+    return audit.count_rows(bind.table(spark, sf_dir, "orders").limit(10))
+
+
 # Cleaning and reconciliation
 
 ALIASED = (2, 7, 12, 17, 22)
@@ -533,9 +539,12 @@ def attribute_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = bind.table(spark, sf_dir, "orders")
-    profile = profiles.dataset_profile(orders, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
-    return profile.drop("type", "position")
+    return profiles.dataset_profile(bind.table(spark, sf_dir, "orders"))
+
+
+@query
+def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiles.distinct_values(bind.table(spark, sf_dir, "orders"), "o_orderpriority")
 
 
 @query
@@ -738,7 +747,7 @@ def audit_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     lines = bind.table(spark, sf_dir, "lineitem")
     mapping = mapping_method_counts(spark, sf_dir)
     return [
-        audit.check_layers({"orders": (cus.long, bind.table(spark, sf_dir, "orders"))}),
+        audit.check_layers({"orders": (written(cus.long), bind.table(spark, sf_dir, "orders"))}),
         audit.check_empty(audit.duplicate_groups(lines, ["l_orderkey", "l_linenumber"]), "A2", "no duplicate grain"),
         audit.check_empty(audit.all_orphans([fact, nat.population.select("entity_key")], nat.dim, "entity_key"), "A3", "no orphans"),
         audit.check_coverage(fact, nat.population, nat.spec, since=1996, starts_by=1996, reaches=2001),
