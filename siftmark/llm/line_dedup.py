@@ -87,9 +87,9 @@ def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def with_deletions(docs: DataFrame, id_col: str, text_col: str, min_lines: int) -> DataFrame:
-    """(row, id, text, lines, gone, longest, kept): the row as it is, and the text that is left of it."""
+    """(row, id, text, lines, gone, longest, kept): the other columns, and the text that is left."""
     gone = deleted_lines(docs, id_col, text_col, min_lines)
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].alias("id"), docs[text_col].alias("text"),
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != text_col)).alias("row"), docs[id_col].alias("id"), docs[text_col].alias("text"),
                        F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64(docs[text_col]).alias("_fp"))
     rows = rows.join(gone, KEY, "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     places = F.sequence(F.lit(0), F.size("lines") - 1)
