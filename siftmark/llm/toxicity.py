@@ -6,10 +6,11 @@ lexicon holds words and word beginnings with a weight, the log odds of finding t
 clean document. At each word the heaviest match counts, unless it lies within an exception phrase. The
 sum by length becomes a probability through a logistic curve.
 
-Learning: the distinct words and beginnings of labelled toxic documents are counted by Spark; what is
-in at least MIN_SHARE of them is looked for in the clean ones. That bounds the lexicon by the average
-number of candidates in a document over MIN_SHARE, whatever the corpus, so it is sent to every task.
-Equal texts count once. The curve is fitted on a sample of at most FIT_ROWS labelled documents a class.
+Learning takes a sample of at most LEARN_ROWS labelled documents and LEARN_BYTES of text a class, whole
+texts in the order of the hash of their ids, equal texts once. The distinct words and beginnings of the
+toxic ones are counted by Spark; what is in at least MIN_SHARE of them is looked for in the clean ones.
+That bounds the lexicon by the average number of candidates in a document over MIN_SHARE, so it is sent
+to every task. The curve is fitted on FIT_ROWS of the sample a class. Every document is scored, whole.
 
 Defined results: null and empty texts have no match and score like any text without one; repeated rows
 are scored alike; without labels of both classes the lexicon is empty and the score is below 0.5; extra
@@ -31,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftmark.llm.labelled import fold, labelled_sample, logistic, logistic_fit
+from siftmark.sources.scratch import written
 
 BEGINNINGS = range(3, 9)
 MIN_SHARE = 0.02
 MIN_WEIGHT = 3.0
+LEARN_ROWS = 20_000
+LEARN_BYTES = 200_000_000
 FIT_ROWS = 3000
-FIT_BYTES = 12_000_000
 #: Phrases inside which a match does not count.
 EXCEPTIONS = ("clown fish", "trash can", "trash bin")
 
@@ -105,14 +108,10 @@ class Matcher:
         return float(np.log1p(100 * total / max(1, plain.count(" ") - 1))), float(np.log1p(total))
 
 
-def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "toxic") -> dict[str, float]:
-    """Weights of words and beginnings, from every labelled document."""
-    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text is not null")
-
+def learn_lexicon(sample: DataFrame) -> dict[str, float]:
+    """Weights of words and beginnings, from the rows (_label, _text) of a bounded sample."""
     def counted(label: int, allowed: set[str] | None) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(allowed)
+        shared = sample.sparkSession.sparkContext.broadcast(allowed)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts: Counter[str] = Counter()
@@ -121,40 +120,39 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                     found = patterns(text)
                     counts.update(found if shared.value is None else found & shared.value)
                     counts[""] += 1  # the number of texts
-                if len(counts) > 2_000_000:
-                    yield pa.record_batch({"pattern": list(counts), "n": pa.array(counts.values(), pa.int64())})
-                    counts.clear()
             yield pa.record_batch({"pattern": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
-        ids = known.where(F.col("_label") == label).select("_id").distinct()
-        texts = rows.join(ids, "_id", "left_semi").groupBy(F.xxhash64("_text"), F.sha2("_text", 256)).agg(F.min("_text").alias("_text"))
-        return texts.select("_text").mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+        texts = sample.where(F.col("_label") == label).select("_text")
+        return texts.mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
 
-    toxic = counted(1, None)
-    size = F.max(F.when(F.col("pattern") == "", F.col("n")))
-    total = toxic.agg(size.alias("size"))
-    often = toxic.join(F.broadcast(total)).where(F.col("n") >= F.greatest(F.lit(3), F.col("size") * MIN_SHARE)).select("pattern", "n")
-    bad = dict(map(tuple, often.collect()))
-    if len(bad) < 2:
-        return {}
-    clean = dict(map(tuple, counted(0, set(bad) - {""}).collect()))
-    n_bad, n_clean = bad.pop(""), clean.get("", 0)
-    if not n_clean:
+    n_bad, n_clean = (sample.where(F.col("_label") == label).count() for label in (1, 0))
+    if not n_bad or not n_clean:
         return {}
+    often = F.col("n") >= max(3, MIN_SHARE * n_bad)
+    bad = dict(map(tuple, counted(1, None).where(often & (F.col("pattern") != "")).collect()))
+    clean = dict(map(tuple, counted(0, set(bad)).collect()))
     weight = {p: float(np.log((c + 0.5) / (n_bad + 1)) - np.log((clean.get(p, 0) + 0.5) / (n_clean + 1))) for p, c in bad.items()}
     return {p: w for p, w in weight.items() if w >= MIN_WEIGHT}
 
 
 def fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicModel:
-    """Lexicon from all labelled documents, curve from a bounded sample of them."""
-    lexicon = learn_lexicon(docs, labels)
-    matcher = Matcher(lexicon, exceptions)
-    sample = labelled_sample(docs, labels, "toxic", FIT_ROWS, FIT_BYTES).select("_label", "_text").toArrow()
-    y = np.array(sample["_label"].to_pylist(), float)
-    x = np.array([matcher.features(t) for t in sample["_text"].to_pylist()]).reshape(-1, 2)
-    if not lexicon or len(set(y)) < 2:
+    """Lexicon and curve from a bounded sample, which is written to the shared folder."""
+    sample = labelled_sample(docs, labels, "toxic", LEARN_ROWS, LEARN_BYTES)
+    sample = written(sample.groupBy("_label", F.sha2("_text", 256).alias("_key")).agg(F.min("_id").alias("_id"), F.min("_text").alias("_text")))
+    lexicon = learn_lexicon(sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(lexicon, exceptions)
+        for batch in batches:
+            x = np.array([matcher.features(t) for t in batch.column("_text").to_pylist()]).reshape(-1, 2)
+            yield pa.record_batch({"y": batch.column("_label").cast(pa.float64()), "a": pa.array(x[:, 0]), "b": pa.array(x[:, 1])})
+
+    few = [sample.where(F.col("_label") == label).orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS) for label in (0, 1)]
+    rows = few[0].unionByName(few[1]).select("_label", "_text").mapInArrow(run, "y double, a double, b double").toArrow()
+    x = np.column_stack([rows["a"].to_numpy(), rows["b"].to_numpy()]) if rows.num_rows else np.zeros((0, 2))
+    if not lexicon:
         return ToxicModel({}, exceptions, (0.0, 0.0, -1.0))
-    return ToxicModel(lexicon, exceptions, tuple(logistic_fit(x, y, ridge=0.1)))
+    return ToxicModel(lexicon, exceptions, tuple(logistic_fit(x, rows["y"].to_numpy(), ridge=0.1)))
 
 
 def toxicity_scores(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
