@@ -112,7 +112,7 @@ def slice_count(low: int, high: int, percent: int) -> tuple[int, int]:
             break
         slack = wanted
     count = apart + 1 + slack
-    return (0, 0) if count > 1 and low < 3 * count else (count, slack)
+    return (0, 0) if count > 1 and low < 2 * count else (count, slack)
 
 
 def slice_signatures(values: np.ndarray, edges: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
