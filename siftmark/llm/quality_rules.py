@@ -5,6 +5,11 @@ word pairs are hashed into buckets; a document's score is the mean over its n-gr
 log p_target(bucket) - log p_raw(bucket), so long texts score like short ones. A document is kept if it
 passes the base rules and its score reaches the threshold; no randomness is involved.
 
+Buckets are as many as the distinct n-grams of the corpus (a sketch over all of them), rounded up to a
+power of two and at least BUCKETS, so ratios do not fade as the corpus grows. Counts are combined in each
+task and stay a Spark table. Ratios of at most LOCAL_BUCKETS buckets are sent to every task; more are
+joined to the n-grams by bucket. Both ways give the same scores, but for the order of additions.
+
 Defined results: a null text is an empty one; a text without words scores 0; repeated rows and rows
 with a null id are judged each by itself; without trusted documents every score is 0; an empty table
 gives an empty result; columns other than id and text are never read, or passed on as they are.
@@ -13,20 +18,30 @@ gives an empty result; columns other than id and text are never read, or passed
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftmark.llm.textbatch import TextSlice, chain, covered, repeats_in_text, slices
+from siftmark.llm.textbatch import TextSlice, chain, covered, mix, repeats_in_text, slices
+from siftmark.sources.scratch import written
 
+#: Least number of buckets.
 BUCKETS = 1 << 16
+#: Greatest number of buckets whose ratios are sent to every task (4 bytes each).
+LOCAL_BUCKETS = 1 << 24
+#: Registers of the sketch of distinct n-grams (error about 0.8 %).
+REGISTERS = 1 << 14
+#: N-grams that a task combines at once: bounds its memory.
+GATHERED = 4_000_000
 TARGET_ROWS = 20_000
 #: Mean log ratio below which a document counts as unlike the target.
 THRESHOLD = -0.15
 PRIOR = 5
+SALT = 0x5DEECE66D
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -39,12 +54,45 @@ MEASURES = {
 }
 
 
-def gram_buckets(part: TextSlice, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and text of each word and each pair of neighbouring words."""
+def gram_hashes(part: TextSlice) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of each word and each pair of neighbouring words."""
     words = part.word_hashes()
     pairs, fit = chain(words, 2), part.fits(2)
-    places = np.concatenate([words, pairs[fit]]) % np.uint64(buckets)
-    return places.astype(np.int64), np.concatenate([part.doc, part.doc[: len(pairs)][fit]])
+    return np.concatenate([words, pairs[fit]]), np.concatenate([part.doc, part.doc[: len(pairs)][fit]])
+
+
+def gram_buckets(part: TextSlice, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and text of each word and each pair of neighbouring words."""
+    grams, of = gram_hashes(part)
+    return (grams % np.uint64(buckets)).astype(np.int64), of
+
+
+def distinct_grams(docs: DataFrame, text_col: str = "text") -> int:
+    """Estimate of the distinct n-grams of the corpus, by a HyperLogLog sketch over all of them."""
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = np.zeros(REGISTERS, np.int64)
+        for batch in batches:
+            for part in slices(batch.column("_text")):
+                grams = np.unique(mix(gram_hashes(part)[0]))
+                rest = (grams // np.uint64(REGISTERS)).astype(np.float64)
+                rank = 64 - int(np.log2(REGISTERS)) - np.frexp(rest)[1] + 1
+                np.maximum.at(top, (grams % np.uint64(REGISTERS)).astype(np.int64), rank)
+        used = np.flatnonzero(top)
+        yield pa.record_batch({"register": used, "rank": top[used]})
+
+    rows = (docs.select(F.col(text_col).alias("_text")).mapInArrow(sketch, "register long, rank long")
+            .groupBy("register").agg(F.max("rank").alias("rank")).toArrow())
+    ranks = rows["rank"].to_numpy()
+    empty = REGISTERS - len(ranks)
+    estimate = 0.7213 / (1 + 1.079 / REGISTERS) * REGISTERS**2 / (empty + (0.5**ranks).sum())
+    if estimate <= 2.5 * REGISTERS and empty:
+        estimate = REGISTERS * np.log(REGISTERS / empty)
+    return int(round(estimate))
+
+
+def bucket_total(docs: DataFrame, text_col: str = "text") -> int:
+    """The power of two that holds the distinct n-grams of the corpus, at least BUCKETS."""
+    return max(BUCKETS, 1 << max(0, distinct_grams(docs, text_col) - 1).bit_length())
 
 
 def base_counts(part: TextSlice) -> dict[str, np.ndarray]:
@@ -68,48 +116,84 @@ def base_counts(part: TextSlice) -> dict[str, np.ndarray]:
     }
 
 
-def judge(texts: pa.Array, ratios: np.ndarray, threshold: float) -> dict[str, np.ndarray]:
-    """All measures of each text."""
+def judge(texts: pa.Array, ratios: np.ndarray | None, threshold: float) -> dict[str, np.ndarray]:
+    """All measures of each text; without ratios the score is 0."""
     found: dict[str, list[np.ndarray]] = {name: [] for name in MEASURES}
     for part in slices(texts):
         counts = base_counts(part)
-        places, docs = gram_buckets(part, len(ratios))
-        grams = np.bincount(docs, minlength=part.n)
-        llr = np.bincount(docs, weights=ratios[places], minlength=part.n) / np.maximum(grams, 1)
+        llr = np.zeros(part.n)
+        if ratios is not None:
+            places, docs = gram_buckets(part, len(ratios))
+            llr = np.bincount(docs, weights=ratios[places], minlength=part.n) / np.maximum(np.bincount(docs, minlength=part.n), 1)
         counts |= {"llr": llr, "kept": ~counts["base_failed"] & (llr >= threshold)}
         for name, values in counts.items():
             found[name].append(values)
     return {name: np.concatenate(v) if v else np.zeros(0) for name, v in found.items()}
 
 
-def bucket_counts(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Target and raw n-gram counts by bucket, over every document.
+def bucket_table(docs: DataFrame, target_ids: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(bucket, target, raw): n-gram counts of the buckets in use, over every document.
 
-    target_ids has at most TARGET_ROWS rows (trusted_sample), so it is sent to every task; the driver
-    gets two numbers per bucket, whatever the size of the corpus.
+    target_ids has at most TARGET_ROWS rows (trusted_sample), so it is sent to every task.
     """
     trusted = F.broadcast(target_ids.select(F.col(id_col).alias("_id")).distinct().withColumn("_target", F.lit(True)))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(trusted, "_id", "left")
 
+    def combined(pieces: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(pieces) if pieces else np.zeros(0, np.int64), return_counts=True)
+        return pa.record_batch({"bucket": keys >> 1, "target": n * (keys & 1), "raw": n})
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((2, buckets), np.int64)
+        pieces, size = [], 0
         for batch in batches:
             target = np.array(batch.column("_target").fill_null(False))
             for part in slices(batch.column("_text")):
                 places, of = gram_buckets(part, buckets)
-                both[1] += np.bincount(places, minlength=buckets)
-                both[0] += np.bincount(places[target[part.low + of]], minlength=buckets)
-        used = np.flatnonzero(both[1])
-        yield pa.record_batch({"bucket": used, "target": both[0][used], "raw": both[1][used]})
+                pieces.append(2 * places + target[part.low + of])
+                size += len(places)
+                if size >= GATHERED:
+                    yield combined(pieces)
+                    pieces, size = [], 0
+        yield combined(pieces)
+
+    return (rows.select("_text", "_target").mapInArrow(count, "bucket long, target long, raw long")
+            .groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")))
 
-    sums = (rows.select("_text", "_target").mapInArrow(count, "bucket long, target long, raw long")
-            .groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")).toArrow())
+
+def bucket_counts(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  buckets: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Target and raw n-gram counts by bucket as arrays, for corpora whose buckets fit the driver."""
+    buckets = buckets or bucket_total(docs, text_col)
+    sums = bucket_table(docs, target_ids, buckets, id_col, text_col).toArrow()
     out = np.zeros((2, buckets), np.int64)
     out[:, sums["bucket"].to_numpy()] = sums["target"].to_numpy(), sums["raw"].to_numpy()
     return out[0], out[1]
 
 
+@dataclass(frozen=True)
+class RatioTable:
+    """(bucket, ratio) of the buckets in use; the ratio of the others is 0."""
+
+    buckets: int
+    rows: DataFrame
+
+
+def learned_ratios(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray | RatioTable:
+    """log_ratios of every bucket, as an array or, of more than LOCAL_BUCKETS, as a table in the shared folder."""
+    buckets = bucket_total(docs, text_col)
+    counts = written(bucket_table(docs, target_ids, buckets, id_col, text_col))
+    target, raw = counts.agg(F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("raw"), F.lit(0))).first()
+    share = target / raw if target else 0.0
+    ratio = F.log((F.col("target") + PRIOR * share) / ((F.col("raw") + PRIOR) * share)) if target else F.lit(0.0)
+    rows = counts.select("bucket", ratio.cast("float").alias("ratio"))
+    if buckets > LOCAL_BUCKETS:
+        return RatioTable(buckets, rows)
+    found = rows.select(F.col("bucket").cast("int"), "ratio").toArrow()
+    out = np.zeros(buckets, np.float32)
+    out[found["bucket"].to_numpy()] = found["ratio"].to_numpy()
+    return out
+
+
 def trusted_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
                    limit: int = TARGET_ROWS) -> DataFrame:
     """Ids of at most `limit` documents labelled good, chosen by the hash of their id."""
@@ -128,26 +212,66 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log((target + PRIOR * share) / ((raw + PRIOR) * share))
 
 
-def quality_measures(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+def joined_scores(docs: DataFrame, ratios: RatioTable, text_col: str) -> DataFrame:
+    """(_a, _b, _llr) by the 128-bit hash of a text: its n-grams joined to the ratios by bucket.
+
+    Equal texts have equal scores, so a text that stands in several rows is summed over them and divided alike.
+    """
+    buckets = ratios.buckets
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("_a").to_numpy(), batch.column("_b").to_numpy()
+            for part in slices(batch.column("_text")):
+                places, of = gram_buckets(part, buckets)
+                order = np.lexsort((places, of))
+                places, of = places[order], of[order]
+                first = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (of[1:] != of[:-1]))[: len(places)])
+                of = part.low + of[first]
+                yield pa.record_batch({"_a": a[of], "_b": b[of], "bucket": places[first], "n": np.diff(np.append(first, len(places)))})
+
+    texts = docs.select(*text_key(docs[text_col]), docs[text_col].alias("_text"))
+    found = texts.mapInArrow(grams, "_a long, _b long, bucket long, n long").join(ratios.rows, "bucket")
+    return found.groupBy("_a", "_b").agg((F.sum(F.col("n") * F.col("ratio").cast("double")) / F.sum("n")).alias("_llr"))
+
+
+def text_key(text: Column) -> list[Column]:
+    text = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(text).alias("_a"), F.xxhash64(text, F.lit(SALT)).alias("_b")]
+
+
+def quality_measures(docs: DataFrame, ratios: np.ndarray | RatioTable, id_col: str = "doc_id", text_col: str = "text",
                      threshold: float = THRESHOLD) -> DataFrame:
-    """Id and measures of every row, in one pass without a shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    """Id and measures of every row; with an array of ratios in one pass without a shuffle."""
+    large = isinstance(ratios, RatioTable)
+    shared = docs.sparkSession.sparkContext.broadcast(None if large else ratios)
     names = list(MEASURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = judge(batch.column("_text"), shared.value, threshold)
             columns = [pa.array(found[n], MEASURES[n]) for n in names]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), *columns], ["_id", *names])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *columns], [*keys, *names])
 
     kinds = {pa.int64(): T.LongType(), pa.bool_(): T.BooleanType(), pa.float64(): T.DoubleType()}
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    schema = T.StructType([rows.schema["_id"], *(T.StructField(n, kinds[k]) for n, k in MEASURES.items())])
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
-
-
-def keep_good(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    keys = ["_id", "_a", "_b"] if large else ["_id"]
+    rows = docs.select(F.col(id_col).alias("_id"), *(text_key(F.col(text_col)) if large else []), F.col(text_col).alias("_text"))
+    schema = T.StructType([*(rows.schema[k] for k in keys), *(T.StructField(n, kinds[k]) for n, k in MEASURES.items())])
+    found = rows.mapInArrow(run, schema)
+    if large:
+        llr = F.coalesce("_llr", F.lit(0.0))
+        found = found.join(joined_scores(docs, ratios, text_col), ["_a", "_b"], "left")
+        found = found.withColumn("llr", llr).withColumn("kept", ~F.col("base_failed") & (llr >= threshold)).select("_id", *names)
+    return found.withColumnRenamed("_id", id_col)
+
+
+def keep_good(docs: DataFrame, ratios: np.ndarray | RatioTable, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that the rules keep, with all their columns."""
+    if isinstance(ratios, RatioTable):
+        unlike = joined_scores(docs, ratios, text_col).where(F.col("_llr") < threshold)
+        a, b = text_key(docs[text_col])
+        docs = docs.join(unlike, (a == unlike["_a"]) & (b == unlike["_b"]), "left_anti")
+        ratios, threshold = None, 0.0
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

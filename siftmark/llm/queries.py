@@ -11,7 +11,7 @@ from siftmark.llm.compression_quality import held_out_quality
 from siftmark.llm.decontaminate import contamination
 from siftmark.llm.jaccard_join import jaccard_components
 from siftmark.llm.line_dedup import line_report
-from siftmark.llm.quality_rules import bucket_counts, log_ratios, quality_measures, trusted_sample
+from siftmark.llm.quality_rules import learned_ratios, quality_measures, trusted_sample
 from siftmark.llm.sentencepiece_codec import encoded
 from siftmark.llm.substring_dedup import substring_dedup
 from siftmark.llm.token_counts import token_counts
@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ratios = log_ratios(*bucket_counts(docs, trusted_sample(table(spark, sf_dir, "labels"))))
+    ratios = learned_ratios(docs, trusted_sample(table(spark, sf_dir, "labels")))
     return quality_measures(docs, ratios)
 
 

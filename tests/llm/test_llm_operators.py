@@ -104,6 +104,31 @@ def test_quality_ratio_prefers_the_target(spark):
     assert not none.any()
 
 
+def test_quality_buckets_follow_the_corpus(spark, monkeypatch):
+    """More junk n-grams than the least number of buckets still score below the threshold, sent or joined."""
+    monkeypatch.setattr(quality_rules, "BUCKETS", 1 << 8)
+    good = [(i, " ".join(words(random.Random(i), 80, 300))) for i in range(60)]
+    bad = [(1000 + i, " ".join(f"z{x}" for x in words(random.Random(i), 80, 4000))) for i in range(30)]
+    docs = clashing(spark, good + bad + [(None, None), (5, ""), (1000, bad[0][1])])
+    ids = spark.createDataFrame([(i,) for i, _ in good], "doc_id long")
+    grams = {g for _, t in good + bad for w in [t.split()] for g in [*w, *zip(w, w[1:], strict=False)]}
+    assert abs(quality_rules.distinct_grams(docs) - len(grams)) < 0.03 * len(grams)
+    sent = quality_rules.learned_ratios(docs, ids)
+    assert len(sent) == 1 << (len(grams) - 1).bit_length()
+    measured = lambda ratios: sorted(quality_rules.quality_measures(docs, ratios).collect(), key=lambda r: (str(r.doc_id), r.n_words))
+    got = measured(sent)
+    assert all(r.kept == (r.doc_id is not None and r.doc_id < 60 and r.n_words > 0) for r in got)
+    assert all(r.llr < quality_rules.THRESHOLD for r in got if r.doc_id and r.doc_id >= 1000)
+    monkeypatch.setattr(quality_rules, "LOCAL_BUCKETS", 1)
+    table = quality_rules.learned_ratios(docs, ids)
+    assert isinstance(table, quality_rules.RatioTable) and table.buckets == len(sent)
+    joined = measured(table)
+    assert [tuple(r)[:7] + (r.kept,) for r in joined] == [tuple(r)[:7] + (r.kept,) for r in got]
+    assert np.allclose([r.llr for r in joined], [r.llr for r in got], atol=1e-9)
+    left = quality_rules.keep_good(docs, table)
+    assert left.columns == docs.columns and sort(left.collect()) == sort(quality_rules.keep_good(docs, sent).collect())
+
+
 # 2 compression classifier
 
 def test_compression_scores(spark):
