@@ -1,6 +1,6 @@
 """Quality rules: plain counts, and a log-likelihood ratio of hashed n-grams.
 
-The target multinomial is counted over trusted documents, the raw one over every document. Words and
+The target multinomial is counted over every trusted document, the raw one over every document. Words and
 word pairs are hashed into buckets; a document's score is the mean over its n-grams of
 log p_target(bucket) - log p_raw(bucket), so long texts score like short ones. A document is kept if it
 passes the base rules and its score reaches the threshold; no randomness is involved.
@@ -37,7 +37,6 @@ LOCAL_BUCKETS = 1 << 24
 REGISTERS = 1 << 14
 #: N-grams that a task combines at once: bounds its memory.
 GATHERED = 4_000_000
-TARGET_ROWS = 20_000
 #: Mean log ratio below which a document counts as unlike the target.
 THRESHOLD = -0.15
 PRIOR = 5
@@ -134,9 +133,10 @@ def judge(texts: pa.Array, ratios: np.ndarray | None, threshold: float) -> dict[
 def bucket_table(docs: DataFrame, target_ids: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(bucket, target, raw): n-gram counts of the buckets in use, over every document.
 
-    target_ids has at most TARGET_ROWS rows (trusted_sample), so it is sent to every task.
+    Both multinomials come from one pass; how the target's ids, which grow with the corpus, are joined is
+    left to Spark.
     """
-    trusted = F.broadcast(target_ids.select(F.col(id_col).alias("_id")).distinct().withColumn("_target", F.lit(True)))
+    trusted = target_ids.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct().withColumn("_target", F.lit(True))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(trusted, "_id", "left")
 
     def combined(pieces: list[np.ndarray]) -> pa.RecordBatch:
@@ -194,11 +194,9 @@ def learned_ratios(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id
     return out
 
 
-def trusted_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
-                   limit: int = TARGET_ROWS) -> DataFrame:
-    """Ids of at most `limit` documents labelled good, chosen by the hash of their id."""
-    good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(id_col)
-    return good.orderBy(F.xxhash64(id_col), id_col).limit(limit)
+def trusted_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """Ids of all documents labelled good."""
+    return labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(id_col).distinct()
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:

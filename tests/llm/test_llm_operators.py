@@ -104,6 +104,15 @@ def test_quality_ratio_prefers_the_target(spark):
     assert not none.any()
 
 
+def test_quality_target_has_every_good_document(spark):
+    """More good documents than the former limit of 20,000, one row a document and label."""
+    docs = spark.range(20_500).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    labels = spark.range(20_500).selectExpr("id AS doc_id", "1 AS quality").unionByName(spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int"))
+    good = quality_rules.trusted_sample(labels)
+    target, raw = quality_rules.bucket_counts(docs, good)
+    assert good.count() == target.sum() == raw.sum() == 20_500 and (target == raw).all()
+
+
 def test_quality_buckets_follow_the_corpus(spark, monkeypatch):
     """More junk n-grams than the least number of buckets still score below the threshold, sent or joined."""
     monkeypatch.setattr(quality_rules, "BUCKETS", 1 << 8)
