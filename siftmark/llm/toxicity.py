@@ -7,10 +7,11 @@ clean document. At each word the heaviest match counts, unless it lies within an
 sum by length becomes a probability through a logistic curve.
 
 Learning takes a sample of at most LEARN_ROWS labelled documents and LEARN_BYTES of text a class, whole
-texts in the order of the hash of their ids, equal texts once. The distinct words and beginnings of the
-toxic ones are counted by Spark; what is in at least MIN_SHARE of them is looked for in the clean ones.
-That bounds the lexicon by the average number of candidates in a document over MIN_SHARE, so it is sent
-to every task. The curve is fitted on FIT_ROWS of the sample a class. Every document is scored, whole.
+texts in the order of the hash of their ids, equal texts once. The documents of each class that hold a
+word or beginning are counted by Spark. What is in at least MIN_SUPPORT toxic ones, however large the
+sample, has a weight of at least MIN_WEIGHT and a log odds ratio above 0 by CONFIDENCE standard errors,
+enters the lexicon. The bytes of the sample bound it, so it is sent to every task. The curve is fitted on
+FIT_ROWS of the sample a class. Every document is scored, whole.
 
 Defined results: null and empty texts have no match and score like any text without one; repeated rows
 are scored alike; without labels of both classes the lexicon is empty and the score is below 0.5; extra
@@ -35,7 +36,10 @@ from siftmark.llm.labelled import fold, labelled_sample, logistic, logistic_fit
 from siftmark.sources.scratch import written
 
 BEGINNINGS = range(3, 9)
-MIN_SHARE = 0.02
+#: Toxic documents that a word or beginning must be in, at every size of the sample.
+MIN_SUPPORT = 3
+#: Standard errors by which the log odds ratio must exceed 0.
+CONFIDENCE = 2.0
 MIN_WEIGHT = 3.0
 LEARN_ROWS = 20_000
 LEARN_BYTES = 200_000_000
@@ -110,29 +114,25 @@ class Matcher:
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Weights of words and beginnings, from the rows (_label, _text) of a bounded sample."""
-    def counted(label: int, allowed: set[str] | None) -> DataFrame:
-        shared = sample.sparkSession.sparkContext.broadcast(allowed)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts: Counter[str] = Counter()
-            for batch in batches:
-                for text in batch.column("_text").to_pylist():
-                    found = patterns(text)
-                    counts.update(found if shared.value is None else found & shared.value)
-                    counts[""] += 1  # the number of texts
-            yield pa.record_batch({"pattern": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
-
-        texts = sample.where(F.col("_label") == label).select("_text")
-        return texts.mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+        for batch in batches:
+            for label, text in zip(batch.column("_label").to_pylist(), batch.column("_text").to_pylist(), strict=True):
+                counts[label].update(patterns(text))
+        for label, found in enumerate(counts):
+            n = pa.array(list(found.values()), pa.int64())
+            none = pa.array(np.zeros(len(found), np.int64))
+            yield pa.record_batch({"pattern": pa.array(list(found), pa.string()), "bad": n if label else none, "clean": none if label else n})
 
     n_bad, n_clean = (sample.where(F.col("_label") == label).count() for label in (1, 0))
     if not n_bad or not n_clean:
         return {}
-    often = F.col("n") >= max(3, MIN_SHARE * n_bad)
-    bad = dict(map(tuple, counted(1, None).where(often & (F.col("pattern") != "")).collect()))
-    clean = dict(map(tuple, counted(0, set(bad)).collect()))
-    weight = {p: float(np.log((c + 0.5) / (n_bad + 1)) - np.log((clean.get(p, 0) + 0.5) / (n_clean + 1))) for p, c in bad.items()}
-    return {p: w for p, w in weight.items() if w >= MIN_WEIGHT}
+    found = (sample.select("_label", "_text").mapInArrow(count, "pattern string, bad long, clean long")
+             .groupBy("pattern").agg(F.sum("bad").alias("bad"), F.sum("clean").alias("clean")).where(F.col("bad") >= MIN_SUPPORT))
+    bad, clean = F.col("bad") + 0.5, F.col("clean") + 0.5
+    error = F.sqrt(1 / bad + 1 / clean)
+    found = found.select("pattern", (F.log(bad / (n_bad + 1)) - F.log(clean / (n_clean + 1))).alias("weight"), error.alias("error"))
+    return dict(map(tuple, found.where((F.col("weight") >= MIN_WEIGHT) & (F.col("weight") > CONFIDENCE * F.col("error"))).drop("error").collect()))
 
 
 def fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicModel:

@@ -14,7 +14,7 @@ from siftmark.llm.labelled import labelled_sample
 from siftmark.llm.piece_model import library, piece_model, public_model_path
 from siftmark.llm.sentencepiece_codec import Codec, decoded, encoded
 from siftmark.llm.token_counts import CountTransducer, token_counts
-from siftmark.llm.toxicity import Matcher, folded, held_out_toxicity, toxicity_scores
+from siftmark.llm.toxicity import Matcher, folded, held_out_toxicity, learn_lexicon, toxicity_scores
 from siftmark.llm.toxicity import fit as fit_toxicity
 
 DOCS = "doc_id long, text string"
@@ -417,6 +417,16 @@ def test_toxicity_learns(spark):
     assert by_id[900].predicted == 0 and by_id[901].predicted == 1 and by_id[None].predicted == 0
 
 
+def test_toxicity_learns_the_long_tail(spark):
+    """A term in 12 of 1,500 toxic documents and in no clean one has a weight; what both classes share has none."""
+    rows = [(i, f"some plain text {'hateful' if i < 1488 else 'grimble'} here") for i in range(1500)]
+    rows += [(i, f"some plain text number {i} here") for i in range(1500, 3000)]
+    sample = spark.createDataFrame([(int(i < 1500), t) for i, t in rows], "_label int, _text string")
+    lexicon = learn_lexicon(sample)
+    assert lexicon[" grimbie "] > 3 and lexicon[" hatefui "] > lexicon[" grimbie "]
+    assert not {" some ", " piain ", " here "} & lexicon.keys()
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], DOCS)
     model = fit_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
