@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: A text over this part of the byte budget is not taken into a sample, so that it can't end it.
+LONGEST_SHARE = 0.25
+
+
 def fold(id_col: str, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(parts))
@@ -16,8 +20,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, _label, _text) of at most `rows` labelled documents a class and `text_bytes` of text a class.
 
-    Rows are taken in the order of the hash of their id, whole texts only. The ids are bounded by
-    `rows`, so they are sent to every task and the texts are found in one pass.
+    Rows are taken in the order of the hash of their id, whole texts only, and none over LONGEST_SHARE of
+    `text_bytes`. The ids are bounded by `rows`, so they are sent to every task and the texts are found in
+    one pass.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
@@ -26,6 +31,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
     picked = known.where("_label = 0").orderBy(*order).limit(rows).unionAll(known.where("_label = 1").orderBy(*order).limit(rows))
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     found = texts.join(F.broadcast(picked), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    found = found.where(F.octet_length("_text") <= LONGEST_SHARE * text_bytes)
     # at most 2 * rows rows reach this window
     so_far = F.sum(F.octet_length("_text")).over(Window.partitionBy("_label").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return found.withColumn("_bytes", so_far).where(F.col("_bytes") <= text_bytes).drop("_bytes")

@@ -166,6 +166,15 @@ def test_sample_is_bounded(spark):
     assert labelled_sample(docs, labels, "quality", 10, 45).count() == 8
 
 
+def test_long_text_does_not_end_the_sample(spark):
+    """Every place in the order is tried for the text that does not fit."""
+    labels = spark.createDataFrame([(i, 1) for i in range(6)], "doc_id long, quality int")
+    for long in range(6):
+        docs = spark.createDataFrame([(i, "x" * (2000 if i == long else 10)) for i in range(6)], DOCS)
+        got = {r._id for r in labelled_sample(docs, labels, "quality", 10, 1000).collect()}
+        assert got == set(range(6)) - {long}
+
+
 # 3 decontamination
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
