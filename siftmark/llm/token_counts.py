@@ -1,15 +1,13 @@
-"""Token counts by a compiled finite-state transducer.
-
-The tokenizer is compiled to a deterministic transducer over characters. Its state is the unit being
-read, a node of a trie; a character moves to a child, or, where no piece of the vocabulary can cross,
-ends the unit: that transition emits the number of tokens of the unit and goes on from the root. The
-counts on these transitions come from the library itself, once for each unit, so the totals are the
-library's. Nodes are made when they are first met and the table is dropped when it holds TABLE_UNITS,
-so its size is bounded. Characters between two ends always are one unit, so a step takes a whole unit.
-
-A chunk of a text is a map of states: (what it adds to the unit that is open before it, tokens emitted
-inside, unit left open after it). Maps compose associatively; a text's chunks are composed pairwise
-in rounds, as in a parallel prefix scan, and very long texts need no more memory than their chunks.
+"""Token counts by memoised library counts of units, composed over chunks.
+
+A unit is a stretch of text that no piece of the vocabulary can cross. Its number of tokens comes from
+the library itself, once for each unit, and is kept in a table that is dropped when it holds TABLE_UNITS.
+This stands in place of a transducer compiled from the vocabulary: there are no states or transitions
+below units, as the library's own merging is what the counts must equal.
+
+A chunk of a text is a map of states: (what it adds to the unit that is open before it, tokens
+inside, unit left open after it). Maps compose associatively; the chunks of a text over CHUNK characters
+are composed pairwise in rounds, one after another in the task that has the text.
 
 Defined results: null and empty texts have 0 tokens; repeated rows are counted alike; extra columns are
 not read; an empty table gives an empty result.
