@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table."""
+"""The registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from siftmark.llm.jaccard_join import jaccard_components
 from siftmark.llm.line_dedup import line_report
 from siftmark.llm.quality_rules import learned_ratios, quality_measures, trusted_sample
 from siftmark.llm.sentencepiece_codec import encoded
+from siftmark.llm.spelling_variants import spelling_forms
 from siftmark.llm.substring_dedup import substring_dedup
 from siftmark.llm.token_counts import token_counts
 from siftmark.llm.toxicity import held_out_toxicity
@@ -69,6 +70,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules,
     "op2_quality_classifier": quality_classifier,
@@ -80,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepiece,
     "op9_jaccard_join": jaccard_join,
     "op10_toxicity": toxicity,
+    "op12_spelling_variants": spelling_variants,
 }
