@@ -118,4 +118,5 @@ ORACLES: dict[str, str] = {
     "op6_url_filter": OP6,
     "op9_jaccard_join": OP9,
     "op12_spelling_variants": OP12,
+    "op13_lexical_search": OP13,
 }

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from siftmark.llm.compression_quality import held_out_quality
 from siftmark.llm.decontaminate import contamination
 from siftmark.llm.jaccard_join import jaccard_components
+from siftmark.llm.lexical_search import ranked_search
 from siftmark.llm.line_dedup import line_report
+from siftmark.llm.maxent_lm import language_scores
 from siftmark.llm.quality_rules import learned_ratios, quality_measures, trusted_sample
 from siftmark.llm.sentencepiece_codec import encoded
 from siftmark.llm.spelling_variants import spelling_forms
@@ -70,10 +72,18 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_forms(table(spark, sf_dir, "documents"))
 
 
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules,
     "op2_quality_classifier": quality_classifier,
@@ -85,5 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepiece,
     "op9_jaccard_join": jaccard_join,
     "op10_toxicity": toxicity,
+    "op11_language_model": language_model,
     "op12_spelling_variants": spelling_variants,
+    "op13_lexical_search": lexical_search,
 }

@@ -24,12 +24,10 @@ loses a letter, extra columns are not read, an empty table gives an empty result
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftmark.sources.scratch import written
+from siftmark.sources.scratch import scratch_folder, written
 
 RUN = r"([A-Za-zÀ-ÿ]+)"
 MIN_LENGTH, MIN_COUNT = 6, 5
@@ -38,6 +36,8 @@ SALT_ROWS = 2048
 #: Words that an edge holds itself.
 HELD = 2
 FORM_RATIO = 5
+#: Instead of a position: a word without an edit that goes on, and a pair that is found.
+ON, FOUND = -1, -2
 
 
 def lowered(run: str) -> Column:
@@ -74,67 +74,66 @@ def _letter(c: str, at: Column | int) -> Column:
     return F.substr(F.col(c), (F.lit(at) if isinstance(at, int) else at) + 1, F.lit(1))
 
 
-def _edges(alive: DataFrame, depth: int) -> DataFrame:
-    """Edges that leave the nodes of this depth, with the letters that follow and the words that a small one holds.
+def _edges(alive: DataFrame) -> DataFrame:
+    """Edges that leave the nodes of a level, with the letters that follow and the words that a small one holds.
 
     `size` is the number of words below the parent; each edge is repeated for each part of its parent.
     """
+    depth = F.length("node")
     edges = alive.groupBy("back", "node", "size", _letter("s", depth).alias("letter")).agg(
         F.count(F.lit(1)).alias("below"), F.min("s").alias("lo"), F.max("s").alias("hi"),
         F.collect_set(_letter("s", depth + 1)).alias("following"))
-    return edges.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts("size") - 1)))
-
-
-def _held(joined: DataFrame) -> DataFrame:
-    """Words at one edit among those that a small edge holds."""
-    near = F.filter(F.array("lo", "hi"), lambda v: F.abs(F.length(v) - F.length("s")) <= 1)
-    pairs = joined.select("back", "s", F.explode(F.array_distinct(near)).alias("v"))
-    return pairs.where(F.levenshtein("s", "v") == 1)
-
-
-def _level(alive: DataFrame, edited: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
-    """One step of all states: rows of found pairs (`v` set), of words that go on, and of states with one edit."""
-    none = F.lit(None).cast("string")
-    child = F.concat("node", "letter").alias("node")
-    own = F.col("letter") == _letter("s", depth)
-    steps = alive.join(edges.drop("size"), ["back", "node", "salt"]).where(own | (F.lit(depth) >= F.col("start")))
-    small = (F.col("below") <= HELD) | (F.col("letter") == "")
-    found = _held(steps.where(small))
-    going = steps.where(~small & own).select("back", "s", "start", F.lit(-1).alias("pos"), child, F.col("below").alias("size"), none.alias("v"))
-    # the first difference: replaced, inserted (the other word has one more), deleted (this word has one more)
-    length = F.length("s")
-    after = F.array(F.when(length > depth, F.lit(depth + 1)), F.lit(depth), F.when(F.col("letter") == _letter("s", depth + 1), F.lit(depth + 2)))
-    changed = steps.where(~small & ~own).withColumn("pos", F.explode(after)).where(
-        F.col("pos").isNotNull() & F.array_contains("following", _letter("s", F.col("pos"))))
-    follow = edited.withColumn("letter", _letter("s", F.col("pos"))).join(edges.drop("size"), ["back", "node", "salt", "letter"])
-    found = found.unionByName(_held(follow.where(small)))
-    on = follow.where(~small).withColumn("pos", F.col("pos") + 1).where(F.array_contains("following", _letter("s", F.col("pos"))))
-    parts = [going, *[x.select("back", "s", F.lit(0).alias("start"), "pos", child, F.col("below").alias("size"), none.alias("v")) for x in (changed, on)],
-             found.select("back", "s", F.lit(0).alias("start"), F.lit(-2).alias("pos"), none.alias("node"), F.lit(0).cast("long").alias("size"), "v")]
-    return reduce(DataFrame.unionByName, parts)
+    return edges.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts("size") - 1))).drop("size")
+
+
+def _outcomes(joined: DataFrame, *cases: tuple[Column, Column]) -> DataFrame:
+    """A row for each case (pos, v) that holds: FOUND with a word at one edit, ON, or a position with its next letter below the child."""
+    pos, v = F.col("case.pos"), F.col("case.v")
+    near = F.when(F.abs(F.length(v) - F.length("s")) <= 1, F.levenshtein("s", v) == 1)
+    holds = F.when(pos == FOUND, near).when(pos == ON, True).otherwise(F.array_contains("following", _letter("s", pos)))
+    each = joined.withColumn("case", F.explode(F.array(*[F.struct(p.cast("int").alias("pos"), w.alias("v")) for p, w in cases])))
+    return each.where(pos.isNotNull()).where(holds).select(
+        "back", "s", "start", pos.alias("pos"), F.concat("node", "letter").alias("node"), F.col("below").alias("size"), v.alias("v"))
+
+
+def _level(alive: DataFrame, edited: DataFrame, edges: DataFrame) -> DataFrame:
+    """One step of all states: pairs found, words that go on, and states with one edit.
+
+    No number of the level is in the plan, so the code that Spark compiles for one level serves all.
+    """
+    none, depth = F.lit(None).cast("string"), F.length("node")
+    own, small = F.col("letter") == _letter("s", depth), (F.col("below") <= HELD) | (F.col("letter") == "")
+    lo, hi = F.when(small, F.col("lo")), F.when(small & (F.col("hi") != F.col("lo")), F.col("hi"))
+    first = F.when(small, FOUND)
+    # at the first difference a letter is replaced, inserted (the other word has one more) or deleted (this word has one more)
+    steps = alive.join(edges, ["back", "node", "salt"]).where(own | (depth >= F.col("start")))
+    steps = _outcomes(
+        steps, (first.when(own, ON).when(F.length("s") > depth, depth + 1), lo), (first.when(~own, depth), hi),
+        (F.when(~small & ~own & (F.col("letter") == _letter("s", depth + 1)), depth + 2), none))
+    follow = edited.withColumn("letter", _letter("s", F.col("pos"))).join(edges, ["back", "node", "salt", "letter"])
+    return steps.unionByName(_outcomes(follow, (first.otherwise(F.col("pos") + 1), lo), (first, hi)))
 
 
 def neighbours(words: DataFrame, least: int = MIN_LENGTH) -> DataFrame:
     """(word, near) in both directions, from distinct words of at least `least` code points."""
-    n = F.length("word")
+    spark, n = words.sparkSession, F.length("word")
     both = words.select(F.lit(False).alias("back"), F.col("word").alias("s"), F.floor(n / 2).cast("int").alias("start")).unionAll(
         words.select(F.lit(True), F.reverse("word"), (n - F.floor(n / 2)).cast("int")))
-    depth = least // 2
-    alive = both.withColumn("node", F.substr("s", F.lit(1), F.lit(depth)))
-    sizes = alive.groupBy("back", "node").agg(F.count(F.lit(1)).alias("size"))
-    alive = written(alive.join(sizes, ["back", "node"]))
-    edited = alive.withColumn("pos", F.lit(0)).drop("start").limit(0)
-    pairs = []
+    placed = both.withColumn("node", F.substr("s", F.lit(1), F.lit(least // 2)))
+    sizes = placed.groupBy("back", "node").agg(F.count(F.lit(1)).alias("size"))
+    begin = placed.join(sizes, ["back", "node"]).select(
+        "back", "s", "start", F.lit(ON).alias("pos"), "node", "size", F.lit(None).cast("string").alias("v"))
+    folder, level = scratch_folder(spark), 0
+    begin.write.parquet(f"{folder}/level={level}")
+    schema = begin.schema
     while True:
-        alive, edited = _salted(alive), _salted(edited)
-        step = written(_level(alive, edited, written(_edges(alive, depth)), depth))
-        pairs.append(step.where("pos = -2").select("back", "s", "v"))
-        alive = step.where("pos = -1").select("back", "s", "start", "node", "size")
-        edited = step.where("pos >= 0").select("back", "s", "pos", "node", "size")
-        if step.where("pos > -2").isEmpty():
+        states = spark.read.schema(schema).parquet(f"{folder}/level={level}").where(F.col("pos") != FOUND)
+        if states.isEmpty():
             break
-        depth += 1
-    found = reduce(DataFrame.unionByName, pairs)
+        alive, edited = _salted(states.where(F.col("pos") == ON)).drop("pos", "v"), _salted(states.where(F.col("pos") >= 0)).drop("v")
+        level += 1
+        _level(alive, edited, written(_edges(alive))).write.parquet(f"{folder}/level={level}")
+    found = spark.read.schema(schema).parquet(folder).where(F.col("pos") == FOUND)
     turned = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
     return found.select(turned("s").alias("word"), turned("v").alias("near")).distinct()
 

@@ -34,10 +34,10 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 class WordBlock:
-    """Lower-cased (A-Z) bytes with the places of the words; `doc` is the row of each word in the batch."""
+    """Lower-cased (A-Z) bytes with the places of the words; `doc` is the row of each word in the batch, `low` the first row."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, low: int, table: np.ndarray):
-        self.data = LOWER[data]
+        self.data, self.low = LOWER[data], low
         solid = table[data]
         before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
         before[1:] = solid[:-1]
@@ -51,7 +51,7 @@ class WordBlock:
 
     def hashes(self) -> np.ndarray:
         """64-bit hashes of the words."""
-        up, down = powers(BASES[0], 2 * BLOCK_BYTES + 1)
+        up, down = powers(BASES[0], max(BLOCK_BYTES, 64) + 1)
         sums = np.zeros(len(self.data) + 1, U64)
         np.cumsum((self.data.astype(U64) + U64(1)) * up[: len(self.data)], out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(U64))

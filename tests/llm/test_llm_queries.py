@@ -47,7 +47,7 @@ def test_against_sql(spark, db, name):
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in entry.queries() if n[:2] == "op" and n[2].isdigit()}
-    assert names == {f"op{k}" for k in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_quality_rules(spark, docs, db):
