@@ -4,9 +4,10 @@ A token's probability has two factors, each a softmax: its class given the histo
 its class. The HEAD_CLASSES * WIDTH most frequent tokens have classes by frequency; within them the second
 factor is a softmax too. All other words have one of TAIL_CLASSES classes by their last two bytes; there a
 word's share is (count + 0.1) / (tokens of the class + 0.1 * (words of the class + 1)), the last 1 for all
-words that training has not seen. The features of both softmaxes are the word before, the two words before
-(n-grams), and the word before the last (a skip), hashed to rows of weights, on top of the log shares of
-classes and tokens. So the probabilities of all tokens sum to one after every history.
+words that training has not seen. The features of both softmaxes are n-grams (the word before; the two words before) and skips (the
+second and the third word before), hashed to rows of weights, on top of the log shares of classes and tokens. All
+but the first see a word beyond the head words by its last two bytes only, so that rows are shared by
+words that behave alike. The probabilities of all tokens sum to one after every history.
 
 Counting covers every training text. Counts stay a Spark table of all words; the most frequent ones, at
 most HOT_WORDS, are also sent to every task, and what a text has beyond them is joined to the table, so no
@@ -44,7 +45,7 @@ WIDTH = 32
 HEAD_CLASSES, TAIL_CLASSES = 16, 16
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 HOT_WORDS = 1 << 20
-MIN_ROWS, MAX_ROWS, TOKENS_PER_ROW = 1 << 10, 1 << 18, 4096
+MIN_ROWS, MAX_ROWS, TOKENS_PER_ROW = 1 << 10, 1 << 18, 2048
 ROUNDS = 4
 RATE, PRIOR, LARGEST_STEP = 0.7, 2.0, 2.0
 SMOOTH = 0.1
@@ -52,7 +53,7 @@ SMOOTH = 0.1
 CHUNK = 1 << 14
 #: One odd multiplier for the class factor and one for each head class.
 ROW_KEYS = mix(np.arange(1, HEAD_CLASSES + 2, dtype=U64)) | U64(1)
-FEATURE_KEYS = mix(np.arange(101, 104, dtype=U64)) | U64(1)
+FEATURE_KEYS = mix(np.arange(101, 105, dtype=U64)) | U64(1)
 END = ""
 
 
@@ -204,16 +205,21 @@ def events(block: WordBlock, words: Vocabulary, ends: np.ndarray) -> Events:
     order = np.argsort(doc, kind="stable")
     doc = doc[order]
     hashes = np.concatenate([hashes, np.zeros(len(ends), U64)])[order]
-    place = np.concatenate([place, np.full(len(ends), words.end_place)])[order]
+    own_place = np.concatenate([place, np.full(len(ends), words.end_place)])[order]
     # an end beyond the head words has no class of endings; it shares the last class of the tail
     kind = np.concatenate([kind, np.full(len(ends), words.end_place // WIDTH if words.end_place >= 0 else CLASSES - 1)])[order]
-    before = np.zeros((2, len(doc)), U64)
-    for k in (1, 2):
-        same = doc[k:] == doc[:-k]
-        before[k - 1, k:] = np.where(same, hashes[:-k], U64(0))
-    one, two = before
-    features = np.stack([mix(one + FEATURE_KEYS[0]), mix((one * FEATURE_KEYS[1]) ^ (two + FEATURE_KEYS[1])), mix(two + FEATURE_KEYS[2])], axis=1)
-    return Events(doc, hashes, features, place.astype(np.int64), kind.astype(np.int64))
+    # a word at its coarsest: the head word itself, or the last two bytes of any other
+    coarse = np.concatenate([np.where(place[: len(block.doc)] >= 0, place[: len(block.doc)], HEAD_CLASSES * WIDTH + block.endings()), np.zeros(len(ends), np.int64)])
+    coarse = coarse.astype(U64)[order] + U64(1)
+
+    def back(x: np.ndarray, k: int) -> np.ndarray:
+        out = np.zeros(len(doc), U64)
+        out[k:] = np.where(doc[k:] == doc[:-k], x[:-k], U64(0))
+        return out
+
+    one, two, three = (back(coarse, k) for k in (1, 2, 3))
+    features = np.stack([mix(x + key) for x, key in zip((back(hashes, 1), (one << U64(20)) ^ two, two, three), FEATURE_KEYS)], axis=1)
+    return Events(doc, hashes, features, own_place.astype(np.int64), kind.astype(np.int64))
 
 
 def softmax_rows(model: MaxentModel, features: np.ndarray, keys: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +299,7 @@ def train(docs: DataFrame, words: Vocabulary) -> MaxentModel:
     model = MaxentModel(words, np.zeros((size, WIDTH), np.float32))
     if not words.tokens:
         return model
-    tasks = 2 * spark.sparkContext.defaultParallelism
+    tasks = spark.sparkContext.defaultParallelism
     so_far = np.zeros((size, WIDTH), np.float32)
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
