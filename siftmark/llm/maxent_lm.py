@@ -222,30 +222,50 @@ def events(block: WordBlock, words: Vocabulary, ends: np.ndarray) -> Events:
     return Events(doc, hashes, features, own_place.astype(np.int64), kind.astype(np.int64))
 
 
-def softmax_rows(model: MaxentModel, features: np.ndarray, keys: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of weights that apply, and the log probabilities of the WIDTH outcomes."""
+def softmax_rows(model: MaxentModel, features: np.ndarray, keys: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of weights that apply, exponentials of the WIDTH outcomes, and their sums.
+
+    No weight can move further than ROUNDS * LARGEST_STEP, so the exponentials need no shift.
+    """
     rows = ((features * keys) >> model.shift).astype(np.int64)
-    z = model.weights[rows[:, 0]]
+    z = model.weights.take(rows[:, 0], axis=0, mode="clip")
     for k in range(1, rows.shape[1]):
-        z += model.weights[rows[:, k]]
+        z += model.weights.take(rows[:, k], axis=0, mode="clip")
     z += start
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return rows, z
+    np.exp(z, out=z)
+    return rows, z, z.sum(axis=1)
 
 
-def factors(model: MaxentModel, found: Events) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For chunks of the tokens: their numbers, rows, log probabilities of the outcomes, and the outcome."""
+def factors(model: MaxentModel, found: Events) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For chunks of the tokens: their numbers, and rows, exponentials, sums and the outcome of each factor."""
     words = model.vocabulary
     for low in range(0, len(found.doc), CHUNK):
         at = np.arange(low, min(low + CHUNK, len(found.doc)))
-        rows, logs = softmax_rows(model, found.features[at], ROW_KEYS[HEAD_CLASSES], words.class_log)
-        yield at, rows, logs, found.kind[at]
+        yield at, *softmax_rows(model, found.features[low : low + CHUNK], ROW_KEYS[HEAD_CLASSES], words.class_log), found.kind[at]
         at = at[found.place[at] >= 0]
         if len(at):
             of = found.place[at] // WIDTH
-            rows, logs = softmax_rows(model, found.features[at], ROW_KEYS[of][:, None], words.head_log[of])
-            yield at, rows, logs, found.place[at] % WIDTH
+            start = words.head_log.take(of, axis=0)
+            yield at, *softmax_rows(model, found.features.take(at, axis=0), ROW_KEYS[of][:, None], start), found.place[at] % WIDTH
+
+
+def add_rows(total: np.ndarray, row: np.ndarray, values: np.ndarray) -> None:
+    """Add each of the values to its row of the total; rows that repeat often are summed first."""
+    order = np.argsort((row & 0xFFFF).astype(np.uint16), kind="stable")  # by 16 bits at a time, which takes linear time
+    if len(total) > 1 << 16:
+        order = order[np.argsort((row[order] >> 16).astype(np.uint16), kind="stable")]
+    ordered = row[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    size = np.diff(np.append(first, len(row)))
+    often = size >= 8
+    if often.any():
+        bounds = np.cumsum(size[often]) - size[often]
+        total[ordered[first[often]]] += np.add.reduceat(values.take(order[np.repeat(often, size)], axis=0), bounds, axis=0)
+    first, size = first[~often], size[~often]
+    for k in range(7):
+        at = first[size > k] + k
+        if len(at):
+            total[ordered[at]] += values.take(order[at], axis=0)
 
 
 def blocks_with_ends(texts: pa.Array) -> Iterator[tuple[WordBlock, np.ndarray]]:
@@ -265,17 +285,14 @@ def gradients(docs: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         n = len(model.weights)
-        seen, expected = np.zeros(n * WIDTH), np.zeros((n, WIDTH))
+        seen, expected = np.zeros(n * WIDTH), np.zeros((n, WIDTH), np.float32)
         for batch in batches:
             for block, ends in blocks_with_ends(batch.column(0)):
-                for _, rows, logs, outcome in factors(model, events(block, model.vocabulary, ends)):
-                    share = np.exp(logs)
-                    for k in range(rows.shape[1]):
-                        row = rows[:, k]
+                for _, rows, share, whole, outcome in factors(model, events(block, model.vocabulary, ends)):
+                    share /= whole[:, None]
+                    for row in rows.T:
                         np.add.at(seen, row * WIDTH + outcome, 1.0)
-                        order = np.argsort(row, kind="stable")
-                        first = np.flatnonzero(np.diff(row[order], prepend=-1))
-                        expected[row[order[first]]] += np.add.reduceat(share[order], first, axis=0)
+                        add_rows(expected, row, share)
         seen = seen.reshape(n, WIDTH)
         touched = np.flatnonzero(expected.any(axis=1))
         for low in range(0, len(touched), CHUNK):
@@ -331,8 +348,8 @@ def partial_scores(docs: DataFrame, model: MaxentModel) -> DataFrame:
             for block, ends in blocks_with_ends(batch.column("_text")):
                 hashes = block.hashes()
                 found = events(block, words, ends)
-                for at, _, logs, outcome in factors(model, found):
-                    log_sum += np.bincount(found.doc[at], logs[np.arange(len(at)), outcome], size)
+                for at, _, share, whole, outcome in factors(model, found):
+                    log_sum += np.bincount(found.doc[at], np.log(share[np.arange(len(at)), outcome] / whole), size)
                 if words.end_place < 0:
                     log_sum[ends] += np.log(words.end_count + SMOOTH) - words.tail_log[CLASSES - 1]
                 n_tokens += np.bincount(block.doc, minlength=size)

@@ -92,17 +92,29 @@ def test_probabilities_sum_to_one(spark):
     rows = docs.selectExpr("doc_id _id", "text _text")
     words = lm.vocabulary(lm.written(lm.word_counts(rows)))
     model = lm.train(rows, words)
-    features = lm.mix(np.arange(1, 8, dtype=np.uint64))[:, None] * np.array([1, 3, 5], np.uint64)
-    _, classes = lm.softmax_rows(model, features, lm.ROW_KEYS[lm.HEAD_CLASSES], words.class_log)
-    assert np.exp(classes).sum(axis=1) == pytest.approx(1, abs=1e-5)
+    features = lm.mix(np.arange(1, 8, dtype=np.uint64))[:, None] * np.array([1, 3, 5, 7], np.uint64)
+    _, share, whole = lm.softmax_rows(model, features, lm.ROW_KEYS[lm.HEAD_CLASSES], words.class_log)
+    assert (share / whole[:, None]).sum(axis=1) == pytest.approx(1, abs=1e-5)
+    # within a head class no other outcome than its words; within a tail class its words and one share for all unknown ones
     for c in range(lm.HEAD_CLASSES):
         if np.isfinite(words.head_log[c]).any():
-            _, inner = lm.softmax_rows(model, features, lm.ROW_KEYS[c], words.head_log[c])
-            assert np.exp(inner).sum(axis=1) == pytest.approx(1, abs=1e-5)
+            _, share, _ = lm.softmax_rows(model, features, lm.ROW_KEYS[c], words.head_log[c])
+            assert ((share > 0) == np.isfinite(words.head_log[c])).all()
     assert np.exp(words.class_log).sum() == pytest.approx(1, abs=1e-5)
     assert np.abs(model.weights).max() > 0
 
 
+def test_rows_are_added(monkeypatch):
+    rng = np.random.default_rng(2)
+    for size in (1 << 10, 1 << 18):
+        row = np.minimum(rng.zipf(1.3, 5000) * 37, size - 1)
+        values = rng.random((5000, lm.WIDTH), dtype=np.float32)
+        got, want = np.zeros((size, lm.WIDTH), np.float32), np.zeros((size, lm.WIDTH))
+        lm.add_rows(got, row, values)
+        np.add.at(want, row, values)
+        assert got == pytest.approx(want, rel=1e-4)
+
+
 def test_history_raises_the_probability_of_what_follows(spark):
     rng = random.Random(1)
     lines = [" ".join(f"{a} {a}x" for a in rng.choices(["la", "le", "lo", "lu"], k=40)) for _ in range(200)]
