@@ -15,13 +15,11 @@ Populations and facts cover every period of their tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmark.operators.reshape import pivot_measures
-from siftmark.plans.warehouse import small_ranking
 from siftmark.spec import MarketSpec
 
 _COLUMNS = dict(
@@ -64,11 +62,6 @@ class Inputs:
     population: DataFrame
     entities: DataFrame
 
-    @cached_property
-    def small(self) -> bool:
-        """Whether one task can rank the set: the table that holds the entities bounds its rows."""
-        return small_ranking(self.entities.count())
-
     @property
     def fact(self) -> DataFrame:
         return pivot_measures(self.long, self.spec)

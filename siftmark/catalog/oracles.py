@@ -370,6 +370,7 @@ nat_back AS (
            FROM nat_metrics WHERE entity_key = 3)""",
         "checks AS (" + "\nUNION ALL ".join([
             _check("A1", "n", 0, "n = 0", "row counts match between layers", "layer"),
+            _check("A1-content", "0", 0, "true", "content matches between layers", "(SELECT 1)"),
             _check("A2", "n", 0, "n = 0", "no duplicate grain", "dups"),
             _check("A3", "n", 0, "n = 0", "no orphans", "nat_orphans"),
             "SELECT * FROM nat_cov_checks",
@@ -592,6 +593,23 @@ FROM codes""",
 SELECT printf('N%02d', n_nationkey) AS iso3_code, 1::BIGINT AS rows, 0.0::DOUBLE AS total, 'codes' AS source FROM nation
 UNION ALL SELECT iso3_code, count(*), round(sum(value), 2), 'long' FROM clean_long GROUP BY iso3_code
 UNION ALL SELECT iso3_code, count(*), sum(population), 'population' FROM clean_pop GROUP BY iso3_code""",
+    "csv_quoted_breaks": """
+SELECT lang, count(*) AS rows, CAST(sum(length(text) + 18) AS BIGINT) AS characters, 0::BIGINT AS differing, true AS several_blocks
+FROM documents GROUP BY lang""",
+    "layer_tables": "WITH " + _BINDINGS["nat"].strip() + "," + _RAW + """,
+known AS (SELECT DISTINCT iso3_code, market_year, attribute_id FROM raw_long WHERE match_method = 'exact_match' AND value IS NOT NULL),
+sizes AS (SELECT (SELECT count(*) FROM nation) AS codes, (SELECT count(*) FROM raw_long WHERE match_method = 'exact_match' AND value IS NOT NULL) AS long,
+    (SELECT count(*) FROM nat_pop) AS population, (SELECT count(DISTINCT (iso3_code, market_year)) FROM known) AS fact,
+    (SELECT count(*) FROM known WHERE attribute_id = 1) AS growth, (SELECT count(DISTINCT iso3_code) FROM known WHERE attribute_id = 1) AS snapshot,
+    (SELECT count(DISTINCT market_year) FROM known) AS periods)
+SELECT 'raw_codes' AS table_name, codes AS rows FROM sizes UNION ALL SELECT 'raw_long', long FROM sizes
+UNION ALL SELECT 'raw_population', population FROM sizes UNION ALL SELECT 'dim', codes FROM sizes
+UNION ALL SELECT 'fact', fact FROM sizes UNION ALL SELECT 'population', population FROM sizes
+UNION ALL SELECT 'attractiveness', snapshot FROM sizes UNION ALL SELECT 'v_country_year_metrics', fact FROM sizes
+UNION ALL SELECT 'v_country_growth_metrics', growth FROM sizes UNION ALL SELECT 'v_latest_year_snapshot', snapshot FROM sizes
+UNION ALL SELECT 'v_global_trends', periods FROM sizes UNION ALL SELECT 'v_market_attractiveness', snapshot FROM sizes
+UNION ALL SELECT 'v_top_market_candidates', least(20, snapshot) FROM sizes""",
+    "population_fact": "WITH " + _CLEAN_POP + " SELECT iso3_code, year, population FROM clean_pop",
     # Profiles
     "attribute_counts": _sql("sup", "SELECT attribute, count(*) AS rows FROM sup_long GROUP BY attribute", views=False),
     "attribute_entities": _sql(
@@ -674,12 +692,15 @@ SELECT coalesce(o.k, l.k) AS k, coalesce(o.n, 0) AS left_rows, coalesce(l.n, 0)
        coalesce(o.n, 0) = coalesce(l.n, 0) AS equal
 FROM (SELECT o_orderkey AS k, count(*) AS n FROM orders GROUP BY 1) o
 FULL JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1) l ON o.k = l.k""",
+    "layer_content": """
+SELECT max(o_orderkey) AS o_orderkey, 1::BIGINT AS left_rows, 1::BIGINT AS right_rows, 'changed' AS change FROM orders
+UNION ALL SELECT min(o_orderkey), 1, 0, 'left only' FROM orders UNION ALL SELECT max(o_orderkey) + 1, 0, 1, 'right only' FROM orders""",
     "series_completeness": _sql("sup", """
 SELECT entity_key, count(*) AS rows, min(period) AS min_period, max(period) AS max_period,
        round(count(consumption) / count(*) * 100.0::DOUBLE, 6) AS known_pct
 FROM sup_metrics GROUP BY entity_key"""),
     "export_reconcile": _sql("cus", """
-SELECT name AS table_name, n AS live_rows, n AS exported_rows, true AS equal FROM (
+SELECT name AS table_name, n AS live_rows, n AS exported_rows, true AS equal, true AS equal_values FROM (
   SELECT 'dim' AS name, count(*) AS n FROM cus_dim UNION ALL SELECT 'fact', count(*) FROM cus_fact
   UNION ALL SELECT 'population', count(*) FROM cus_pop)""", views=False),
     "export_normalised": """
@@ -691,17 +712,14 @@ UNION ALL SELECT 'attribute_entities', count(DISTINCT attribute) FROM sup_long
 UNION ALL SELECT 'top_entities', least(10, count(DISTINCT entity_key)) FROM sup_long
 UNION ALL SELECT 'attribute_units', count(DISTINCT (attribute, unit)) FROM sup_long""", views=False),
     "audit_checks": _audit("SELECT check_id, status, round(measured, 4) AS measured, threshold, details FROM checks"),
-    "scorecard": _audit("""
-SELECT *, CASE WHEN failed >= 4 THEN 'LOW' WHEN failed > 0 OR warned >= 6 THEN 'MEDIUM' ELSE 'HIGH' END AS confidence,
-       CASE WHEN passed = total THEN 'HIGH' WHEN passed >= total - 2 THEN 'MEDIUM' ELSE 'LOW' END AS pass_confidence
-FROM (SELECT count(*) FILTER (WHERE status = 'PASS') AS passed, count(*) FILTER (WHERE status = 'WARN') AS warned,
-             count(*) FILTER (WHERE status = 'FAIL') AS failed, count(*) AS total FROM checks)"""),
     "snapshot_checks": _sql("sup", "\nUNION ALL\n".join([
         _check("C1", "outliers", 0, "outliers = 0", "no extreme growth", "s", "WARN"),
+        _check("C1-large", "large", 0, "large = 0", "no extreme growth among large entities", "s", "WARN"),
         _check("T0-population", "pop", 95, "pop > 95", "snapshot population coverage", "s"),
         _check("T0-per-capita", "kg", 95, "kg > 95", "snapshot per-capita coverage", "s"),
     ]), """
 s AS (SELECT count(*) FILTER (WHERE abs(consumption_cagr_5y) > 0.5) AS outliers,
+             count(*) FILTER (WHERE abs(consumption_cagr_5y) > 0.5 AND population > 50000000) AS large,
              count(population) * 100.0::DOUBLE / count(*) AS pop,
              count(per_capita_kg_per_person) * 100.0::DOUBLE / count(*) AS kg FROM sup_snapshot)"""),
     "scenario_checks": _sql("cus", "\nUNION ALL\n".join([
@@ -767,3 +785,49 @@ ORDER BY imports DESC NULLS LAST, entity_key LIMIT 20""", views=False) + "))"),
     *_minimums("G4", _sql("sup", "SELECT entity_key, population FROM sup_pop"), 100, 0, "population"),
     *_minimums("G5", _sql("sup", "SELECT entity_key, consumption FROM sup_snapshot"), 5, 0, "consumption"),
 ])
+
+
+def _table_counts(sql: str, key: str, value: str = "1", period: str = "0") -> str:
+    return f"""(SELECT count(*) AS n, count(DISTINCT {key}) AS keys, count(*) FILTER (WHERE {key} IS NULL) AS null_keys,
+  count(*) FILTER (WHERE {value} IS NULL) AS null_values, min({period}) AS lo, max({period}) AS hi FROM ({sql}))"""
+
+
+def _build_checks() -> list[str]:
+    pop = _table_counts("SELECT * FROM nat_pop", "entity_key", "population", "census_period")
+    codes = _table_counts("SELECT * FROM nation", "n_nationkey")
+    latest = "(SELECT (SELECT max_by(population, census_period) FROM nat_pop WHERE entity_key = {e}) AS v)"
+    sizes = {"metrics": ("nat_metrics", 100), "growth": ("nat_growth", 100), "snapshot": ("nat_snapshot", 20), "trends": ("nat_trends", 6),
+             "attractiveness": ("ranked", 20)}
+    return [
+        _check("N1-population-rows", "n", 100, "n >= 100", "row count", pop),
+        _check("N1-population-keys", "keys", 25, "keys >= 25", "distinct keys", pop),
+        _check("N1-population-null-keys", "null_keys", 0, "null_keys = 0", "no missing key", pop),
+        _check("N1-population-null-values", "null_values", 0, "null_values = 0", "no missing value", pop),
+        _check("N1-population-periods", "hi", 2001, "lo >= 1995 AND hi >= 2001", "period range", pop),
+        _check("N1-codes-rows", "n", 25, "n >= 25", "row count", codes),
+        _check("N1-codes-keys", "keys", 25, "keys >= 25", "distinct keys", codes),
+        _check("N1-codes-null-keys", "null_keys", 0, "null_keys = 0", "no missing key", codes),
+        _findings("N1-facts", "codes of facts are in the reference", "k",
+                  "SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)"),
+        _findings("N1-population", "codes of population are in the reference", "k",
+                  "SELECT DISTINCT user_id AS k FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)"),
+        *[_check(f"G4-{e}", "v", 1, "coalesce(v > 1, false)", f"latest population of {e}", latest.format(e=e)) for e in (3, 7, 99)],
+        *[_check(f"G5-{name}", "n", least, f"n >= {least}", f"rows of {name}", f"(SELECT count(*) AS n FROM {t})")
+          for name, (t, least) in sizes.items()],
+        _check("G5-band", "v", 1e6, "coalesce(v BETWEEN 1e6 AND 1e12, false)", "per_capita_kg_per_person of 3 up to 1e+12",
+               "(SELECT max(per_capita_kg_per_person) AS v FROM nat_snapshot WHERE entity_key = 3)"),
+        _check("G6-members", "n", 1, "n >= 1", "an expected entity is among the first",
+               "(SELECT count(*) FILTER (WHERE entity_key IN (3, 7, 12, 18, 21, 24)) AS n FROM "
+               "(SELECT entity_key FROM ranked ORDER BY composite_score DESC, entity_key LIMIT 20))"),
+    ]
+
+
+ORACLES["build_checks"] = _sql("nat", "\nUNION ALL ".join(_build_checks()), _ranked("nat", "consumption_cagr_5y"))
+ORACLES["scorecard"] = """
+SELECT *, CASE WHEN failed >= 4 THEN 'LOW' WHEN failed > 0 OR warned >= 6 THEN 'MEDIUM' ELSE 'HIGH' END AS confidence,
+       CASE WHEN passed = total THEN 'HIGH' WHEN passed >= total - 2 THEN 'MEDIUM' ELSE 'LOW' END AS pass_confidence
+FROM (SELECT count(*) FILTER (WHERE status = 'PASS') AS passed, count(*) FILTER (WHERE status = 'WARN') AS warned,
+             count(*) FILTER (WHERE status = 'FAIL') AS failed, count(*) AS total FROM (
+""" + "\nUNION ALL\n".join(
+    f"SELECT status FROM ({ORACLES[k]})"
+    for k in ("audit_checks", "detail_checks", "build_checks", "snapshot_checks", "scenario_checks", "edge_filters")) + "))"

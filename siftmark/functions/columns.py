@@ -99,3 +99,11 @@ def export_value(c: str | Column, dtype: str) -> Column:
     if dtype in ("double", "float"):
         return F.when(~(F.isnan(x) | (F.abs(x) == F.lit(float("inf")))), x)
     return x
+
+
+def value_hashes(c: str, kind: str) -> list[Column]:
+    """Two hashes of a value; both null for null. Nested values are hashed as text that shows their nulls, maps in the order of their keys."""
+    value = F.array_sort(F.map_entries(c)) if kind.startswith("map<") else F.col(c)
+    if kind.startswith(("map<", "array<", "struct<")):
+        value = F.to_json(value, {"ignoreNullFields": "false"})
+    return [F.when(value.isNotNull(), F.xxhash64(*salt, value)) for salt in ([], [F.lit("second")])]

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftmark.functions.columns import contains_any
+from siftmark.functions.columns import contains_any, value_hashes
 from siftmark.spec import SUSPICIOUS_TOKENS, MarketSpec
 
 
@@ -36,20 +35,23 @@ def attribute_profile(long: DataFrame, spec: MarketSpec, top: int = 10) -> dict[
 def dataset_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: type, rows, non-null rows, distinct values.
 
-    Each column is aggregated on its own, so that the scan reads that column only and no
-    row is multiplied by the number of columns.
+    One scan and one shuffle for any number of columns: every row becomes one cell (column, two 64-bit
+    hashes of the value) a column, equal cells are counted within each task, and only their counts
+    are shuffled, by column and hash, so that neither a frequent value nor a column with many values is hot.
+    The second hash tells values apart that share the first one.
     """
-    types = dict(df.dtypes)
-    parts = []
-    for i, c in enumerate(columns or df.columns):
-        counts = df.select(F.col(c).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(counts.agg(
-            F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(types[c]).alias("type"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
-            F.count("v").alias("distinct_values"),
-        ))
-    return reduce(DataFrame.unionByName, parts)
+    types, names = dict(df.dtypes), list(columns or df.columns)
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("position"), *[h.alias(f"h{k}") for k, h in enumerate(value_hashes(c, types[c]))])
+        for i, c in enumerate(names)
+    ])
+    values = df.select(F.inline(cells)).groupBy("position", "h0", "h1").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("h0").isNotNull()
+    counts = values.groupBy("position").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(known, F.col("n"))).alias("non_null"), F.count_if(known).alias("distinct_values"))
+    every = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(types[c]).alias("type")) for i, c in enumerate(names)])
+    return df.sparkSession.range(1).select(F.inline(every)).join(counts, "position", "left").select(
+        "position", "column_name", "type", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "non_null", "distinct_values")])
 
 
 def suspicious_names(df: DataFrame, name: str, tokens: Sequence[str] = SUSPICIOUS_TOKENS) -> DataFrame:

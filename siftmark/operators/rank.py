@@ -1,152 +1,70 @@
-"""PERCENT_RANK over a whole set, with one task for small sets and distributed otherwise."""
+"""PERCENT_RANK over a whole set or within groups, and leading entities.
+
+Ranks come from the distinct values, never from sorted rows: occurrences are counted by (group, metric,
+value), combined before the shuffle; the distinct values are range-partitioned in order; each range
+has a running count of its own, and the totals of the ranges before it are added. One plan serves sets of any
+size, and a frequent value is one row of the sorted table.
+"""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Mapping, Sequence
-from itertools import accumulate
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftmark.sources.scratch import written
-from siftmark.spec import WINDOW_ROWS
-
-# Buckets grow with the set, within what the driver and a literal can hold.
-ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS, MAX_BUCKETS = 1024, 16_384
-SALTS = 256
-SUMMARY_GROUPS = 64
 
 
-def percent_ranks(
-    df: DataFrame,
-    ranks: Mapping[str, str | Column],
-    *,
-    small: bool | None = None,
-    stored: bool = False,
-    buckets: int | None = None,
-) -> DataFrame:
+def percent_ranks(df: DataFrame, ranks: Mapping[str, str | Column], *, within: Sequence[str] = ()) -> DataFrame:
     """Add one PERCENT_RANK column per entry of ``ranks`` (output name -> metric).
 
-    ``small=True`` says the caller has proven the set to be small: all ranks then run in
-    one window task. Otherwise the rows are written to the shared folder once (unless they
-    are a ``stored`` table, which can simply be read again), counted, and ranked by buckets
-    when there are more than ``WINDOW_ROWS``. Ascending, NULLs last, ties share the lowest
-    rank, a single row gets 0.
-    """
-    metrics = {f"_metric_{i}": (F.col(m) if isinstance(m, str) else m).cast("double")
-               for i, m in enumerate(ranks.values())}
-    # 0.0 and -0.0 are equal, but bucket search would tell them apart.
-    metrics = {k: F.when(m == 0, F.lit(0.0)).otherwise(m) for k, m in metrics.items()}
-    out = dict(zip(metrics, ranks))
-    rows = df.withColumns(metrics)
-    if small is True:
-        return _window_ranks(rows, out).select(*df.columns, *ranks)
-    rows = rows if stored else written(rows)
-    n = rows.count()
-    if small is None and n <= WINDOW_ROWS:
-        return _window_ranks(rows, out).select(*df.columns, *ranks)
-    buckets = buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, n // ROWS_PER_BUCKET))
-    return _bucket_ranks(rows, out, n, buckets).select(*df.columns, *ranks)
-
-
-def _window_ranks(rows: DataFrame, out: Mapping[str, str]) -> DataFrame:
-    return rows.withColumns({
-        name: F.percent_rank().over(Window.orderBy(F.col(m).asc_nulls_last())) for m, name in out.items()
-    })
-
-
-def _bucket_ranks(rows: DataFrame, out: Mapping[str, str], n: int, buckets: int) -> DataFrame:
-    """Rank inside value buckets and add the number of rows in all lower buckets.
-
-    Bucket limits are quantiles of the metric. A value so frequent that it is a quantile
-    more than once gets a bucket of its own; all its rows tie, so that bucket is split by
-    a salt without changing any rank. Every other bucket holds about 1/buckets of the
-    rows. Only quantiles and bucket sizes reach the driver.
+    Ascending, NaN above infinity, NULLs last, ties share the lowest rank, a single row gets 0.
+    ``within`` names columns whose values form groups that are ranked apart, all in the same pass.
+    The rows are written to the shared folder with a number once, and so are the ordered distinct
+    values; only numbers, groups and values are shuffled by value, the other columns once, by
+    number. Starts these writes while it is called.
     """
-    metrics = list(out)
-    probabilities = _array(i / buckets for i in range(buckets + 1))
-    # Summaries are merged in groups of tasks, not all in one; the grouping only moves limits.
-    numbers = {m: F.nanvl(m, F.lit(None).cast("double")) for m in metrics}
-    profile = rows.select(*[x.alias(m) for m, x in numbers.items()]).groupBy(
-        F.pmod(F.spark_partition_id(), F.lit(SUMMARY_GROUPS)).alias("_group")
-    ).agg(
-        *[F.count(m).alias(f"{m}_n") for m in metrics],
-        *[F.expr(f"percentile_approx({m}, {probabilities}, {2 * buckets})").alias(m) for m in metrics],
-    ).collect()
-    limits = {
-        m: _bucket_limits(_merge([(r[f"{m}_n"], r[m]) for r in profile if r[m]], buckets)) for m in metrics
-    }
-    bucket_of = {m: f"{m}_bucket" for m in metrics}
-    # One bucket for -inf comes first; after the value buckets come one each for +inf, NaN and NULL.
-    values = {m: len(limits[m][0]) - 1 for m in metrics}
-    bucketed = Bucketizer(
-        splitsArray=[splits for splits, _ in limits.values()],
-        inputCols=metrics, outputCols=list(bucket_of.values()), handleInvalid="keep",
-    ).transform(rows).withColumns({
-        b: F.when(F.col(m).isNull(), values[m] + 3).when(F.isnan(m), values[m] + 2)
-        .when(F.col(m) == math.inf, values[m] + 1).when(F.col(m) == -math.inf, 0)
-        .otherwise(F.col(b).cast("int") + 1)
-        for m, b in bucket_of.items()
-    })
-
-    sizes: dict[str, list[int]] = {m: [0] * (values[m] + 4) for m in metrics}
-    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(b).alias("bucket")) for m, b in bucket_of.items()])
-    for row in bucketed.select(F.explode(cells).alias("c")).groupBy("c.metric", "c.bucket").count().collect():
-        sizes[row["metric"]][row["bucket"]] = row["count"]
-
-    result = bucketed
-    for m, name in out.items():
-        alike = {k + 1 for k in limits[m][1]} | {0, values[m] + 1, values[m] + 2, values[m] + 3}
-        below = [0, *accumulate(sizes[m])][:-1]
-        salts = [SALTS if b in alike else 1 for b in range(len(below))]
-        position = F.col(bucket_of[m]) + 1
-        # by place, not by content: rows that repeat must not share a salt; all rows of a salted bucket tie
-        salt = F.pmod(F.monotonically_increasing_id(), F.element_at(F.expr(_array(salts)), position))
-        w = Window.partitionBy(bucket_of[m], "_salt").orderBy(F.col(m).asc_nulls_last())
-        lower = F.element_at(F.expr(_array(below, "L")), position) + F.rank().over(w) - 1
-        share = lower / F.lit(float(n - 1)) if n > 1 else F.lit(0.0)
-        result = result.withColumn("_salt", salt).withColumn(name, share)
-    return result
-
-
-def _array(values: Iterable[float], suffix: str = "") -> str:
-    """SQL array literal; one expression instead of one Python call per element."""
-    return "array(" + ", ".join(f"{v}{suffix or ('D' if isinstance(v, float) else '')}" for v in values) + ")"
-
-
-def _merge(parts: Sequence[tuple[int, Sequence[float]]], buckets: int) -> list[float]:
-    """Approximate quantiles of a whole from the quantiles of its weighted parts."""
-    weighted = sorted((v, n / len(values)) for n, values in parts for v in values)
-    if not weighted:
-        return []
-    total = sum(w for _, w in weighted)
-    quantiles, passed = [weighted[0][0]], 0.0
-    for v, w in weighted:
-        passed += w
-        while len(quantiles) <= buckets and passed >= total * len(quantiles) / buckets:
-            quantiles.append(v)
-    return quantiles
-
-
-def _bucket_limits(quantiles: Sequence[float]) -> tuple[list[float], set[int]]:
-    """Bucketizer splits, and the indexes of buckets that can hold one value only."""
-    finite = [q for q in quantiles if math.isfinite(q)]
-    frequent = {q for q, following in zip(finite, finite[1:]) if q == following}
-    cuts = set(finite)
-    for v in frequent:
-        cuts.add(math.nextafter(v, math.inf))
-    inner = sorted(c for c in cuts if math.isfinite(c))
-    splits = [-math.inf, *inner, math.inf]
-    if len(splits) == 2:
-        splits = [-math.inf, 0.0, math.inf]
-    singles = {
-        i for i, (a, b) in enumerate(zip(splits, splits[1:]))
-        if math.isfinite(a) and b == math.nextafter(a, math.inf)
-    }
-    return splits, singles
+    cells = [
+        F.struct(F.lit(i).alias("metric"), (F.col(m) if isinstance(m, str) else m).cast("double").alias("value"))
+        for i, m in enumerate(ranks.values())
+    ]
+    group = F.struct(*[F.col(c) for c in within]) if within else F.lit(0)
+    rows = written(df.withColumns({
+        "_row": F.monotonically_increasing_id(), "_group": group, "_cells": F.array(*cells),
+    }))
+    long = rows.select("_row", "_group", F.inline("_cells"))
+    places = value_ranks(long, ["_group", "metric"], "value")
+    keys = ["_group", "metric", "value"]
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
+    placed = long.alias("l").join(places.alias("p"), same).select("l._row", "l.metric", "p.share")
+    wide = placed.groupBy("_row").agg(*[
+        F.max(F.when(F.col("metric") == i, F.col("share"))).alias(name) for i, name in enumerate(ranks)
+    ])
+    return rows.drop("_group", "_cells", *ranks).join(wide, "_row").select(
+        *[c for c in df.columns if c not in ranks], *ranks)
+
+
+def value_ranks(long: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """``share``: the PERCENT_RANK of every distinct value of each group of a long frame."""
+    counts = long.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+    order = [*groups, F.col(value).asc_nulls_last()]
+    ranged = written(
+        counts.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    # one row a range and group: as many as there are partitions, and groups
+    totals = ranged.groupBy(*groups, "_range").agg(F.sum("n").alias("_in_range"))
+    by_range = Window.partitionBy(*groups).orderBy("_range")
+    offsets = totals.select(
+        *groups, "_range",
+        (F.sum("_in_range").over(by_range) - F.col("_in_range")).alias("_before"),
+        F.sum("_in_range").over(Window.partitionBy(*groups)).alias("_all"),
+    )
+    inside = Window.partitionBy(*groups, "_range").orderBy(F.col(value).asc_nulls_last())
+    running = ranged.withColumn("_lower", F.sum("n").over(inside) - F.col("n"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*groups, "_range"]]
+    share = F.when(F.col("_all") > 1, (F.col("_before") + F.col("_lower")) / (F.col("_all") - 1).cast("double"))
+    return running.alias("r").join(offsets.alias("o"), same).select(
+        *[F.col(f"r.{k}") for k in [*groups, value]], F.coalesce(share, F.lit(0.0)).alias("share"))
 
 
 def component_leaders(

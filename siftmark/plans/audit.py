@@ -11,10 +11,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftmark.functions.columns import gap_pct, null_or_zero, sum_of
+from siftmark.operators.content import content_differences
 from siftmark.operators.growth import cagr_name
 from siftmark.operators.joins import lookup_join, orphans
 from siftmark.operators.rank import component_leaders
@@ -122,6 +123,11 @@ def compare_key_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     )
 
 
+def check_content(left: DataFrame, right: DataFrame, keys: Sequence[str], check_id: str = "A1-content") -> DataFrame:
+    """Two layers hold the same rows; measures the keys that differ."""
+    return check_empty(content_differences(left, right, keys), check_id, "content matches between layers")
+
+
 def check_layers(layers: Mapping[str, tuple[DataFrame, DataFrame]], check_id: str = "A1") -> DataFrame:
     """Row counts of two layers agree for every table."""
     parts = []
@@ -361,9 +367,10 @@ def snapshot_profile(snapshot: DataFrame, spec: MarketSpec, large: float = 50_00
 def check_snapshot(snapshot: DataFrame, spec: MarketSpec, min_pct: float = 95.0) -> DataFrame:
     pop = pct_of(F.col("with_population"), F.col("total"))
     kg = pct_of(F.col("with_per_capita"), F.col("total"))
-    n = F.col("growth_outliers")
+    n, large = F.col("growth_outliers"), F.col("large_outliers")
     return check_rows(snapshot_profile(snapshot, spec), [
         Rule("C1", n, 0, n == 0, "no extreme growth", "WARN"),
+        Rule("C1-large", large, 0, large == 0, "no extreme growth among large entities", "WARN"),
         Rule("T0-population", pop, min_pct, pop > min_pct, "snapshot population coverage"),
         Rule("T0-per-capita", kg, min_pct, kg > min_pct, "snapshot per-capita coverage"),
     ])
@@ -499,6 +506,49 @@ def check_any_value(fact: DataFrame, spec: MarketSpec, check_id: str, entity, me
     ])
 
 
+def check_latest_values(
+    df: DataFrame, key: str, period: str, value: str, minimums: Mapping[object, float], check_id: str
+) -> DataFrame:
+    """The latest value of each named entity exceeds its minimum; an entity without rows fails."""
+    latest = df.filter(F.col(key).isin(*minimums)).groupBy(key).agg(F.max_by(value, period).alias("v"))
+    one = latest.agg(*[F.max(F.when(F.col(key) == F.lit(e), F.col("v"))).alias(f"v{i}") for i, e in enumerate(minimums)])
+    return check_rows(one, [
+        Rule(f"{check_id}-{e}", F.col(f"v{i}"), low, F.col(f"v{i}") > low, f"latest {value} of {e}")
+        for i, (e, low) in enumerate(minimums.items())
+    ])
+
+
+def check_minimums(tables: Mapping[str, tuple[DataFrame, int]], check_id: str) -> DataFrame:
+    """Every table or view has at least so many rows."""
+    n = F.col("n")
+    return union_checks([
+        check_rows(count_rows(df), [Rule(f"{check_id}-{name}", n, least, n >= least, f"rows of {name}")])
+        for name, (df, least) in tables.items()
+    ])
+
+
+def check_band(df: DataFrame, key: str, entity: object, value: str, low: float, high: float, check_id: str) -> DataFrame:
+    """The entity has a row, and its value is within the band."""
+    one = df.filter(F.col(key) == F.lit(entity)).agg(F.max(value).alias("v"))
+    return check_rows(one, [Rule(check_id, F.col("v"), low, F.col("v").between(low, high), f"{value} of {entity} up to {high:g}")])
+
+
+def check_any_member(top: DataFrame, key: str, expected: Sequence[object], check_id: str) -> DataFrame:
+    """At least one of the expected entities is in a short list."""
+    n = F.col("n")
+    return check_rows(top.agg(F.count_if(F.col(key).isin(*expected)).alias("n")), [
+        Rule(check_id, n, 1, n >= 1, "an expected entity is among the first"),
+    ])
+
+
+def check_references(tables: Mapping[str, DataFrame], codes: DataFrame, key: str, check_id: str) -> DataFrame:
+    """Codes of each table that the reference does not have, with the first of them."""
+    return union_checks([
+        check_findings(orphans(df, codes, key), f"{check_id}-{name}", f"codes of {name} are in the reference", key)
+        for name, df in tables.items()
+    ])
+
+
 def check_rose(pair: DataFrame, check_id: str = "G5") -> DataFrame:
     """The latest total exceeds the earlier one; input is ``compare_back``."""
     change = F.max(F.col("latest") - F.col("earlier")).alias("change")
@@ -652,6 +702,17 @@ def union_checks(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def store_checks(checks: DataFrame, folder: str, build: str) -> None:
+    """Keep check rows under the id of a build; rows of other builds stay."""
+    checks.write.mode("overwrite").parquet(f"{folder}/build={build}")
+
+
+def stored_checks(spark: SparkSession, folder: str, build: str | None = None) -> DataFrame:
+    """Check rows as stored, of one build or of all."""
+    rows = spark.read.parquet(folder).withColumn("build", F.col("build").cast("string"))
+    return rows if build is None else rows.filter(F.col("build") == build).drop("build")
+
+
 def scorecard(checks: DataFrame) -> DataFrame:
     """Counts by status and the confidence they give."""
     by = F.col("status")

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from siftmark.operators.growth import growth_metrics
 from siftmark.operators.reshape import pivot_present
 from siftmark.plans import warehouse as wh
-from siftmark.sources.readers import FILE_ORDER, read_csv, read_csv_after_preamble, with_file_order
-from siftmark.sources.writers import write_table
+from siftmark.sources.readers import FILE_ORDER, read_csv, read_csv_after_preamble
+from siftmark.sources.versions import TableBuild, current_tables, point_views
 from siftmark.spec import MarketSpec
 
 # Names under which the views are registered.
@@ -41,12 +41,14 @@ class RawFiles:
     population: str
     codes: str
     preamble_lines: int = 4
+    #: The file that starts with the preamble, where the population is a folder.
+    population_head: str | None = None
 
 
 def clean_layer(spark: SparkSession, files: RawFiles, spec: MarketSpec) -> dict[str, DataFrame]:
-    raw_codes = with_file_order(read_csv(spark, files.codes, sep=";"))
+    raw_codes = read_csv(spark, files.codes, sep=";", ordered=True)
     codes = wh.clean_codes(raw_codes)
-    wide = read_csv_after_preamble(spark, files.population, files.preamble_lines)
+    wide = read_csv_after_preamble(spark, files.population, files.preamble_lines, files.population_head)
     return {
         "codes": codes,
         "long": wh.clean_long_fact(read_csv(spark, files.long), wh.code_labels(raw_codes, F.struct(*FILE_ORDER)), spec),
@@ -60,43 +62,50 @@ def build(
     folder: str,
     spec: MarketSpec | None = None,
     region_lookup: DataFrame | None = None,
+    database: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write both layers, replacing earlier ones, and return the stored tables.
+    """Write both layers as a new build of ``folder``, publish it, and return the stored tables.
 
     Every table is stored once and the next step reads it back, so no step repeats the
     work of an earlier one. Facts are sorted by their keys: filters by entity or period
-    skip files and row groups by their statistics.
+    skip files and row groups by their statistics. Readers keep the build before until all tables of
+    this one are stored (``sources.versions``). With ``database`` the tables are catalog tables too,
+    and its views ``<database>.<table>`` show the new build.
     """
     spec = spec or MarketSpec()
     order = {
-        "raw/codes": ["iso3_code"],
-        "raw/long": [spec.entity, spec.period, spec.attribute_id],
-        "raw/population": [spec.entity, spec.population_period],
-        "analytics/dim": [spec.entity],
-        "analytics/fact": spec.keys,
-        "analytics/population": [spec.entity, spec.population_period],
-        "analytics/attractiveness": [spec.entity],
+        "raw_codes": ["iso3_code"],
+        "raw_long": [spec.entity, spec.period, spec.attribute_id],
+        "raw_population": [spec.entity, spec.population_period],
+        "dim": [spec.entity],
+        "fact": spec.keys,
+        "population": [spec.entity, spec.population_period],
+        "attractiveness": [spec.entity],
     }
+    target, tables = TableBuild(spark, folder, database), {}
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{name}"
-        write_table(df, path, sort_by=order[name])
-        return spark.read.schema(df.schema).parquet(path)
+    def store(name: str, df: DataFrame) -> None:
+        tables[name] = target.store(name, df, order[name])
 
-    raw = {name: store(f"raw/{name}", df) for name, df in clean_layer(spark, files, spec).items()}
+    for name, df in clean_layer(spark, files, spec).items():
+        store(f"raw_{name}", df)
     targets: dict[str, list[str]] = {}
     for attribute, column in spec.measures.items():
         targets.setdefault(column, []).append(attribute)
-    report = pivot_present(raw["long"], spec, targets)
-    tables = {
-        **{f"raw_{name}": df for name, df in raw.items()},
-        "dim": store("analytics/dim", wh.dim_entity(raw["codes"], spec, region_lookup)),
-        "fact": store("analytics/fact", report.fact),
-        "population": store("analytics/population", wh.fact_population(raw["population"], spec)),
-    }
+    store("dim", wh.dim_entity(tables["raw_codes"], spec, region_lookup))
+    store("fact", pivot_present(tables["raw_long"], spec, targets).fact)
+    store("population", wh.fact_population(tables["raw_population"], spec))
     snapshot = wh.market_snapshot(tables["fact"], tables["dim"], tables["population"], spec)
-    scores = wh.market_attractiveness(snapshot, spec, small=wh.small_ranking(tables["dim"].count()))
-    return tables | {"attractiveness": store("analytics/attractiveness", scores)}
+    store("attractiveness", wh.market_attractiveness(snapshot, spec))
+    target.publish()
+    if database:
+        point_views(spark, folder, database)
+    return tables
+
+
+def current_views(spark: SparkSession, folder: str, spec: MarketSpec | None = None) -> dict[str, DataFrame]:
+    """The views over the tables of the build that was published last."""
+    return analytics_views(current_tables(spark, folder), spec)
 
 
 def analytics_views(
@@ -105,7 +114,7 @@ def analytics_views(
     """The lazy views over stored tables, by the names to register them under.
 
     No job runs here. Scores need the whole ranking set, so ``build`` stores them with the
-    other tables; a later build replaces them, and the view reads what is there.
+    other tables; ``current_views`` has those of the last build.
     """
     spec = spec or MarketSpec()
     fact, dim, population = tables["fact"], tables["dim"], tables["population"]

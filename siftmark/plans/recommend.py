@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,10 +17,8 @@ from siftmark.plans.warehouse import (
     component_scores,
     market_attractiveness,
     rank_position,
-    ranking_base,
     top_candidates,
 )
-from siftmark.sources.scratch import written
 from siftmark.spec import WEIGHT_SCENARIOS, MarketSpec
 
 
@@ -38,7 +35,6 @@ def recommend(
     regions: Sequence[str] | None = None,
     weights: Sequence[float] | None = None,
     k: int | None = None,
-    small: bool | None = None,
 ) -> DataFrame:
     """Top-k markets among the chosen regions, by normalised weights.
 
@@ -46,7 +42,7 @@ def recommend(
     entities of these regions, and an empty list gives an empty result.
     """
     weights = normalise_weights(spec.weights if weights is None else weights)
-    scored = market_attractiveness(snapshot, spec, weights, regions=regions, small=small)
+    scored = market_attractiveness(snapshot, spec, weights, regions=regions)
     return top_candidates(scored, spec, k)
 
 
@@ -89,14 +85,13 @@ def weight_scenarios(
     scenarios: Mapping[str, Sequence[float]] = WEIGHT_SCENARIOS,
     *,
     k: int = 3,
-    small: bool | None = None,
 ) -> DataFrame:
     """Top k entities per weight scenario.
 
     The ranks are computed once. Each row then carries one score per scenario, and the
     rank limit keeps k rows per scenario in every task before anything is shuffled.
     """
-    scored = component_scores(snapshot, spec, small=small)
+    scored = component_scores(snapshot, spec)
     cells = F.array(*[
         F.struct(F.lit(name).alias("scenario"), weighted_sum(SCORES, weights).alias(COMPOSITE))
         for name, weights in scenarios.items()
@@ -118,19 +113,15 @@ def region_scenarios(
     regions: Mapping[str, Sequence[str] | None],
     *,
     k: int = 3,
-    small: bool | None = None,
 ) -> DataFrame:
-    """Top k per region choice; the ranks are computed anew within each choice.
+    """Top k per region choice; the ranks are those within each choice.
 
-    The ranking set is written once, so that the choices do not each recompute the snapshot.
+    The snapshot is computed once and all choices are ranked in one pass, however many there are.
     """
-    base = written(ranking_base(snapshot, spec))
-    parts = [
-        rank_position(recommend(base, spec, regions=chosen, k=k, small=small), spec)
-        .select(F.lit(name).alias("scenario"), "position", spec.entity, spec.name, spec.region, COMPOSITE)
-        for name, chosen in regions.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    scored = component_scores(snapshot, spec, choices=regions).withColumn(COMPOSITE, weighted_sum(SCORES, spec.weights))
+    w = Window.partitionBy("scenario").orderBy(F.col(COMPOSITE).desc(), spec.entity)
+    top = scored.withColumn("position", F.row_number().over(w).cast("bigint")).filter(F.col("position") <= k)
+    return top.select("scenario", "position", spec.entity, spec.name, spec.region, COMPOSITE)
 
 
 def ranked_lists(tops: DataFrame, spec: MarketSpec) -> DataFrame:

@@ -25,7 +25,7 @@ from siftmark.operators.reconcile import MAPPED_METHODS, label_lookup, resolve_c
 from siftmark.operators.reshape import unpivot_periods
 from siftmark.operators.topk import top_k
 from siftmark.sources.readers import period_columns, resolve_headers
-from siftmark.spec import ISO2_HEADERS, ISO3_HEADERS, NAME_HEADERS, WINDOW_ROWS, MarketSpec
+from siftmark.spec import ISO2_HEADERS, ISO3_HEADERS, NAME_HEADERS, MarketSpec
 
 SCORES = ["size_score", "growth_score", "population_score", "import_openness_score"]
 COMPOSITE = "composite_score"
@@ -51,7 +51,7 @@ def clean_codes(raw: DataFrame) -> DataFrame:
 def code_labels(raw_codes: DataFrame, order: str | Column) -> DataFrame:
     """Label lookup of raw reference codes; of rows with one label the last in ``order`` wins.
 
-    Rows read from files have such an order through ``readers.with_file_order``.
+    Rows read from files have such an order through ``readers.read_csv(ordered=True)``.
     """
     name, iso3 = resolve_headers(raw_codes.columns, {"name": NAME_HEADERS, "ISO3": ISO3_HEADERS})
     return label_lookup(raw_codes, name, iso3, order)
@@ -219,20 +219,24 @@ def component_metrics(spec: MarketSpec) -> dict[str, Column]:
 
 
 def component_scores(
-    snapshot: DataFrame, spec: MarketSpec, *, regions: Sequence[str] | None = None, small: bool | None = None
+    snapshot: DataFrame, spec: MarketSpec, *, regions: Sequence[str] | None = None,
+    choices: Mapping[str, Sequence[str] | None] | None = None,
 ) -> DataFrame:
-    """The four percent-rank scores within the (optionally region-filtered) set."""
+    """The four percent-rank scores within the (optionally region-filtered) set.
+
+    With ``choices`` (name -> regions, None for all) every row is tagged with the choices it belongs
+    to and ranked within each of them, for all choices in one pass; the name is in ``scenario``.
+    """
     columns = [
         spec.entity, spec.name, spec.region, spec.continent, spec.period, spec.consumption,
         PER_CAPITA_KG, cagr_name(spec.lags[0]), spec.population, IMPORT_SHARE,
     ]
     base = ranking_base(snapshot, spec, regions).select(*columns)
-    return percent_ranks(base, component_metrics(spec), small=small)
-
-
-def small_ranking(dim_rows: int) -> bool:
-    """Whether the size of the dimension proves the ranking set small: it has at most one row per dimension row."""
-    return dim_rows <= WINDOW_ROWS
+    if choices is None:
+        return percent_ranks(base, component_metrics(spec))
+    member = [F.lit(name) if chosen is None else F.when(F.col(spec.region).isin(*chosen), F.lit(name)) for name, chosen in choices.items()]
+    tagged = base.select(F.explode(F.array_compact(F.array(*member))).alias("scenario"), *columns)
+    return percent_ranks(tagged, component_metrics(spec), within=["scenario"])
 
 
 def market_attractiveness(
@@ -241,10 +245,9 @@ def market_attractiveness(
     weights: Sequence[float] | None = None,
     *,
     regions: Sequence[str] | None = None,
-    small: bool | None = None,
 ) -> DataFrame:
     """Ranking set with component scores and their weighted sum."""
-    scored = component_scores(snapshot, spec, regions=regions, small=small)
+    scored = component_scores(snapshot, spec, regions=regions)
     return scored.withColumn(COMPOSITE, weighted_sum(SCORES, weights or spec.weights))
 
 

@@ -37,3 +37,19 @@ def written(df: DataFrame) -> DataFrame:
     folder = scratch_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple[object, object]:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of tables, in whatever store it is."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)

@@ -9,25 +9,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftmark.functions.columns import export_value
+from siftmark.operators.content import content_digest
+from siftmark.sources.readers import read_csv
+from siftmark.sources.scratch import written
 
 
-def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Replace the table at ``path``.
+def in_order(df: DataFrame, sort_by: Sequence[str]) -> DataFrame:
+    """Rows range-partitioned and sorted, so that file and row-group statistics prune filters on these columns.
 
-    ``sort_by`` range-partitions and sorts the rows, so that file and row-group statistics
-    prune filters on these columns; give it the whole grain so that no key value is hot.
+    Give it the whole grain, so that no key value is hot.
     """
-    if sort_by:
-        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    writer = df.write.mode("overwrite").format(fmt)
+    return df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by) if sort_by else df
+
+
+def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """Replace the table at ``path``, its rows in the order of ``sort_by``."""
+    writer = in_order(df, sort_by).write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("quote", '"').option("escape", '"')
+        writer = writer.options(
+            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.save(path)
 
 
-def save_as_table(df: DataFrame, name: str) -> None:
-    """Replace a catalog table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def save_as_table(df: DataFrame, name: str, path: str | None = None, sort_by: Sequence[str] = ()) -> None:
+    """Replace a catalog table; with ``path`` its files are there and stay when it is dropped."""
+    writer = in_order(df, sort_by).write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:
@@ -61,22 +68,29 @@ def significant_digits(c: str, digits: int = 15) -> Column:
 
 
 def export_tables(tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
-    """Export every table as CSV, then compare exported with live row counts."""
-    counts = []
+    """Export every table as CSV, read it back, and compare rows and values with the live table.
+
+    Each table is computed once. Values are compared by content after the text is read back with the declared types:
+    numbers at 15 digits, NaN and infinities as NULL, text with quotes, separators and line breaks as it was.
+    """
+    found = []
     for name, df in tables.items():
-        write_table(export_text(df), f"{folder}/{name}", fmt="csv")
-        exported = df.sparkSession.read.option("header", True).option("quote", '"').option("escape", '"').csv(
-            f"{folder}/{name}"
-        )
-        counts += [
-            df.agg(F.count(F.lit(1)).alias("live_rows"), F.lit(0).cast("bigint").alias("exported_rows")),
-            exported.agg(F.lit(0).cast("bigint").alias("live_rows"), F.count(F.lit(1)).alias("exported_rows")),
-        ]
-        counts[-2:] = [c.withColumn("table_name", F.lit(name)) for c in counts[-2:]]
-    both = reduce(DataFrame.unionByName, counts).groupBy("table_name").agg(
-        F.sum("live_rows").alias("live_rows"), F.sum("exported_rows").alias("exported_rows")
-    )
-    return both.withColumn("equal", F.col("live_rows") == F.col("exported_rows"))
+        live = written(export_text(df))
+        write_table(live, f"{folder}/{name}", fmt="csv")
+        back = read_csv(df.sparkSession, f"{folder}/{name}", keep_empty=True)
+        is_live, digest = F.col("_live"), F.struct("rows", "sum_hash", "xor_hash")
+        both = reduce(DataFrame.unionByName, [
+            content_digest(typed(side, df)).withColumn("_live", F.lit(k == 0)) for k, side in enumerate((live, back))])
+        found.append(both.agg(
+            F.lit(name).alias("table_name"), F.sum(F.when(is_live, F.col("rows"))).alias("live_rows"),
+            F.sum(F.when(~is_live, F.col("rows"))).alias("exported_rows"),
+            (F.min("rows") == F.max("rows")).alias("equal"), (F.min(digest) == F.max(digest)).alias("equal_values")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def typed(text: DataFrame, like: DataFrame) -> DataFrame:
+    """Text columns as the types of another frame."""
+    return text.select(*[F.col(c).try_cast(t).alias(c) for c, t in like.dtypes])
 
 
 def write_profile(profile: Mapping[str, DataFrame], folder: str) -> None:

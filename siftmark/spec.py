@@ -94,9 +94,6 @@ WEIGHT_SCENARIOS: dict[str, tuple[float, float, float, float]] = {
     "Import-heavy": (0.10, 0.10, 0.10, 0.70),
 }
 
-# A ranking set goes through one window task only when it is known to be this small.
-WINDOW_ROWS = 200_000
-
 
 @dataclass(frozen=True)
 class MarketSpec:

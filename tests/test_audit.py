@@ -2,10 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftmark.operators import profile, setops, topk
+from siftmark.operators.content import content_differences
 from siftmark.operators.reshape import pivot_measures
 from siftmark.plans import audit
 from siftmark.spec import MarketSpec
-from util import SPEC, rows
+from util import SPEC, plan, rows
 
 LONG = "iso3_code string, market_year bigint, attribute_description string, value double"
 MEASURES = [
@@ -118,7 +119,7 @@ def test_outliers_and_snapshot(spark):
     assert [r.iso3_code for r in audit.growth_outliers(snapshot, SPEC).orderBy("iso3_code").collect()] == ["A", "B"]
     profile_row = audit.snapshot_profile(snapshot, SPEC).first()
     assert (profile_row.growth_outliers, profile_row.large_outliers) == (2, 1)
-    assert status(audit.check_snapshot(snapshot, SPEC)) == {"C1": "WARN", "T0-population": "FAIL", "T0-per-capita": "FAIL"}
+    assert status(audit.check_snapshot(snapshot, SPEC)) == {"C1": "WARN", "C1-large": "WARN", "T0-population": "FAIL", "T0-per-capita": "FAIL"}
 
 
 def test_per_capita_bounds(spark):
@@ -179,3 +180,59 @@ def test_profiles(spark):
     ]
     names = spark.createDataFrame([("European Union",), ("Brazil",), ("Other",), (None,)], "n string")
     assert rows(profile.suspicious_names(names, "n")) == [("European Union",), ("Other",)]
+
+
+def test_profile_of_many_types_in_one_scan(spark, tmp_path):
+    nan = float("nan")
+    data = [(0.0, "a", [1, None], {"k": 1, "l": 2}, (1, None), True), (-0.0, "a", [None, 1], {"l": 2, "k": 1}, (None, 1), None),
+            (nan, "", [1], {}, None, True), (nan, None, None, None, (1, None), False)] * 50
+    df = spark.createDataFrame(data, "d double, s string, a array<int>, m map<string,int>, t struct<x:int,y:int>, b boolean")
+    got = rows(profile.dataset_profile(df).select("column_name", "rows", "non_null", "distinct_values"))
+    assert got == [("a", 200, 150, 3), ("b", 200, 150, 2), ("d", 200, 200, 2), ("m", 200, 150, 2), ("s", 200, 150, 2), ("t", 200, 150, 2)]
+    df.write.parquet(str(tmp_path / "t"))
+    text = plan(profile.dataset_profile(spark.read.parquet(str(tmp_path / "t"))))
+    assert text.count("FileScan") == 1
+    empty = profile.dataset_profile(df.limit(0))
+    assert [tuple(r)[3:] for r in empty.collect()] == [(0, 0, 0)] * 6
+
+
+def test_build_checks_tell_what_is_missing(spark):
+    df = spark.createDataFrame([("A", 2000, 5.0), ("A", 2001, 9.0), ("B", 2001, None), (None, 2001, 1.0)], "k string, p int, v double")
+    assert status(audit.check_latest_values(df, "k", "p", "v", {"A": 8.0, "B": 1.0, "Z": 1.0}, "G4")) == {"G4-A": "PASS", "G4-B": "FAIL", "G4-Z": "FAIL"}
+    assert status(audit.check_minimums({"a": (df, 4), "b": (df, 5)}, "G5")) == {"G5-a": "PASS", "G5-b": "FAIL"}
+    assert status(audit.check_band(df, "k", "A", "v", 8.0, 10.0, "X")) == {"X": "PASS"}
+    assert status(audit.check_band(df, "k", "Z", "v", 8.0, 10.0, "X")) == {"X": "FAIL"}
+    assert status(audit.check_any_member(df, "k", ["Z", "B"], "Y")) == {"Y": "PASS"}
+    assert status(audit.check_any_member(df, "k", ["Z"], "Y")) == {"Y": "FAIL"}
+    [row] = audit.check_references({"t": df}, df.filter("k = 'A'"), "k", "N1").collect()
+    assert (row.check_id, row.status, row.measured) == ("N1-t", "FAIL", 1.0) and row.details.endswith(": B")
+
+
+def test_check_rows_are_kept_by_build(spark, tmp_path):
+    rule = audit.check_empty(spark.range(3), "A", "none")
+    audit.store_checks(rule, str(tmp_path), "one")
+    audit.store_checks(rule.unionByName(audit.check_empty(spark.range(0), "B", "none")), str(tmp_path), "two")
+    assert audit.stored_checks(spark, str(tmp_path)).count() == 3
+    card = audit.scorecard(audit.stored_checks(spark, str(tmp_path), "two"))
+    assert tuple(card.first()) == (1, 0, 1, 2, "MEDIUM", "MEDIUM") and "Scan" in plan(card)
+
+
+CONTENT = [(1, "a", 1.0), (1, "a", 1.0), (2, None, float("nan")), (None, "c", None), (3, "d", 0.0), (4, "e", 5.0)]
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_content_differences(spark, buckets):
+    left = spark.createDataFrame(CONTENT, "k int, s string, v double")
+    assert content_differences(left, left.select("v", "s", "k").repartition(3), ["k"], buckets).count() == 0
+    right = spark.createDataFrame([(1, "a", 1.0), (2, None, float("nan")), (None, "c", 2.0), (3, "d", -0.0), (5, "e", 5.0)], left.schema)
+    assert rows(content_differences(left, right, ["k"], buckets)) == [
+        (None, 1, 1, "changed"), (1, 2, 1, "changed"), (4, 1, 0, "left only"), (5, 0, 1, "right only")]
+    assert rows(content_differences(left.limit(0), left.filter("k = 4"), ["k"], buckets)) == [(4, 0, 1, "right only")]
+    swapped = left.withColumn("s", F.when(F.col("k") == 4, None).otherwise(F.col("s")))
+    assert rows(content_differences(left, swapped, ["k", "s"], buckets).select("k", "s", "change")) == [(4, None, "right only"), (4, "e", "left only")]
+
+
+def test_content_needs_the_same_columns(spark):
+    df = spark.range(3)
+    with pytest.raises(ValueError, match="different columns"):
+        content_differences(df, df.withColumnRenamed("id", "k"), ["id"])

@@ -2,7 +2,8 @@
 
 import pytest
 
-from siftmark.plans.build import RawFiles, analytics_views, build
+from siftmark.plans.build import RawFiles, analytics_views, build, current_views
+from siftmark.sources.versions import TableBuild, current_tables, point_views, prune_builds
 from siftmark.sources.writers import register_views
 from siftmark.spec import BALANCE_MEASURES
 from util import plan
@@ -35,7 +36,7 @@ def views(spark, tmp_path_factory):
     build(spark, files, out, region_lookup=regions)
     tables = build(spark, files, out, region_lookup=regions)  # a second build replaces the first
     register_views(analytics_views(tables))
-    return tables
+    return tables | {"folder": out, "files": files}
 
 
 def test_tables(views):
@@ -67,9 +68,65 @@ def test_views(spark, views):
     assert spark.table("v_market_attractiveness").count() == 4
 
 
-def test_a_later_build_shows_in_the_view(spark, views):
-    """Scores are a table of the build: the view has what was stored last."""
+def test_scores_are_a_table_of_the_build(spark, views):
     path = views["attractiveness"].inputFiles()[0].rsplit("/", 1)[0]
     before = {r.iso3_code: r.composite_score for r in spark.table("v_market_attractiveness").collect()}
     assert set(before) == {r.iso3_code for r in spark.read.parquet(path).collect()}
     assert "Window" not in plan(views["attractiveness"]) and "Join" not in plan(views["attractiveness"])
+
+
+def counts(tables):
+    return {n: df.count() for n, df in tables.items() if n not in ("folder", "files")}
+
+
+def test_a_build_that_ends_half_way_leaves_the_old_tables(spark, views, monkeypatch):
+    folder, want = views["folder"], counts(views)
+    assert counts(current_tables(spark, folder)) == want
+    written, store = [], TableBuild.store
+
+    def failing(self, name, df, sort_by=()):
+        if name == "fact":
+            raise RuntimeError("lost")
+        written.append(name)
+        return store(self, name, df.limit(1), sort_by)
+
+    monkeypatch.setattr(TableBuild, "store", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        build(spark, views["files"], folder)
+    assert "dim" in written
+    assert counts(current_tables(spark, folder)) == want
+    assert current_views(spark, folder)["v_market_attractiveness"].count() == 4
+
+
+def test_tables_of_one_build_never_mix(spark, tmp_path):
+    """Two builds at once: readers have one of them whole; older ones can be removed."""
+    folder = str(tmp_path)
+    with pytest.raises(LookupError):
+        current_tables(spark, folder)
+    one, two = TableBuild(spark, folder), TableBuild(spark, folder)
+    one.store("a", spark.range(1))
+    two.store("a", spark.range(2))
+    two.store("b", spark.range(2), sort_by=["id"])
+    two.publish()
+    one.store("b", spark.range(1))
+    assert counts(current_tables(spark, folder)) == {"a": 2, "b": 2}
+    reader = current_tables(spark, folder)
+    one.publish()
+    assert counts(current_tables(spark, folder)) == {"a": 1, "b": 1} and counts(reader) == {"a": 2, "b": 2}
+    assert prune_builds(spark, folder, keep=2) == [] and prune_builds(spark, folder, keep=1) == [two.build]
+    assert prune_builds(spark, folder, keep=1) == [] and counts(current_tables(spark, folder)) == {"a": 1, "b": 1}
+
+
+def test_catalog_views_follow_the_published_build(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE layers LOCATION '{tmp_path}/db'")
+    try:
+        for n in (1, 2):
+            target = TableBuild(spark, f"{tmp_path}/w", "layers")
+            target.store("t", spark.range(n))
+            if n == 2:
+                assert spark.table("layers.t").count() == 1
+            target.publish()
+            assert point_views(spark, f"{tmp_path}/w", "layers") == ["t"]
+            assert spark.table("layers.t").count() == n
+    finally:
+        spark.sql("DROP DATABASE layers CASCADE")

@@ -53,15 +53,15 @@ def test_snapshot_joins_names_after_the_series_are_reduced(supplier):
 def test_large_ranking_has_no_single_task(supplier):
     i = supplier
     snapshot = wh.market_snapshot(i.fact, i.dim, i.population, i.spec)
-    assert "SinglePartition" not in plan(wh.market_attractiveness(snapshot, i.spec, small=False))
+    assert "SinglePartition" not in plan(wh.market_attractiveness(snapshot, i.spec))
 
 
 def test_top_lists_are_limited_before_the_shuffle(supplier):
     i = supplier
     snapshot = wh.market_snapshot(i.fact, i.dim, i.population, i.spec)
-    assert "WindowGroupLimit" in plan(rec.weight_scenarios(snapshot, i.spec, small=False))
+    assert "WindowGroupLimit" in plan(rec.weight_scenarios(snapshot, i.spec))
     assert "WindowGroupLimit" in plan(QUERIES["latest_n_rows"](i.fact.sparkSession, SF_DIR))
-    assert "TakeOrderedAndProject" in plan(rec.recommend(snapshot, i.spec, small=False))
+    assert "TakeOrderedAndProject" in plan(rec.recommend(snapshot, i.spec))
     leaders = plan(audit.latest_leaders(i.fact, i.spec, "production"))
     assert "TakeOrderedAndProject" in leaders and leaders.count("FileScan") == 1
     assert "WindowGroupLimit" in plan(latest.headline_rows(i.fact, "entity_key", "period", "production"))

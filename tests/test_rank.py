@@ -1,11 +1,11 @@
 import math
 import random
+import re
 from bisect import bisect_left
 
 import pytest
 from pyspark.sql import functions as F
 
-from siftmark.operators import rank
 from siftmark.operators.rank import component_leaders, percent_ranks
 from util import plan, rows
 
@@ -29,23 +29,22 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("name", CASES)
-def test_cases(spark, name, small):
+def test_cases(spark, name):
     values = CASES[name]
     df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
-    got = [r["p"] for r in percent_ranks(df, {"p": "v"}, small=small).orderBy("id").collect()]
+    got = [r["p"] for r in percent_ranks(df, {"p": "v"}).orderBy("id").collect()]
     assert got == pytest.approx(brute(values))
 
 
 def test_empty(spark):
     df = spark.createDataFrame([], "id int, v double")
-    for small in (True, False, None):
-        assert percent_ranks(df, {"p": "v"}, small=small).count() == 0
+    assert percent_ranks(df, {"p": "v"}).count() == 0
+    assert percent_ranks(df, {"p": "v"}, within=["id"]).count() == 0
 
 
-@pytest.mark.parametrize("buckets", [2, 16, 1024])
-def test_bucketed_ranks_equal_brute_force_under_skew(spark, buckets):
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_ranks_equal_brute_force_under_skew(spark, partitions):
     """A third of the rows share one value, another metric has three values only."""
     rng = random.Random(5)
     data = [
@@ -54,32 +53,54 @@ def test_bucketed_ranks_equal_brute_force_under_skew(spark, buckets):
         for i in range(5000)
     ]
     df = spark.createDataFrame(data, "id int, a double, b double, c double")
-    out = percent_ranks(df, {"pa": "a", "pb": "b", "pc": "c"}, small=False, buckets=buckets).orderBy("id").collect()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        out = percent_ranks(df, {"pa": "a", "pb": "b", "pc": "c"}).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     for i, c in enumerate("abc"):
         assert [r[f"p{c}"] for r in out] == pytest.approx(brute([d[i + 1] for d in data]))
 
 
-def test_hot_value_gets_its_own_bucket_and_is_salted():
-    splits, singles = rank._bucket_limits([1.0, 2.0, 2.0, 2.0, 3.0])
-    hot = splits.index(2.0)
-    assert hot in singles
-    assert splits[hot + 1] == math.nextafter(2.0, math.inf)
+def test_groups_are_ranked_apart(spark):
+    rng = random.Random(8)
+    data = [(i, rng.choice(["x", "y", None]), None if rng.random() < 0.1 else float(rng.randrange(9))) for i in range(400)]
+    data += [(1000, "alone", 3.0), (1001, "equal", float("nan")), (1002, "equal", float("nan"))]
+    df = spark.createDataFrame(data, "id int, g string, v double")
+    got = {r.id: r.p for r in percent_ranks(df, {"p": "v"}, within=["g"]).collect()}
+    for g in {d[1] for d in data}:
+        ids = [d[0] for d in data if d[1] == g]
+        assert [got[i] for i in ids] == pytest.approx(brute([d[2] for d in data if d[1] == g]))
 
 
-def test_merged_quantiles_weigh_their_parts():
-    same = rank._merge([(100, [0.0, 1.0, 2.0, 3.0, 4.0]), (1, [50.0] * 5)], 4)
-    assert max(same[:-1]) <= 4.0 and same == sorted(same)
-    assert rank._merge([], 4) == []
-    half = rank._merge([(10, [1.0, 1.0, 1.0]), (10, [2.0, 3.0, 4.0])], 4)
-    assert half.count(1.0) >= 2  # a frequent value stays visible as a repeated quantile
+def test_one_plan_for_every_size(spark):
+    """Nothing in the plan depends on the number of rows, and no task holds all of them."""
+    def shape(n):
+        text = plan(percent_ranks(spark.range(n).select("id", F.col("id").cast("double").alias("v")), {"p": "v", "q": "id"}))
+        assert "SinglePartition" not in text
+        return re.sub(r"#\d+L?|file:\S+|plan_id=\d+|\(\d+ paths\)", "", text)
 
+    # which side of a join Spark itself broadcasts is up to the bytes of that side
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)
+    try:
+        assert shape(10) == shape(1_000_000)
+    finally:
+        spark.conf.set(name, before)
 
-def test_large_sets_choose_buckets(spark, monkeypatch):
-    monkeypatch.setattr(rank, "WINDOW_ROWS", 10)
-    df = spark.range(100).select("id", F.col("id").cast("double").alias("v"))
-    out = percent_ranks(df, {"p": "v"})
-    assert "SinglePartition" not in plan(out)
-    assert [r["p"] for r in out.orderBy("id").collect()] == pytest.approx([i / 99 for i in range(100)])
+
+def test_ranks_across_ranges(spark):
+    df = spark.range(1000).select("id", F.col("id").cast("double").alias("v"))
+    assert [r["p"] for r in percent_ranks(df, {"p": "v"}).orderBy("id").collect()] == pytest.approx([i / 999 for i in range(1000)])
+
+
+def test_output_columns_and_repeated_rows(spark):
+    df = spark.createDataFrame([(1.0, "a", 9), (1.0, "a", 9), (2.0, None, 9)], "v double, s string, p int")
+    out = percent_ranks(df, {"p": "v", "q": -F.col("v")})
+    assert out.columns == ["v", "s", "p", "q"]
+    assert rows(out) == [(1.0, "a", 0.0, 0.5), (1.0, "a", 0.0, 0.5), (2.0, None, 1.0, 0.0)]
 
 
 def test_leaders(spark):
@@ -88,21 +109,8 @@ def test_leaders(spark):
     assert rows(component_leaders(df, "e", {"x": "x", "y": "y"}, direction="lowest")) == [("x", "a"), ("y", "a")]
 
 
-def test_hot_groups_are_split(spark):
-    """Rows that repeat and a frequent infinity tie, and no window group holds them all."""
-    n = 6000
-    values = [float("inf") if i % 3 == 0 else float("-inf") if i % 7 == 0 else float(i % 5) if i % 2 else float(i) for i in range(n)]
-    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
-    out = percent_ranks(df, {"p": "v"}, small=False, buckets=16)
-    got = sorted((r.v, r.p) for r in out.collect())
-    assert [p for _, p in got] == pytest.approx([p for _, p in sorted(zip(values, brute(values)))])
-    groups = out.select("v", "p").groupBy("v").count()
-    assert groups.filter("v = double('inf')").first()["count"] == n // 3
-
-
 def test_infinities_and_nan_have_places_of_their_own(spark):
     values = [float("nan"), float("inf"), float("-inf"), 1.0, None, float("inf"), -1.7e308, 1.7e308]
     df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
-    for small in (True, False):
-        got = {r.id: r.p for r in percent_ranks(df, {"p": "v"}, small=small).collect()}
-        assert got == pytest.approx({2: 0, 6: 1 / 7, 3: 2 / 7, 7: 3 / 7, 1: 4 / 7, 5: 4 / 7, 0: 6 / 7, 4: 1})
+    got = {r.id: r.p for r in percent_ranks(df, {"p": "v"}).collect()}
+    assert got == pytest.approx({2: 0, 6: 1 / 7, 3: 2 / 7, 7: 3 / 7, 1: 4 / 7, 5: 4 / 7, 0: 6 / 7, 4: 1})

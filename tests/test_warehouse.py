@@ -100,7 +100,7 @@ def test_snapshot_period(spark):
     population = spark.createDataFrame([("A", y, 10.0) for y in (2023, 2024)] + [("Z", 2020, 5.0)], POPULATION)
     snapshot = wh.market_snapshot(fact, dim, population, SPEC)
     assert rows(snapshot.select("iso3_code", "market_year", "consumption_cagr_5y")) == [("A", 2024, None), ("Z", 2020, None)]
-    ranked = wh.market_attractiveness(snapshot, SPEC, small=True)
+    ranked = wh.market_attractiveness(snapshot, SPEC)
     assert [r.iso3_code for r in ranked.collect()] == ["A"]  # zero consumption is not ranked
 
 
@@ -110,32 +110,24 @@ def snapshot(warehouse):
     return wh.market_snapshot(fact, dim, population, SPEC).cache()
 
 
-def test_small_and_large_ranking_agree(snapshot):
-    small = rows(wh.market_attractiveness(snapshot, SPEC, small=True), "iso3_code")
-    large = rows(wh.market_attractiveness(snapshot, SPEC, small=False), "iso3_code")
-    assert [r[:10] for r in small] == [r[:10] for r in large]
-    for a, b in zip(small, large):
-        assert a[10:] == pytest.approx(b[10:])
-
-
 def test_region_filter(snapshot):
-    every = rec.recommend(snapshot, SPEC, k=1000, small=True)
-    asia = rec.recommend(snapshot, SPEC, regions=["Asia"], k=1000, small=True)
-    known = rec.recommend(snapshot, SPEC, regions=["Asia", "Africa", "Europe"], k=1000, small=True)
+    every = rec.recommend(snapshot, SPEC, k=1000)
+    asia = rec.recommend(snapshot, SPEC, regions=["Asia"], k=1000)
+    known = rec.recommend(snapshot, SPEC, regions=["Asia", "Africa", "Europe"], k=1000)
     assert {r.region for r in asia.collect()} == {"Asia"}
     asia_names = {r.iso3_code for r in asia.collect()}
     assert asia_names < {r.iso3_code for r in known.collect()} < {r.iso3_code for r in every.collect()}
     assert known.filter("region IS NULL").count() == 0 < every.filter("region IS NULL").count()
-    assert rec.recommend(snapshot, SPEC, regions=[], small=True).count() == 0
+    assert rec.recommend(snapshot, SPEC, regions=[]).count() == 0
     # The ranks are those of the filtered set
     assert asia.agg(F.min("size_score"), F.max("size_score")).first() == (0.0, 1.0)
 
 
 def test_weights(snapshot):
     assert rec.normalise_weights((0, 0, 0, 0)) == (0, 0, 0, 0)
-    order = lambda w: [r.iso3_code for r in rec.recommend(snapshot, SPEC, weights=w, small=True).collect()]
+    order = lambda w: [r.iso3_code for r in rec.recommend(snapshot, SPEC, weights=w).collect()]
     assert order((2, 2, 2, 2)) == order((0.25,) * 4)
-    zero = rec.recommend(snapshot, SPEC, weights=(0, 0, 0, 0), small=True).collect()
+    zero = rec.recommend(snapshot, SPEC, weights=(0, 0, 0, 0)).collect()
     assert {r.composite_score for r in zero} == {0.0}
     assert [r.iso3_code for r in zero] == sorted(r.iso3_code for r in zero)
 
@@ -143,17 +135,17 @@ def test_weights(snapshot):
 def test_scenarios_equal_single_recommendations(snapshot):
     from siftmark.spec import WEIGHT_SCENARIOS
 
-    tops = rec.weight_scenarios(snapshot, SPEC, small=True).collect()
+    tops = rec.weight_scenarios(snapshot, SPEC).collect()
     for name, weights in WEIGHT_SCENARIOS.items():
         got = [r.iso3_code for r in sorted(tops, key=lambda r: r.position) if r.scenario == name]
-        assert got == [r.iso3_code for r in rec.recommend(snapshot, SPEC, weights=weights, k=3, small=True).collect()]
-    regions = rec.region_scenarios(snapshot, SPEC, {"all": None, "asia": ["Asia"]}, small=True).collect()
+        assert got == [r.iso3_code for r in rec.recommend(snapshot, SPEC, weights=weights, k=3).collect()]
+    regions = rec.region_scenarios(snapshot, SPEC, {"all": None, "asia": ["Asia"]}).collect()
     got = [r.iso3_code for r in sorted(regions, key=lambda r: r.position) if r.scenario == "asia"]
-    assert got == [r.iso3_code for r in rec.recommend(snapshot, SPEC, regions=["Asia"], k=3, small=True).collect()]
+    assert got == [r.iso3_code for r in rec.recommend(snapshot, SPEC, regions=["Asia"], k=3).collect()]
 
 
 def test_cards_need_three_markets(snapshot):
-    top = rec.recommend(snapshot, SPEC, small=True)
+    top = rec.recommend(snapshot, SPEC)
     assert [r.position for r in rec.recommendation_cards(top, SPEC).collect()] == [1, 2, 3]
     assert rec.recommendation_cards(top.limit(2), SPEC).count() == 0
     assert rec.display_table(top, SPEC).count() == 20
