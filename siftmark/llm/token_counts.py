@@ -62,7 +62,7 @@ class CountTransducer:
         try:
             return sum(map(self.emits.__getitem__, units))
         except KeyError:
-            new = list(set(units) - self.emits.keys())
+            new = [u for u in set(units) if u not in self.emits]
             table = self.emits
             if len(table) + len(new) > TABLE_UNITS:
                 new = list(set(units))
