@@ -75,7 +75,7 @@ def market_attractiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def market_attractiveness_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same ranking through the bucketed ranks that large sets use."""
+    """The same ranking; kept under its name from when small sets were ranked apart."""
     i = bind.customer_inputs(spark, sf_dir)
     return round_score(wh.market_attractiveness(snapshot_of(i), i.spec))
 
