@@ -1,18 +1,26 @@
 """Quality rules: plain counts, and a log-likelihood ratio of hashed n-grams.
 
 The target multinomial is counted over every trusted document, the raw one over every document. Words and
-word pairs are hashed into buckets; a document's score is the mean over its n-grams of
-log p_target(bucket) - log p_raw(bucket), so long texts score like short ones. A document is kept if it
-passes the base rules and its score reaches the threshold; no randomness is involved.
-
-Buckets are as many as the distinct n-grams of the corpus (a sketch over all of them), rounded up to a
-power of two and at least BUCKETS, so ratios do not fade as the corpus grows. Counts are combined in each
-task and stay a Spark table. Ratios of at most LOCAL_BUCKETS buckets are sent to every task; more are
-joined to the n-grams by bucket. Both ways give the same scores, but for the order of additions.
+pairs of neighbouring words are hashed into buckets of their own, fixed in number at every size of the corpus.
+A document's score is the mean over its n-grams of log p_target(bucket) - log p_raw(bucket), so long texts
+score like short ones; raw counts are taken without the document's own n-grams, as else what only
+this document has would speak against it.
+
+The threshold follows the target: it lies as far below the 1 % quantile of the trusted documents' scores as
+that lies below their median. For this, a trusted document is scored without its own n-grams in the target
+as well, and counts if it passes the base rules. So a table that fills up, whose ratios fade, gets a
+threshold that fades with them. Counts are integers and a text is scored in one task, so verdicts do not
+depend on the partitioning. A document is kept if it passes the base rules and reaches the threshold.
+
+Jobs: one over the texts for the counts, one for the trusted scores, and the last one judges. A task of the first
+sends one count vector, cut into ranges of buckets, so the shuffle follows the tasks and not the n-grams.
+Texts meet the trusted ids in the first job; Spark sends ids of few bytes to every task and
+otherwise shuffles the texts once. The second job joins scores only.
 
 Defined results: a null text is an empty one; a text without words scores 0; repeated rows and rows
-with a null id are judged each by itself; without trusted documents every score is 0; an empty table
-gives an empty result; columns other than id and text are never read, or passed on as they are.
+with a null id are judged each by itself; without trusted documents every score is 0 and only the base rules
+decide; an empty table gives an empty result; columns other than id and text are never read, or passed on as
+they are.
 """
 
 from __future__ import annotations
@@ -22,25 +30,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftmark.llm.textbatch import TextSlice, chain, covered, mix, repeats_in_text, slices
+from siftmark.llm.textbatch import TextSlice, chain, covered, repeats_in_text, slices
 from siftmark.sources.scratch import written
 
-#: Least number of buckets.
-BUCKETS = 1 << 16
-#: Greatest number of buckets whose ratios are sent to every task (4 bytes each).
-LOCAL_BUCKETS = 1 << 24
-#: Registers of the sketch of distinct n-grams (error about 0.8 %).
-REGISTERS = 1 << 14
-#: N-grams that a task combines at once: bounds its memory.
+#: Buckets of words, and of pairs of neighbouring words.
+WORD_BUCKETS = 1 << 18
+PAIR_BUCKETS = 1 << 20
+#: Buckets in one row of a task's count vector.
+RANGE = 1 << 10
+#: N-grams that a task counts at once, and after how many it sends its vector: bounds its memory and the vector's values.
 GATHERED = 4_000_000
-#: Mean log ratio below which a document counts as unlike the target.
-THRESHOLD = -0.15
+SENT = (1 << 31) - 1 - GATHERED
 PRIOR = 5
-SALT = 0x5DEECE66D
+#: Quantile of the trusted scores that fixes the threshold, and the width of the bins it is counted in.
+LOW = 0.01
+BIN = 0.001
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -53,53 +61,56 @@ MEASURES = {
 }
 
 
-def gram_hashes(part: TextSlice) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text of each word and each pair of neighbouring words."""
-    words = part.word_hashes()
-    pairs, fit = chain(words, 2), part.fits(2)
-    return np.concatenate([words, pairs[fit]]), np.concatenate([part.doc, part.doc[: len(pairs)][fit]])
+@dataclass(frozen=True)
+class Multinomials:
+    """Target and raw n-gram counts by bucket."""
 
+    target: np.ndarray
+    raw: np.ndarray
 
-def gram_buckets(part: TextSlice, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and text of each word and each pair of neighbouring words."""
-    grams, of = gram_hashes(part)
-    return (grams % np.uint64(buckets)).astype(np.int64), of
+    def ratios(self, places: np.ndarray, own: np.ndarray, own_target: np.ndarray | int = 0) -> np.ndarray:
+        """log p_target - log p_raw at the buckets, less a document's own counts, with PRIOR n-grams of the ratio 1 added.
 
+        What the corpus hardly has is so neither for nor against a document.
+        """
+        total = self.target.sum()
+        if not total:
+            return np.zeros(len(places))
+        share = total / self.raw.sum()
+        target, raw = np.maximum(self.target[places] - own_target, 0), np.maximum(self.raw[places] - own, 0)
+        return np.log((target + PRIOR * share) / ((raw + PRIOR) * share))
+
+
+@dataclass(frozen=True)
+class QualityRules:
+    counts: Multinomials
+    threshold: float
 
-def distinct_grams(docs: DataFrame, text_col: str = "text") -> int:
-    """Estimate of the distinct n-grams of the corpus, by a HyperLogLog sketch over all of them."""
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = np.zeros(REGISTERS, np.int64)
-        for batch in batches:
-            for part in slices(batch.column("_text")):
-                grams = np.unique(mix(gram_hashes(part)[0]))
-                rest = (grams // np.uint64(REGISTERS)).astype(np.float64)
-                rank = 64 - int(np.log2(REGISTERS)) - np.frexp(rest)[1] + 1
-                np.maximum.at(top, (grams % np.uint64(REGISTERS)).astype(np.int64), rank)
-        used = np.flatnonzero(top)
-        yield pa.record_batch({"register": used, "rank": top[used]})
 
-    rows = (docs.select(F.col(text_col).alias("_text")).mapInArrow(sketch, "register long, rank long")
-            .groupBy("register").agg(F.max("rank").alias("rank")).toArrow())
-    ranks = rows["rank"].to_numpy()
-    empty = REGISTERS - len(ranks)
-    estimate = 0.7213 / (1 + 1.079 / REGISTERS) * REGISTERS**2 / (empty + (0.5**ranks).sum())
-    if estimate <= 2.5 * REGISTERS and empty:
-        estimate = REGISTERS * np.log(REGISTERS / empty)
-    return int(round(estimate))
+def gram_buckets(part: TextSlice) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and text of each word and each pair of neighbouring words."""
+    words = part.word_hashes()
+    pairs, fit = chain(words, 2), part.fits(2)
+    places = np.concatenate([words % np.uint64(WORD_BUCKETS), np.uint64(WORD_BUCKETS) + pairs[fit] % np.uint64(PAIR_BUCKETS)])
+    return places.astype(np.int64), np.concatenate([part.doc, part.doc[: len(pairs)][fit]])
 
 
-def bucket_total(docs: DataFrame, text_col: str = "text") -> int:
-    """The power of two that holds the distinct n-grams of the corpus, at least BUCKETS."""
-    return max(BUCKETS, 1 << max(0, distinct_grams(docs, text_col) - 1).bit_length())
+def scores(part: TextSlice, counts: Multinomials) -> tuple[np.ndarray, np.ndarray]:
+    """Mean ratio of each text, and the same for a text that the target counts too."""
+    places, docs = gram_buckets(part)
+    size = len(counts.raw)
+    keys, own = np.unique(docs * size + places, return_counts=True)
+    docs, places = keys // size, keys % size
+    n = np.maximum(np.bincount(docs, weights=own, minlength=part.n), 1)
+    plain, trusted = (np.bincount(docs, weights=own * counts.ratios(places, own, less), minlength=part.n) / n for less in (0, own))
+    return plain, trusted
 
 
 def base_counts(part: TextSlice) -> dict[str, np.ndarray]:
     """The plain counts of each text, and whether it fails on them."""
     lead = (part.data & 0xC0) != 0x80
     starts, ends, docs = part.lines()
-    word_sums = np.concatenate([[0], np.cumsum(part.solid)])
-    with_word = word_sums[ends] > word_sums[starts]
+    with_word = np.searchsorted(part.starts, ends) > np.searchsorted(part.starts, starts)
     starts, ends, docs = starts[with_word], ends[with_word], docs[with_word]
     _, again = repeats_in_text(part.span_hashes(starts, ends), docs)
     windows, fit = chain(part.word_hashes(), 3), part.fits(3)
@@ -115,166 +126,123 @@ def base_counts(part: TextSlice) -> dict[str, np.ndarray]:
     }
 
 
-def judge(texts: pa.Array, ratios: np.ndarray | None, threshold: float) -> dict[str, np.ndarray]:
-    """All measures of each text; without ratios the score is 0."""
-    found: dict[str, list[np.ndarray]] = {name: [] for name in MEASURES}
+def judge(texts: pa.Array, rules: QualityRules) -> dict[str, np.ndarray]:
+    """All measures of each text, and _trusted: its score if the target counts it."""
+    found: dict[str, list[np.ndarray]] = {name: [] for name in [*MEASURES, "_trusted"]}
     for part in slices(texts):
         counts = base_counts(part)
-        llr = np.zeros(part.n)
-        if ratios is not None:
-            places, docs = gram_buckets(part, len(ratios))
-            llr = np.bincount(docs, weights=ratios[places], minlength=part.n) / np.maximum(np.bincount(docs, minlength=part.n), 1)
-        counts |= {"llr": llr, "kept": ~counts["base_failed"] & (llr >= threshold)}
+        llr, trusted = scores(part, rules.counts)
+        counts |= {"llr": llr, "kept": ~counts["base_failed"] & (llr >= rules.threshold), "_trusted": trusted}
         for name, values in counts.items():
             found[name].append(values)
     return {name: np.concatenate(v) if v else np.zeros(0) for name, v in found.items()}
 
 
-def bucket_table(docs: DataFrame, target_ids: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(bucket, target, raw): n-gram counts of the buckets in use, over every document.
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """Ids of all documents labelled good."""
+    return labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(id_col).distinct()
+
 
-    Both multinomials come from one pass; how the target's ids, which grow with the corpus, are joined is
-    left to Spark.
-    """
-    trusted = target_ids.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct().withColumn("_target", F.lit(True))
+def count_rows(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(range, at, target, raw): n-gram counts of the buckets in use, over every document."""
+    buckets = WORD_BUCKETS + PAIR_BUCKETS
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(trusted, "_id", "left")
 
-    def combined(pieces: list[np.ndarray]) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(pieces) if pieces else np.zeros(0, np.int64), return_counts=True)
-        return pa.record_batch({"bucket": keys >> 1, "target": n * (keys & 1), "raw": n})
+    def vector(sums: np.ndarray) -> pa.RecordBatch:
+        cut = sums.reshape(2, buckets // RANGE, RANGE)
+        used = np.flatnonzero(cut[1].any(axis=1))
+        offsets = np.arange(len(used) + 1, dtype=np.int32) * RANGE
+        arrays = [pa.ListArray.from_arrays(offsets, pa.array(side[used].astype(np.int32).ravel())) for side in cut]
+        return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *arrays], ["range", "target", "raw"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, seen = np.zeros((2, buckets), np.int64), 0
         pieces, size = [], 0
+
+        def add() -> None:
+            places, of_target = (np.concatenate(x) for x in zip(*pieces, strict=True))
+            sums[0] += np.bincount(places[of_target], minlength=buckets)
+            sums[1] += np.bincount(places, minlength=buckets)
+            pieces.clear()
+
         for batch in batches:
             target = np.array(batch.column("_target").fill_null(False))
             for part in slices(batch.column("_text")):
-                places, of = gram_buckets(part, buckets)
-                pieces.append(2 * places + target[part.low + of])
+                places, of = gram_buckets(part)
+                pieces.append((places, target[part.low + of]))
                 size += len(places)
                 if size >= GATHERED:
-                    yield combined(pieces)
-                    pieces, size = [], 0
-        yield combined(pieces)
-
-    return (rows.select("_text", "_target").mapInArrow(count, "bucket long, target long, raw long")
-            .groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")))
-
-
-def bucket_counts(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  buckets: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Target and raw n-gram counts by bucket as arrays, for corpora whose buckets fit the driver."""
-    buckets = buckets or bucket_total(docs, text_col)
-    sums = bucket_table(docs, target_ids, buckets, id_col, text_col).toArrow()
-    out = np.zeros((2, buckets), np.int64)
-    out[:, sums["bucket"].to_numpy()] = sums["target"].to_numpy(), sums["raw"].to_numpy()
-    return out[0], out[1]
-
-
-@dataclass(frozen=True)
-class RatioTable:
-    """(bucket, ratio) of the buckets in use; the ratio of the others is 0."""
-
-    buckets: int
-    rows: DataFrame
-
-
-def learned_ratios(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray | RatioTable:
-    """log_ratios of every bucket, as an array or, of more than LOCAL_BUCKETS, as a table in the shared folder."""
-    buckets = bucket_total(docs, text_col)
-    counts = written(bucket_table(docs, target_ids, buckets, id_col, text_col))
-    target, raw = counts.agg(F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("raw"), F.lit(0))).first()
-    share = target / raw if target else 0.0
-    ratio = F.log((F.col("target") + PRIOR * share) / ((F.col("raw") + PRIOR) * share)) if target else F.lit(0.0)
-    rows = counts.select("bucket", ratio.cast("float").alias("ratio"))
-    if buckets > LOCAL_BUCKETS:
-        return RatioTable(buckets, rows)
-    found = rows.select(F.col("bucket").cast("int"), "ratio").toArrow()
-    out = np.zeros(buckets, np.float32)
-    out[found["bucket"].to_numpy()] = found["ratio"].to_numpy()
-    return out
-
-
-def trusted_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """Ids of all documents labelled good."""
-    return labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(id_col).distinct()
-
-
-def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """log p_target - log p_raw per bucket, with PRIOR n-grams of the ratio 1 added to each bucket.
-
-    What the corpus hardly has is so neither for nor against a document.
-    """
-    if not target.sum():
-        return np.zeros(len(raw))
-    share = target.sum() / raw.sum()
-    return np.log((target + PRIOR * share) / ((raw + PRIOR) * share))
-
+                    add()
+                    seen, size = seen + size, 0
+                if seen >= SENT:
+                    yield vector(sums)
+                    sums[:], seen = 0, 0
+        if pieces:
+            add()
+        yield vector(sums)
+
+    vectors = rows.select("_text", "_target").mapInArrow(count, "range int, target array<int>, raw array<int>").repartition("range")
+    cells = vectors.select("range", F.posexplode(F.arrays_zip("target", "raw")).alias("at", "n"))
+    return cells.where("n.raw > 0").groupBy("range", "at").agg(F.sum("n.target").alias("target"), F.sum("n.raw").alias("raw"))
+
+
+def learned_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> Multinomials:
+    """Both multinomials, of a fixed number of buckets."""
+    found = count_rows(docs, trusted, id_col, text_col).toArrow()
+    out = np.zeros((2, WORD_BUCKETS + PAIR_BUCKETS), np.int64)
+    out[:, found["range"].to_numpy().astype(np.int64) * RANGE + found["at"].to_numpy()] = found["target"].to_numpy(), found["raw"].to_numpy()
+    return Multinomials(*out)
+
+
+def threshold_of(bins: np.ndarray, n: np.ndarray) -> float:
+    """The threshold from the trusted scores, given as sorted bins and how many are in each; without any, all are kept."""
+    if not len(bins):
+        return -np.inf
+    so_far = np.cumsum(n)
+    low, middle = (int(bins[np.searchsorted(so_far, q * so_far[-1])]) for q in (LOW, 0.5))
+    return (2 * low - middle) * BIN
+
+
+def learned_rules(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> QualityRules:
+    """Counts and threshold from all documents and all trusted ids (repeated and null ids do not matter)."""
+    trusted = target_ids.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct().withColumn("_target", F.lit(True))
+    trusted = written(trusted)  # its size is known to the joins below, which choose by it
+    counts = learned_counts(docs, trusted, id_col, text_col)
+    if not counts.target.any():
+        return QualityRules(counts, -np.inf)
+    rows = measured(docs, QualityRules(counts, -np.inf), ["base_failed", "_trusted"], id_col, text_col)
+    rows = rows.where("NOT base_failed").select("_id", F.floor(F.col("_trusted") / BIN).alias("bin"))
+    found = rows.join(trusted, "_id", "left_semi").groupBy("bin").agg(F.count("*").alias("n")).orderBy("bin").toArrow()
+    return QualityRules(counts, threshold_of(found["bin"].to_numpy(), found["n"].to_numpy()))
 
-def joined_scores(docs: DataFrame, ratios: RatioTable, text_col: str) -> DataFrame:
-    """(_a, _b, _llr) by the 128-bit hash of a text: its n-grams joined to the ratios by bucket.
 
-    Equal texts have equal scores, so a text that stands in several rows is summed over them and divided alike.
-    """
-    buckets = ratios.buckets
+def measured(docs: DataFrame, rules: QualityRules, names: list[str], id_col: str, text_col: str) -> DataFrame:
+    """_id and the named measures of every row, in one pass without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(rules)
+    types = MEASURES | {"_trusted": pa.float64()}
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("_a").to_numpy(), batch.column("_b").to_numpy()
-            for part in slices(batch.column("_text")):
-                places, of = gram_buckets(part, buckets)
-                order = np.lexsort((places, of))
-                places, of = places[order], of[order]
-                first = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (of[1:] != of[:-1]))[: len(places)])
-                of = part.low + of[first]
-                yield pa.record_batch({"_a": a[of], "_b": b[of], "bucket": places[first], "n": np.diff(np.append(first, len(places)))})
-
-    texts = docs.select(*text_key(docs[text_col]), docs[text_col].alias("_text"))
-    found = texts.mapInArrow(grams, "_a long, _b long, bucket long, n long").join(ratios.rows, "bucket")
-    return found.groupBy("_a", "_b").agg((F.sum(F.col("n") * F.col("ratio").cast("double")) / F.sum("n")).alias("_llr"))
+            found = judge(batch.column("_text"), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), *(pa.array(found[n], types[n]) for n in names)], ["_id", *names])
 
+    kinds = {pa.int64(): T.LongType(), pa.bool_(): T.BooleanType(), pa.float64(): T.DoubleType()}
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["_id"], *(T.StructField(n, kinds[types[n]]) for n in names)]))
 
-def text_key(text: Column) -> list[Column]:
-    text = F.coalesce(text, F.lit(""))
-    return [F.xxhash64(text).alias("_a"), F.xxhash64(text, F.lit(SALT)).alias("_b")]
 
+def quality_measures(docs: DataFrame, rules: QualityRules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id and measures of every row."""
+    return measured(docs, rules, list(MEASURES), id_col, text_col).withColumnRenamed("_id", id_col)
 
-def quality_measures(docs: DataFrame, ratios: np.ndarray | RatioTable, id_col: str = "doc_id", text_col: str = "text",
-                     threshold: float = THRESHOLD) -> DataFrame:
-    """Id and measures of every row; with an array of ratios in one pass without a shuffle."""
-    large = isinstance(ratios, RatioTable)
-    shared = docs.sparkSession.sparkContext.broadcast(None if large else ratios)
-    names = list(MEASURES)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = judge(batch.column("_text"), shared.value, threshold)
-            columns = [pa.array(found[n], MEASURES[n]) for n in names]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *columns], [*keys, *names])
-
-    kinds = {pa.int64(): T.LongType(), pa.bool_(): T.BooleanType(), pa.float64(): T.DoubleType()}
-    keys = ["_id", "_a", "_b"] if large else ["_id"]
-    rows = docs.select(F.col(id_col).alias("_id"), *(text_key(F.col(text_col)) if large else []), F.col(text_col).alias("_text"))
-    schema = T.StructType([*(rows.schema[k] for k in keys), *(T.StructField(n, kinds[k]) for n, k in MEASURES.items())])
-    found = rows.mapInArrow(run, schema)
-    if large:
-        llr = F.coalesce("_llr", F.lit(0.0))
-        found = found.join(joined_scores(docs, ratios, text_col), ["_a", "_b"], "left")
-        found = found.withColumn("llr", llr).withColumn("kept", ~F.col("base_failed") & (llr >= threshold)).select("_id", *names)
-    return found.withColumnRenamed("_id", id_col)
-
-
-def keep_good(docs: DataFrame, ratios: np.ndarray | RatioTable, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, rules: QualityRules, text_col: str = "text") -> DataFrame:
     """The rows that the rules keep, with all their columns."""
-    if isinstance(ratios, RatioTable):
-        unlike = joined_scores(docs, ratios, text_col).where(F.col("_llr") < threshold)
-        a, b = text_key(docs[text_col])
-        docs = docs.join(unlike, (a == unlike["_a"]) & (b == unlike["_b"]), "left_anti")
-        ratios, threshold = None, 0.0
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    shared = docs.sparkSession.sparkContext.broadcast(rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = judge(batch.column(text_col), shared.value, threshold)["kept"]
+            kept = judge(batch.column(text_col), shared.value)["kept"]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -13,7 +13,7 @@ from siftmark.llm.jaccard_join import jaccard_components
 from siftmark.llm.lexical_search import ranked_search
 from siftmark.llm.line_dedup import line_report
 from siftmark.llm.maxent_lm import language_scores
-from siftmark.llm.quality_rules import learned_ratios, quality_measures, trusted_sample
+from siftmark.llm.quality_rules import learned_rules, quality_measures, trusted_ids
 from siftmark.llm.sentencepiece_codec import encoded
 from siftmark.llm.spelling_variants import spelling_forms
 from siftmark.llm.substring_dedup import substring_dedup
@@ -28,8 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ratios = learned_ratios(docs, trusted_sample(table(spark, sf_dir, "labels")))
-    return quality_measures(docs, ratios)
+    return quality_measures(docs, learned_rules(docs, trusted_ids(table(spark, sf_dir, "labels"))))
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

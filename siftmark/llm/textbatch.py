@@ -2,7 +2,7 @@
 
 Spark hands a task its rows in Arrow batches. The functions here work on the bytes of many texts at
 once, in slices of a few megabytes, so a task needs memory for one slice and not for its whole input;
-a single text longer than a slice is one slice. A null text is an empty one.
+a single text longer than a slice is one slice, whose hashes are made in blocks. A null text is an empty one.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+#: Bytes that are hashed at once.
+BLOCK_BYTES = 1 << 20
 U64 = np.uint64
 #: Two odd bases of the rolling hashes, and the multiplier that chains words to n-grams.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -73,17 +75,34 @@ class TextSlice:
 
     def total(self, mask: np.ndarray) -> np.ndarray:
         """How many bytes of each text the mask marks."""
-        sums = np.zeros(len(mask) + 1, np.int64)
-        np.cumsum(mask, out=sums[1:])
-        return np.diff(sums[self.offsets])
+        out, filled = np.zeros(self.n, np.int64), np.diff(self.offsets) > 0
+        if filled.any():
+            out[filled] = np.add.reduceat(mask, self.offsets[:-1][filled], dtype=np.int64)
+        return out
 
     def span_hashes(self, starts: np.ndarray, ends: np.ndarray, base: int = 0) -> np.ndarray:
-        """64-bit hashes of byte spans, equal for equal bytes wherever they stand."""
-        size = max(SLICE_BYTES, 1 << max(0, len(self.data) - 1).bit_length())
+        """64-bit hashes of byte spans in order that do not overlap, equal for equal bytes wherever they stand.
+
+        A span's hash is the sum of its bytes times powers of the base by their place in it. The bytes are
+        summed a block at a time, so a long text needs memory for the powers and sums of one block only; of the
+        spans of a block only the first can have begun before it.
+        """
+        size = BLOCK_BYTES
         up, down = powers(BASES[base], size + 1)
-        sums = np.zeros(len(self.data) + 1, U64)
-        np.cumsum((self.data.astype(U64) + U64(1)) * up[: len(self.data)], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+        out = np.zeros(len(starts), U64)
+        for low in range(0, len(self.data), size):
+            data = self.data[low : low + size]
+            sums = np.zeros(len(data) + 1, U64)
+            np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=sums[1:])
+            i, k = np.searchsorted(ends, low, side="right"), np.searchsorted(starts, low + len(data))
+            if i >= k:
+                continue
+            begin, end = np.maximum(starts[i:k] - low, 0), np.minimum(ends[i:k] - low, len(data))
+            found = (sums[end] - sums[begin]) * down[begin]
+            if starts[i] < low:
+                found[:1] *= U64(pow(BASES[base], low - int(starts[i]), 1 << 64))
+            out[i:k] += found
+        return mix(out + (ends - starts).astype(U64))
 
     def word_hashes(self, base: int = 0) -> np.ndarray:
         return self.span_hashes(self.starts, self.ends, base)

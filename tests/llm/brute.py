@@ -1,5 +1,6 @@
 """Plain versions of the operators, one document at a time."""
 
+import math
 import re
 from collections import Counter
 
@@ -46,6 +47,28 @@ def decontaminate(docs, items, size=10):
     return out
 
 
+def quality(docs, trusted, prior=5):
+    """([target and raw n-grams], threshold, [(id, score, kept)]) of documents, by n-grams that are not hashed."""
+    grams = []
+    for _, text in docs:
+        w = PLAIN.findall(text or "")
+        grams.append(Counter([*w, *zip(w, w[1:], strict=False)]))
+    raw = sum(grams, Counter())
+    target = sum((g for (i, _), g in zip(docs, grams, strict=True) if i in trusted), Counter())
+    share = target.total() / raw.total()
+
+    def score(own, of_target):
+        terms = (n * math.log((target[g] - n * of_target + prior * share) / ((raw[g] - n + prior) * share)) for g, n in own.items())
+        return sum(terms) / max(own.total(), 1)
+
+    failed = [base_counts(text)[-1] for _, text in docs]
+    bins = sorted(math.floor(score(g, True) / 0.001) for (i, _), g, f in zip(docs, grams, failed, strict=True) if i in trusted and not f)
+    low, middle = (bins[math.ceil(q * len(bins)) - 1] for q in (0.01, 0.5))
+    threshold = (2 * low - middle) * 0.001
+    plain = [score(g, False) for g in grams]
+    return [target.total(), raw.total()], threshold, [(i, s, not f and s >= threshold) for (i, _), s, f in zip(docs, plain, failed, strict=True)]
+
+
 def line_dedup(docs, size=2):
     """[(id, n_lines, n_removed, kept)] of documents in order."""
     seen, out = set(), []

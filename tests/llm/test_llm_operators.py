@@ -1,10 +1,12 @@
 """Each operator against a plain version, and on nulls, empty and long texts, ties, repeats, clashing names."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from siftmark.llm import decontaminate, jaccard_join, line_dedup, quality_rules, substring_dedup, textbatch, url_filter
@@ -77,65 +79,100 @@ def test_hashes_do_not_depend_on_place():
     assert h[0] == h[2] == h[4] and len(set(h.tolist())) == 3
 
 
+@pytest.mark.parametrize("size", [1, 3, 16, 64])
+def test_hashes_do_not_depend_on_blocks(monkeypatch, size):
+    """Words and lines that cross any number of blocks have the hashes that they have within one."""
+    texts = pa.array([t for _, t in corpus(7)] + ["", "long" * 50 + " long" * 50, "\n\nend\n"], pa.string())
+
+    def found(part):
+        starts, ends, _ = part.lines()
+        return [part.word_hashes().tolist(), part.word_hashes(1).tolist(), part.span_hashes(starts, ends).tolist()]
+
+    want = [found(part) for part in textbatch.slices(texts, 1000)]
+    monkeypatch.setattr(textbatch, "BLOCK_BYTES", size)
+    assert [found(part) for part in textbatch.slices(texts, 1000)] == want
+
+
+def test_memory_of_a_long_text():
+    """Hashing needs memory for a block beside the places of words: 20 bytes for each byte of one text suffice."""
+    rng = random.Random(3)
+    text = pa.array([" ".join(f"word{rng.randrange(10**6)}" for _ in range(800_000))])
+    part = next(textbatch.slices(text))
+    part.word_hashes()
+    tracemalloc.start()
+    part = next(textbatch.slices(text))
+    assert len(part.word_hashes()) == 800_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(part.data)
+
+
 # 1 quality rules
 
+def no_rules(threshold=-np.inf):
+    size = quality_rules.WORD_BUCKETS + quality_rules.PAIR_BUCKETS
+    return quality_rules.QualityRules(quality_rules.Multinomials(np.zeros(size), np.zeros(size)), threshold)
+
+
 def test_quality_rules_cases(spark):
     rows = corpus(2) + [(None, "x " * 60), (3, "a b c"), (3, "a b c")]
     docs = clashing(spark, rows)
-    ratios = np.zeros(quality_rules.BUCKETS)
-    got = quality_rules.quality_measures(docs, ratios).collect()
+    got = quality_rules.quality_measures(docs, no_rules()).collect()
     want = [(i, *brute.base_counts(t)) for i, t in rows]
     assert sort(tuple(r)[:7] for r in got) == sort(want)
-    assert all(r.kept != r.base_failed for r in got)
-    kept = quality_rules.keep_good(docs, ratios)
+    assert all(r.kept != r.base_failed and r.llr == 0 for r in got)
+    kept = quality_rules.keep_good(docs, no_rules())
     assert kept.columns == docs.columns and kept.count() == sum(not w[-1] for w in want)
+    none = spark.createDataFrame([], DOCS)
+    nobody = spark.createDataFrame([(None,)], "doc_id long")
+    for ids in (nobody, nobody.where("false")):
+        rules = quality_rules.learned_rules(docs, ids)
+        assert rules.threshold == -np.inf and rules.counts.raw.sum() > 0
+        assert sort(quality_rules.quality_measures(docs, rules).collect()) == sort(got)
+    assert quality_rules.quality_measures(none, quality_rules.learned_rules(none, none.select("doc_id"))).collect() == []
 
 
-def test_quality_ratio_prefers_the_target(spark):
-    good = [(i, " ".join(words(random.Random(i), 80, 50))) for i in range(20)]
-    bad = [(100 + i, " ".join(f"z{x}" for x in words(random.Random(i), 80, 50))) for i in range(5)]
-    docs = spark.createDataFrame(good + bad, DOCS)
-    labels = spark.createDataFrame([(i, 1) for i, _ in good[:10]] + [(None, 1)], "doc_id long, quality int")
-    target, raw = quality_rules.bucket_counts(docs, quality_rules.trusted_sample(labels))
-    assert raw.sum() == 25 * (80 + 79) and target.sum() == 10 * (80 + 79)
-    found = {r.doc_id: r.kept for r in quality_rules.quality_measures(docs, quality_rules.log_ratios(target, raw)).collect()}
-    assert all(found[i] for i, _ in good) and not any(found[i] for i, _ in bad)
-    none = quality_rules.log_ratios(np.zeros(8), np.ones(8))
-    assert not none.any()
+def quality_corpus():
+    good = [(i, " ".join(words(random.Random(i), 80, 300))) for i in range(60)]
+    bad = [(1000 + i, " ".join(f"z{x}" for x in words(random.Random(i), 80, 300))) for i in range(30)]
+    return good + bad + [(None, None), (5, ""), (1000, bad[0][1]), (1001, good[1][1]), (7, "too short")]
+
+
+def test_quality_scores_and_threshold(spark):
+    """Counts, scores, threshold and verdicts against a plain version, but for n-grams that share a bucket; alike with any partitions."""
+    rows = quality_corpus()
+    docs = clashing(spark, rows)
+    ids = spark.createDataFrame([(i,) for i in [*range(40), 3, None, 999]], "doc_id long")
+    counts, low, want = brute.quality(rows, set(range(40)))
+    found = []
+    for parts in (1, 5):
+        rules = quality_rules.learned_rules(docs.repartition(parts), ids.repartition(parts))
+        assert [rules.counts.target.sum(), rules.counts.raw.sum()] == counts
+        assert rules.threshold == pytest.approx(low, abs=0.003)
+        got = quality_rules.quality_measures(docs, rules).collect()
+        assert [(r.doc_id, r.kept) for r in got] == [(i, kept) for i, _, kept in want]
+        assert np.allclose([r.llr for r in got], [llr for _, llr, _ in want], atol=0.02)
+        found.append((rules.threshold, sort(got)))
+    assert found[0] == found[1]
+    assert all(kept == (i is not None and (i < 60 or text == rows[1][1]) and len(text) > 50) for (i, _, kept), (_, text) in zip(want, rows, strict=True))
+    left = quality_rules.keep_good(docs, rules)
+    assert left.columns == docs.columns and sort((r.doc_id, r.text) for r in left.collect()) == sort(r for r, (_, _, kept) in zip(rows, want, strict=True) if kept)
 
 
 def test_quality_target_has_every_good_document(spark):
-    """More good documents than the former limit of 20,000, one row a document and label."""
+    """More good documents than a former limit of 20,000, one row a document and label."""
     docs = spark.range(20_500).selectExpr("id AS doc_id", "concat('word', id) AS text")
     labels = spark.range(20_500).selectExpr("id AS doc_id", "1 AS quality").unionByName(spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int"))
-    good = quality_rules.trusted_sample(labels)
-    target, raw = quality_rules.bucket_counts(docs, good)
-    assert good.count() == target.sum() == raw.sum() == 20_500 and (target == raw).all()
+    good = quality_rules.trusted_ids(labels)
+    counts = quality_rules.learned_rules(docs, good).counts
+    assert good.count() == counts.target.sum() == counts.raw.sum() == 20_500 and (counts.target == counts.raw).all()
 
 
-def test_quality_buckets_follow_the_corpus(spark, monkeypatch):
-    """More junk n-grams than the least number of buckets still score below the threshold, sent or joined."""
-    monkeypatch.setattr(quality_rules, "BUCKETS", 1 << 8)
-    good = [(i, " ".join(words(random.Random(i), 80, 300))) for i in range(60)]
-    bad = [(1000 + i, " ".join(f"z{x}" for x in words(random.Random(i), 80, 4000))) for i in range(30)]
-    docs = clashing(spark, good + bad + [(None, None), (5, ""), (1000, bad[0][1])])
-    ids = spark.createDataFrame([(i,) for i, _ in good], "doc_id long")
-    grams = {g for _, t in good + bad for w in [t.split()] for g in [*w, *zip(w, w[1:], strict=False)]}
-    assert abs(quality_rules.distinct_grams(docs) - len(grams)) < 0.03 * len(grams)
-    sent = quality_rules.learned_ratios(docs, ids)
-    assert len(sent) == 1 << (len(grams) - 1).bit_length()
-    measured = lambda ratios: sorted(quality_rules.quality_measures(docs, ratios).collect(), key=lambda r: (str(r.doc_id), r.n_words))
-    got = measured(sent)
-    assert all(r.kept == (r.doc_id is not None and r.doc_id < 60 and r.n_words > 0) for r in got)
-    assert all(r.llr < quality_rules.THRESHOLD for r in got if r.doc_id and r.doc_id >= 1000)
-    monkeypatch.setattr(quality_rules, "LOCAL_BUCKETS", 1)
-    table = quality_rules.learned_ratios(docs, ids)
-    assert isinstance(table, quality_rules.RatioTable) and table.buckets == len(sent)
-    joined = measured(table)
-    assert [tuple(r)[:7] + (r.kept,) for r in joined] == [tuple(r)[:7] + (r.kept,) for r in got]
-    assert np.allclose([r.llr for r in joined], [r.llr for r in got], atol=1e-9)
-    left = quality_rules.keep_good(docs, table)
-    assert left.columns == docs.columns and sort(left.collect()) == sort(quality_rules.keep_good(docs, sent).collect())
+def test_quality_counts_are_one_shuffle(spark):
+    docs = spark.createDataFrame(quality_corpus(), DOCS)
+    ids = spark.range(5).select(F.col("id").alias("_id"), F.lit(True).alias("_target"))
+    plan = quality_rules.count_rows(docs, F.broadcast(ids), "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") + 1
 
 
 # 2 compression classifier

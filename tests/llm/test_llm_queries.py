@@ -57,6 +57,20 @@ def test_quality_rules(spark, docs, db):
     assert sum(got[i].kept or got[i].base_failed for i in good) >= 0.99 * len(good)
 
 
+@pytest.mark.parametrize("size, most_bad", [("0.001", 0.34), ("0.01", 0.3), ("0.1", 0.01)])
+def test_quality_verdicts_at_three_sizes(spark, db, size, most_bad):
+    """Of what passes the base rules, good labels stay at every size; bad ones go, all but surely once the corpus is no longer tiny."""
+    folder = SF_DIR.parent / f"sf{size}"
+    if not folder.exists():
+        pytest.skip("test tables are not here")
+    got = {r.doc_id: r.kept for r in entry.queries()["op1_quality_rules"](spark, str(folder)).collect() if not r.base_failed}
+    labels = dict(db.execute(f"SELECT doc_id, quality FROM '{folder}/labels.parquet'").fetchall())
+    good, bad = ([kept for i, kept in got.items() if labels.get(i) == q] for q in (1, 0))
+    unlabelled = [kept for i, kept in got.items() if i not in labels]
+    assert sum(good) >= 0.999 * len(good) and sum(bad) <= most_bad * len(bad)
+    assert sum(unlabelled) >= 0.92 * len(unlabelled)  # about 7 % of them are junk
+
+
 def test_quality_classifier(spark, docs, db):
     got = run(spark, "op2_quality_classifier")
     labels = dict(db.execute("SELECT doc_id, quality FROM labels").fetchall())
