@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from siftmark.llm.decontaminate import uncontaminated
 from siftmark.llm.jaccard_join import one_of_each
 from siftmark.llm.line_dedup import deduped_lines
-from siftmark.llm.quality_rules import keep_good, learned_ratios, trusted_sample
+from siftmark.llm.quality_rules import keep_good, learned_rules, trusted_ids
 from siftmark.llm.sentencepiece_codec import encoded
 from siftmark.sources.scratch import written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go. The trusted target is what labels mark as good."""
-    trusted = trusted_sample(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return keep_good(docs, learned_ratios(docs, trusted))
+    trusted = trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return keep_good(docs, learned_rules(docs, trusted))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
