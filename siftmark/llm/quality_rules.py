@@ -12,10 +12,10 @@ as well, and counts if it passes the base rules. So a table that fills up, whose
 threshold that fades with them. Counts are integers and a text is scored in one task, so verdicts do not
 depend on the partitioning. A document is kept if it passes the base rules and reaches the threshold.
 
-Jobs: one over the texts for the counts, one for the trusted scores, and the last one judges. A task of the first
-sends one count vector, cut into ranges of buckets, so the shuffle follows the tasks and not the n-grams.
-Texts meet the trusted ids in the first job; Spark sends ids of few bytes to every task and
-otherwise shuffles the texts once. The second job joins scores only.
+Jobs: two over the texts for the counts, one for the trusted scores, and the last one judges. A task sends its counts
+as one vector, packed in ranges of buckets, so the shuffle follows the tasks and not the n-grams. For the
+target's counts a Bloom filter of fixed size keeps most other texts from the shuffle, and a join with the
+ids decides. The trusted scores are joined without texts.
 
 Defined results: a null text is an empty one; a text without words scores 0; repeated rows and rows
 with a null id are judged each by itself; without trusted documents every score is 0 and only the base rules
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,10 +42,11 @@ from siftmark.sources.scratch import written
 WORD_BUCKETS = 1 << 18
 PAIR_BUCKETS = 1 << 20
 #: Buckets in one row of a task's count vector.
-RANGE = 1 << 10
-#: N-grams that a task counts at once, and after how many it sends its vector: bounds its memory and the vector's values.
+RANGE = 1 << 13
+#: N-grams that a task counts at once: bounds its memory.
 GATHERED = 4_000_000
-SENT = (1 << 31) - 1 - GATHERED
+#: 64-bit words of the filter of trusted ids (16 MB). With very many ids it lets all texts through, and the join decides alone.
+FILTER_WORDS = 1 << 21
 PRIOR = 5
 #: Quantile of the trusted scores that fixes the threshold, and the width of the bins it is counted in.
 LOW = 0.01
@@ -143,55 +145,85 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "qua
     return labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(id_col).distinct()
 
 
-def count_rows(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(range, at, target, raw): n-gram counts of the buckets in use, over every document."""
-    buckets = WORD_BUCKETS + PAIR_BUCKETS
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(trusted, "_id", "left")
+def packed(counts: np.ndarray) -> bytes:
+    """Counts by the bytes of equal weight, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
-    def vector(sums: np.ndarray) -> pa.RecordBatch:
-        cut = sums.reshape(2, buckets // RANGE, RANGE)
-        used = np.flatnonzero(cut[1].any(axis=1))
-        offsets = np.arange(len(used) + 1, dtype=np.int32) * RANGE
-        arrays = [pa.ListArray.from_arrays(offsets, pa.array(side[used].astype(np.int32).ravel())) for side in cut]
-        return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *arrays], ["range", "target", "raw"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, seen = np.zeros((2, buckets), np.int64), 0
-        pieces, size = [], 0
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
+
+
+def count_rows(texts: DataFrame) -> DataFrame:
+    """(range, n): n-gram counts of the column _text in each range of buckets in use, packed."""
+    buckets, schema = WORD_BUCKETS + PAIR_BUCKETS, "range int, n binary"
 
-        def add() -> None:
-            places, of_target = (np.concatenate(x) for x in zip(*pieces, strict=True))
-            sums[0] += np.bincount(places[of_target], minlength=buckets)
-            sums[1] += np.bincount(places, minlength=buckets)
-            pieces.clear()
+    def rows(ranges: list[int], counts: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.record_batch({"range": pa.array(ranges, pa.int32()), "n": pa.array([packed(c) for c in counts], pa.binary())})
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, pieces, size = np.zeros(buckets, np.int64), [], 0
         for batch in batches:
-            target = np.array(batch.column("_target").fill_null(False))
             for part in slices(batch.column("_text")):
-                places, of = gram_buckets(part)
-                pieces.append((places, target[part.low + of]))
-                size += len(places)
+                pieces.append(gram_buckets(part)[0])
+                size += len(pieces[-1])
                 if size >= GATHERED:
-                    add()
-                    seen, size = seen + size, 0
-                if seen >= SENT:
-                    yield vector(sums)
-                    sums[:], seen = 0, 0
+                    sums += np.bincount(np.concatenate(pieces), minlength=buckets)
+                    pieces, size = [], 0
         if pieces:
-            add()
-        yield vector(sums)
+            sums += np.bincount(np.concatenate(pieces), minlength=buckets)
+        cut = sums.reshape(-1, RANGE)
+        used = np.flatnonzero(cut.any(axis=1))
+        yield rows(used.tolist(), list(cut[used]))
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # at most all ranges
+        for batch in batches:
+            for k, data in zip(batch.column("range").to_pylist(), batch.column("n"), strict=True):
+                found = unpacked(data.as_py())
+                sums[k] = sums[k] + found if k in sums else found
+        yield rows(list(sums), list(sums.values()))
+
+    return texts.select("_text").mapInArrow(count, schema).repartition("range").mapInArrow(total, schema)
+
+
+def gathered(texts: DataFrame) -> np.ndarray:
+    """Counts of all buckets, fixed in number."""
+    found = count_rows(texts).toArrow()
+    out = np.zeros((WORD_BUCKETS + PAIR_BUCKETS) // RANGE * RANGE, np.int64).reshape(-1, RANGE)
+    for k, data in zip(found["range"].to_pylist(), found["n"].to_pylist(), strict=True):
+        out[k] = unpacked(data)
+    return out.ravel()
 
-    vectors = rows.select("_text", "_target").mapInArrow(count, "range int, target array<int>, raw array<int>").repartition("range")
-    cells = vectors.select("range", F.posexplode(F.arrays_zip("target", "raw")).alias("at", "n"))
-    return cells.where("n.raw > 0").groupBy("range", "at").agg(F.sum("n.target").alias("target"), F.sum("n.raw").alias("raw"))
+
+def with_marks(rows: DataFrame) -> DataFrame:
+    """The rows with word and mask of their _id in the filter: four bits of one 64-bit word."""
+    rows = rows.withColumn("_h", F.xxhash64("_id"))
+    bits = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(_h, {at}) & 63 as int))" for at in (40, 46, 52, 58))
+    return rows.withColumn("word", F.expr(f"_h & {FILTER_WORDS - 1}L")).withColumn("mask", F.expr(bits)).drop("_h")
+
+
+def likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Of (_id, _text) the rows whose id may be among the ids, by a Bloom filter of fixed size; none that is among them is missing."""
+    found = with_marks(ids.select("_id")).groupBy("word").agg(F.expr("bit_or(mask)").alias("mask")).toArrow()
+    marks = np.zeros(FILTER_WORDS, np.int64)
+    marks[found["word"].to_numpy()] = found["mask"].to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask = batch.column("mask").to_numpy()
+            hit = (shared.value[batch.column("word").to_numpy()] & mask) == mask
+            yield batch.select(["_id", "_text"]).filter(pa.array(hit))
+
+    return with_marks(rows.select("_id", "_text")).mapInArrow(run, rows.schema)
 
 
 def learned_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> Multinomials:
-    """Both multinomials, of a fixed number of buckets."""
-    found = count_rows(docs, trusted, id_col, text_col).toArrow()
-    out = np.zeros((2, WORD_BUCKETS + PAIR_BUCKETS), np.int64)
-    out[:, found["range"].to_numpy().astype(np.int64) * RANGE + found["at"].to_numpy()] = found["target"].to_numpy(), found["raw"].to_numpy()
-    return Multinomials(*out)
+    """Both multinomials; texts that the filter lets through are shuffled to the ids unless these are few."""
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return Multinomials(gathered(likely(rows, trusted).join(trusted, "_id", "left_semi")), gathered(rows))
 
 
 def threshold_of(bins: np.ndarray, n: np.ndarray) -> float:
@@ -205,7 +237,7 @@ def threshold_of(bins: np.ndarray, n: np.ndarray) -> float:
 
 def learned_rules(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> QualityRules:
     """Counts and threshold from all documents and all trusted ids (repeated and null ids do not matter)."""
-    trusted = target_ids.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct().withColumn("_target", F.lit(True))
+    trusted = target_ids.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
     trusted = written(trusted)  # its size is known to the joins below, which choose by it
     counts = learned_counts(docs, trusted, id_col, text_col)
     if not counts.target.any():
