@@ -14,8 +14,9 @@ depend on the partitioning. A document is kept if it passes the base rules and r
 
 Jobs: two over the texts for the counts, one for the trusted scores, and the last one judges. A task sends its counts
 as one vector, packed in ranges of buckets, so the shuffle follows the tasks and not the n-grams. For the
-target's counts a Bloom filter of fixed size keeps most other texts from the shuffle, and a join with the
-ids decides. The trusted scores are joined without texts.
+target's counts a Bloom filter of fixed size finds the texts; the ids that it lets through wrongly, hardly any, come
+from a join of ids and are taken out. Texts are shuffled only when so many ids fill the filter that Spark finds the
+wrong ones too many to send. The trusted scores are joined without texts.
 
 Defined results: a null text is an empty one; a text without words scores 0; repeated rows and rows
 with a null id are judged each by itself; without trusted documents every score is 0 and only the base rules
@@ -45,7 +46,7 @@ PAIR_BUCKETS = 1 << 20
 RANGE = 1 << 13
 #: N-grams that a task counts at once: bounds its memory.
 GATHERED = 4_000_000
-#: 64-bit words of the filter of trusted ids (16 MB). With very many ids it lets all texts through, and the join decides alone.
+#: 64-bit words of the filter of trusted ids (16 MB). With very many ids it lets all through, and the join decides alone.
 FILTER_WORDS = 1 << 21
 PRIOR = 5
 #: Quantile of the trusted scores that fixes the threshold, and the width of the bins it is counted in.
@@ -204,26 +205,33 @@ def with_marks(rows: DataFrame) -> DataFrame:
     return rows.withColumn("word", F.expr(f"_h & {FILTER_WORDS - 1}L")).withColumn("mask", F.expr(bits)).drop("_h")
 
 
-def likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Of (_id, _text) the rows whose id may be among the ids, by a Bloom filter of fixed size; none that is among them is missing."""
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bloom filter of fixed size of the column _id."""
     found = with_marks(ids.select("_id")).groupBy("word").agg(F.expr("bit_or(mask)").alias("mask")).toArrow()
     marks = np.zeros(FILTER_WORDS, np.int64)
     marks[found["word"].to_numpy()] = found["mask"].to_numpy()
-    shared = rows.sparkSession.sparkContext.broadcast(marks)
+    return marks
+
+
+def likely(rows: DataFrame, marks: np.ndarray) -> DataFrame:
+    """The rows whose _id may be in the filter; none that is in it is missing, a null id never is."""
+    shared, names = rows.sparkSession.sparkContext.broadcast(marks), rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mask = batch.column("mask").to_numpy()
             hit = (shared.value[batch.column("word").to_numpy()] & mask) == mask
-            yield batch.select(["_id", "_text"]).filter(pa.array(hit))
+            yield batch.select(names).filter(pa.array(hit))
 
-    return with_marks(rows.select("_id", "_text")).mapInArrow(run, rows.schema)
+    return with_marks(rows.where("_id IS NOT NULL")).mapInArrow(run, rows.schema)
 
 
 def learned_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> Multinomials:
-    """Both multinomials; texts that the filter lets through are shuffled to the ids unless these are few."""
+    """Both multinomials. What the filter lets through wrongly is found by ids alone and taken out."""
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return Multinomials(gathered(likely(rows, trusted).join(trusted, "_id", "left_semi")), gathered(rows))
+    marks = id_filter(trusted)
+    wrong = written(likely(rows.select("_id"), marks).join(trusted, "_id", "left_anti").distinct())
+    return Multinomials(gathered(likely(rows, marks).join(wrong, "_id", "left_anti")), gathered(rows))
 
 
 def threshold_of(bins: np.ndarray, n: np.ndarray) -> float:

@@ -175,10 +175,16 @@ def test_quality_counts_are_one_shuffle(spark):
     assert (quality_rules.unpacked(quality_rules.packed(n)) == n).all()
 
 
-def test_quality_filter_misses_no_id(spark):
-    docs = spark.range(3000).selectExpr("id AS _id", "'t' AS _text").unionByName(spark.createDataFrame([(None, "t"), (4, "u")], "_id long, _text string"))
-    found = {r._id for r in quality_rules.likely(docs, docs.where("_id % 3 = 0")).collect()}
-    assert found >= set(range(0, 3000, 3)) and len(found) < 1100
+def test_quality_filter_misses_no_id(spark, monkeypatch):
+    """With few and with far too few bits: counts are those of the trusted documents only."""
+    docs = spark.range(3000).selectExpr("id AS _id", "concat('t', id) AS _text").unionByName(spark.createDataFrame([(None, "t"), (6, "u")], "_id long, _text string"))
+    ids = docs.where("_id % 3 = 0").select("_id").distinct()
+    for words in (quality_rules.FILTER_WORDS, 256, 1):
+        monkeypatch.setattr(quality_rules, "FILTER_WORDS", words)
+        found = {r._id for r in quality_rules.likely(docs, quality_rules.id_filter(ids)).collect()}
+        assert found >= set(range(0, 3000, 3)) and None not in found and (len(found) == 3000) == (words == 1)
+        counts = quality_rules.learned_counts(docs, ids, "_id", "_text")
+        assert [counts.target.sum(), counts.raw.sum()] == [1001, 3002]
 
 
 # 2 compression classifier
