@@ -15,8 +15,12 @@ their distance 1 - J is at most eps. The result is each document's set size and
    Links to pivots are settled on the way, and a region whose documents are already connected is done.
 3. Recursion ends at LEAF documents, or where pivots don't separate; these are compared exactly.
 
-A region of at most MAX_REGION shingles is split within one task. A larger one is split by Spark: its
-documents are dealt to blocks, and each block meets the region's pivots. A region that is connected by
+A region of at most MAX_REGION shingles is split within one task. Seeds that follow common phrases can chain
+unrelated documents to a larger one, and these pivots don't separate. So a larger one is first seeded
+again: shingles are counted in the region and ordered from rare to common. Linked sets share one
+of the least shingles of each, as many as a linked set may lack and one more (prefix filter). Shingles that one
+document alone has take their places there and meet nobody. What meets by the others is a new region.
+One that is still larger is split by Spark: its documents are dealt to blocks, and each block meets the region's pivots. A region that is connected by
 then is done; where few documents are outside the largest component, these are compared with all others;
 otherwise the Voronoi regions are new regions. What is left after LEVELS rounds is joined block by block.
 Equal sets are compared once. Nothing is capped.
@@ -43,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftmark.llm.components import components
-from siftmark.llm.packets import Gather, empty_packets, part_count, reduce_parts, schema
+from siftmark.llm.packets import Gather, empty_packets, pack, part_count, reduce_parts, schema
 from siftmark.llm.textbatch import U64, TextSlice, chain, mix, slices
 from siftmark.sources.scratch import written
 
@@ -59,6 +63,10 @@ SALTS = 32
 SLACK = 1e-9
 
 SIGNATURE = {"sig": np.uint64, "doc": np.int64}
+#: A shingle of a document with the number of documents that have it; 0: `sig` is the document's allowance (`allowance`).
+COUNTED = SIGNATURE | {"n": np.int32}
+#: Bits of a shingle's hash that are not sent when shingles are counted: equal rests only make a region larger.
+UNSENT = 24
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -336,6 +344,78 @@ def seed_meetings(docs: DataFrame, shingle: int, percent: int, count: int) -> Da
     return reduce_parts(packets, kinds, meet, "kind int, a long, b long", empty)
 
 
+def allowance(size: int, keys: int, percent: int) -> int:
+    """Length of the prefix of a set, less all its keys: with the number of shared keys added, how many of these are in it.
+
+    A set's links share at least percent % of it, so the least shared element is among the first
+    size - ceil(percent * size / 100) + 1. Keys that no other set has come first in the order.
+    """
+    return size + (-percent * size // 100) + 1 - keys
+
+
+def counted_shingles(x: dict[str, np.ndarray], count: int) -> Iterator[pa.RecordBatch]:
+    """Packets by document of the shingles that several documents have, and of the allowances."""
+    own = x["n"] == 0
+    order = np.lexsort((x["doc"][~own], x["sig"][~own]))
+    sig, doc = x["sig"][~own][order], x["doc"][~own][order]
+    if len(sig):
+        new = np.append(True, (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1]))  # rows that share an id are one document
+        sig, doc = sig[new], doc[new]
+        first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        times = np.diff(np.append(first, len(sig)))
+        times = np.repeat(times, times)
+        sig, doc, times = sig[times > 1], doc[times > 1], times[times > 1]
+    else:
+        times = np.zeros(0, np.int32)
+    doc = np.concatenate([x["doc"][own], doc])
+    yield from pack({"sig": np.concatenate([x["sig"][own], sig]), "doc": doc,
+                     "n": np.concatenate([x["n"][own], times]).astype(np.int32)}, np.mod(doc, count), count)
+
+
+def prefix_signatures(x: dict[str, np.ndarray], count: int) -> Iterator[pa.RecordBatch]:
+    """Packets by shingle of the shared shingles in the prefix of each document.
+
+    Where rows share an id, their shingles can't be told apart, and all are sent.
+    """
+    own = x["n"] == 0
+    ids, at, rows = np.unique(x["doc"][own], return_inverse=True, return_counts=True)
+    allowed = np.zeros(len(ids), np.int64)
+    np.add.at(allowed, at, x["sig"][own].view(np.int64))
+    sig, doc = x["sig"][~own], x["doc"][~own]
+    order = np.lexsort((sig, x["n"][~own], doc))
+    sig, doc = sig[order], doc[order]
+    of = np.searchsorted(ids, doc)
+    shared = np.bincount(of, minlength=len(ids))
+    place = np.arange(len(doc)) - (np.cumsum(shared) - shared)[of]
+    keep = (place < (allowed + shared)[of]) | (rows[of] > 1)
+    yield from pack({"sig": sig[keep], "doc": doc[keep]}, (sig[keep] % U64(count)).astype(np.int32), count)
+
+
+def prefix_meetings(nodes: DataFrame, percent: int, count: int) -> DataFrame:
+    """Edges (a, b) of the documents (region, _id, set) of a region that share a shingle of their prefixes."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gather = Gather(COUNTED, count)
+        for batch in batches:
+            ids, regions = batch.column("_id").to_numpy(), batch.column("region").to_numpy()
+            for doc, region, blob in zip(ids, mix(regions.view(U64)), batch.column("set"), strict=True):
+                values = np.frombuffer(blob.as_buffer(), U64)
+                sig = np.unique(mix(values ^ region) >> U64(UNSENT))
+                own = np.array([allowance(len(values), len(sig), percent)], np.int64).view(U64)
+                yield from gather.add((sig % U64(count)).astype(np.int32), sig=sig, doc=np.full(len(sig), doc), n=np.ones(len(sig)))
+                yield from gather.add(np.array([doc % count]), sig=own, doc=np.array([doc]), n=np.zeros(1))
+        yield from gather.flush()
+
+    def meet(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        a, b = meeting_edges(x["sig"], x["doc"])
+        yield pa.record_batch({"a": a, "b": b})
+
+    counted = reduce_parts(nodes.select("region", "_id", "set").mapInArrow(scan, schema(COUNTED)), COUNTED,
+                           lambda x: counted_shingles(x, count), schema(COUNTED), lambda: empty_packets(COUNTED))
+    kept = reduce_parts(counted, COUNTED, lambda x: prefix_signatures(x, count), schema(SIGNATURE), lambda: empty_packets(SIGNATURE))
+    empty = lambda: pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    return reduce_parts(kept, SIGNATURE, meet, "a long, b long", empty)
+
+
 def with_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
     """(region, _id, set) of the documents that have met others."""
     # a share of all texts, so a shuffle at every size; the hint keeps small trials to the plan of large runs
@@ -479,7 +559,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         copies = written(sets.select(F.sha2("set", 256).alias("key"), "region", "_id").join(alike, ["key", "region"]).where("_id <> first"))
         edges = edges.unionByName(copies.select(F.col("first").alias("a"), F.col("_id").alias("b")))
         nodes = sets.join(copies.select("_id"), "_id", "left_anti")
-        edges = edges.unionByName(split_regions(nodes.select("region", "_id"), nodes.select("_id", "set"), percent, block))
+        closer = components(prefix_meetings(nodes, percent, count)).withColumnsRenamed({"node": "_id", "component": "region"})
+        sizes = closer.join(widths.withColumnRenamed("node", "_id"), "_id").groupBy("region").agg(F.sum("n").alias("n"))
+        large = written(sizes.where(F.col("n") > max_region).select("region"))
+        small, rest = (closer.join(large, "region", how) for how in ("left_anti", "left_semi"))
+        sets = nodes.select("_id", "set")
+        edges = edges.unionByName(group_edges(sets.join(small, "_id").withColumn("task", deal), percent))
+        if not large.isEmpty():
+            edges = edges.unionByName(split_regions(rest, sets, percent, block))
     found = components(edges)
     sized_docs = met.where("kind <> 1").select(F.when(F.col("kind") == 0, F.col("a")).alias("_id"), F.col("b").alias("n_shingles"))
     out = sized_docs.join(found.withColumnsRenamed({"node": "_id"}), "_id", "left")

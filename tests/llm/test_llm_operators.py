@@ -406,6 +406,54 @@ def test_jaccard_splits_large_regions(spark, limit, block):
     assert got == brute.jaccard(rows, 2, 85)
 
 
+@pytest.mark.parametrize(("n", "percent"), [(5, 80), (2, 50)])
+def test_jaccard_seeds_large_regions_again(spark, n, percent):
+    """Every region counts as large."""
+    rows = corpus(n, 70)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in
+           jaccard_join.jaccard_components(clashing(spark, rows), shingle=n, percent=percent, max_region=1).collect()}
+    assert got == brute.jaccard(rows, n, percent)
+
+
+def test_common_phrases_make_no_large_region(spark, monkeypatch):
+    """Documents that only common phrases chain are not dealt to pivots, which don't separate them."""
+    rng = random.Random(3)
+    phrases = [f"p{k}a p{k}b p{k}c" for k in range(12)]
+    rows = []
+    for i in range(90):
+        own = [f"d{i}x{k}" for k in range(40)]
+        rows.append((2 * i, " ".join(own + rng.sample(phrases, 8))))
+        if i % 9 == 0:
+            rows.append((2 * i + 1, " ".join([*own[:-1], "z", *rows[-1][1].split()[40:]])))
+    monkeypatch.setattr(jaccard_join, "split_regions", lambda *_: pytest.fail("a region was not split by its rare shingles"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in
+           jaccard_join.jaccard_components(spark.createDataFrame(rows, DOCS), shingle=2, percent=80, max_region=1000).collect()}
+    want = brute.jaccard(rows, 2, 80)
+    assert got == want and sum(i != c for i, (_, c) in want.items()) == 10
+
+
+def test_linked_documents_meet_in_their_prefixes(spark):
+    """Also where rows share an id; prefixes hold no more than they need."""
+    rng = random.Random(8)
+    sets = {}
+    for i in range(0, 60, 3):
+        base = [rng.getrandbits(63) for _ in range(rng.randrange(1, 60))]
+        for k in range(3):
+            sets[i + k] = set(base[: len(base) - rng.randrange(1 + len(base) // 4)]) | {rng.getrandbits(63) for _ in range(rng.randrange(3))}
+    rows = [(7, i, np.array(sorted(s), np.uint64).tobytes()) for i, s in sets.items()]
+    rows.append((7, 1000, np.array([1, 2, 3], np.uint64).tobytes()))
+    rows.append((7, 1000, rows[0][2]))
+    nodes = spark.createDataFrame(rows, "region long, _id long, set binary")
+    label = {r.node: r.component for r in jaccard_join.components(jaccard_join.prefix_meetings(nodes, 80, 4)).collect()}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and 100 * len(a & b) >= 80 * len(a | b):
+                assert label[i] == label[j]
+            elif i // 3 != j // 3:
+                assert label.get(i, -1) != label.get(j, -2)
+    assert label[1000] == label[0]
+
+
 def test_region_join_recursion():
     rows = [(i, t) for k in range(4) for i, t in [(1000 * k + i, t.replace("w", f"q{k}")) for i, t in family(80)]]
     part = next(textbatch.slices(pa.array([t for _, t in rows])))
