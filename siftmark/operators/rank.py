@@ -3,7 +3,7 @@
 Ranks come from the distinct values, never from sorted rows: occurrences are counted by (group, metric,
 value), combined before the shuffle; the distinct values are range-partitioned in order; each range
 has a running count of its own, and the totals of the ranges before it are added. One plan serves sets of any
-size, and a frequent value is one row of the sorted table.
+size, and a frequent value is one row of the sorted table. Where rows meet their values, frequent ones are broadcast.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from siftmark.sources.scratch import written
 
+#: Occurrences from which a value is frequent: a table has at most its cells divided by this of them.
+FREQUENT = 100_000
+
 
 def percent_ranks(df: DataFrame, ranks: Mapping[str, str | Column], *, within: Sequence[str] = ()) -> DataFrame:
     """Add one PERCENT_RANK column per entry of ``ranks`` (output name -> metric).
@@ -23,7 +26,8 @@ def percent_ranks(df: DataFrame, ranks: Mapping[str, str | Column], *, within: S
     ``within`` names columns whose values form groups that are ranked apart, all in the same pass.
     The rows are written to the shared folder with a number once, and so are the ordered distinct
     values; only numbers, groups and values are shuffled by value, the other columns once, by
-    number. Starts these writes while it is called.
+    number. Rows with a frequent value (FREQUENT occurrences) get its rank where they are read, so that no
+    task holds all rows of a value that many share. Starts these writes while it is called.
     """
     cells = [
         F.struct(F.lit(i).alias("metric"), (F.col(m) if isinstance(m, str) else m).cast("double").alias("value"))
@@ -34,11 +38,16 @@ def percent_ranks(df: DataFrame, ranks: Mapping[str, str | Column], *, within: S
         "_row": F.monotonically_increasing_id(), "_group": group, "_cells": F.array(*cells),
     }))
     long = rows.select("_row", "_group", F.inline("_cells"))
-    places = value_ranks(long, ["_group", "metric"], "value")
+    places = written(value_ranks(long, ["_group", "metric"], "value"))
     keys = ["_group", "metric", "value"]
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
-    placed = long.alias("l").join(places.alias("p"), same).select("l._row", "l.metric", "p.share")
-    wide = placed.groupBy("_row").agg(*[
+    frequent = F.col("n") >= FREQUENT
+    often, seldom = F.broadcast(places.filter(frequent)).alias("p"), places.filter(~frequent).alias("p")
+    found = ["l._row", "l.metric", "p.share"]
+    rest = long.alias("l").join(often, same, "left_anti").alias("l")
+    placed = long.alias("l").join(often, same).select(*found).unionByName(rest.join(seldom, same).select(*found))
+    # a row's cells meet in the reduce tasks only: row numbers hardly repeat in a task before, and would fill its memory
+    wide = placed.repartition("_row").groupBy("_row").agg(*[
         F.max(F.when(F.col("metric") == i, F.col("share"))).alias(name) for i, name in enumerate(ranks)
     ])
     return rows.drop("_group", "_cells", *ranks).join(wide, "_row").select(
@@ -46,7 +55,7 @@ def percent_ranks(df: DataFrame, ranks: Mapping[str, str | Column], *, within: S
 
 
 def value_ranks(long: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """``share``: the PERCENT_RANK of every distinct value of each group of a long frame."""
+    """``share``: the PERCENT_RANK of every distinct value of each group of a long frame; ``n``: its occurrences."""
     counts = long.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
     order = [*groups, F.col(value).asc_nulls_last()]
     ranged = written(
@@ -64,7 +73,7 @@ def value_ranks(long: DataFrame, groups: Sequence[str], value: str) -> DataFrame
     same = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*groups, "_range"]]
     share = F.when(F.col("_all") > 1, (F.col("_before") + F.col("_lower")) / (F.col("_all") - 1).cast("double"))
     return running.alias("r").join(offsets.alias("o"), same).select(
-        *[F.col(f"r.{k}") for k in [*groups, value]], F.coalesce(share, F.lit(0.0)).alias("share"))
+        *[F.col(f"r.{k}") for k in [*groups, value]], "n", F.coalesce(share, F.lit(0.0)).alias("share"))
 
 
 def component_leaders(

@@ -63,6 +63,18 @@ def test_ranks_equal_brute_force_under_skew(spark, partitions):
         assert [r[f"p{c}"] for r in out] == pytest.approx(brute([d[i + 1] for d in data]))
 
 
+@pytest.mark.parametrize("least", [1, 60, 91, 1000])
+def test_frequent_values_are_not_shuffled_by_value(spark, monkeypatch, least):
+    """Whatever counts as frequent, ranks are the same; frequent values meet their rows by broadcast."""
+    monkeypatch.setattr("siftmark.operators.rank.FREQUENT", least)
+    values = [1.0] * 300 + [None] * 90 + [float("nan")] * 60 + [float(i) for i in range(150)]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    ranked = percent_ranks(df, {"p": "v"})
+    assert [r.p for r in ranked.orderBy("id").collect()] == pytest.approx(brute(values))
+    text = plan(ranked)
+    assert text.count("BroadcastExchange") >= 3 and "LeftAnti" in text
+
+
 def test_groups_are_ranked_apart(spark):
     rng = random.Random(8)
     data = [(i, rng.choice(["x", "y", None]), None if rng.random() < 0.1 else float(rng.randrange(9))) for i in range(400)]
