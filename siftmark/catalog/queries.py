@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -509,24 +509,32 @@ def label_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @contextmanager
-def block_bytes(spark: SparkSession, size: int) -> Iterator[None]:
-    """Files are read in blocks of at most so many bytes."""
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(size))
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def block_bytes(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """Files are read in blocks of at most so many bytes."""
+    return setting(spark, "spark.sql.files.maxPartitionBytes", str(size))
 
 
 @query
 def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with line breaks, written as one CSV file and read in blocks: what differs from the source, by language."""
+    """Texts with line breaks, written as CSV and read in blocks: what differs from the source, by language.
+
+    There is one file for each full read block of the table (128 MB by default), so small tables are one file.
+    """
     docs = bind.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "lang", F.concat(F.lit('say "so", '), "text", F.lit('\n""\r\nend')).alias("text"))
     path = f"{scratch_folder(spark)}/texts"
-    docs.coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    with setting(spark, "spark.sql.files.minPartitionNum", "1"):
+        docs.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     with block_bytes(spark, 100_000):
         found = written(read_csv(spark, path, ordered=True))
     several = found.agg(F.min("_block") < F.max("_block")).first()[0]

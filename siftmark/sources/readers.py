@@ -131,8 +131,10 @@ def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     whole = F.col("_begins") & F.col("_ends")
     place = F.struct("_block", "_row")
     before = Window.partitionBy("_file").orderBy("_block", "_row")
-    pieces = found.filter(~whole).withColumn("_start", F.last(F.when(F.col("_begins"), place), ignorenulls=True).over(before))
-    joined = pieces.groupBy("_file", "_start").agg(F.array_sort(F.collect_list(F.struct("_block", "_row", "value"))).alias("_parts"))
+    pieces = found.filter(~whole)
+    # a file's pieces are put in order by their places alone: one task gets no texts but those of its records
+    starts = pieces.select(*FILE_ORDER, F.last(F.when(F.col("_begins"), place), ignorenulls=True).over(before).alias("_start"))
+    joined = pieces.select("value", *FILE_ORDER).join(starts, FILE_ORDER).groupBy("_file", "_start").agg(F.array_sort(F.collect_list(F.struct("_block", "_row", "value"))).alias("_parts"))
     joined = joined.select(F.array_join("_parts.value", "\n").alias("value"), "_file", "_start._block", "_start._row")
     return found.filter(whole).select("value", *FILE_ORDER).unionByName(joined), True
 
@@ -174,7 +176,7 @@ def _read_csv(spark: SparkSession, path: str, sep: str, ordered: bool, options:
             "_row": F.monotonically_increasing_id(),
         }) if ordered else rows
     first = records.filter("_block = 0").groupBy("_file").agg(F.min("_row").alias("_first"))
-    headed = records.join(first, "_file")
+    headed = records.join(F.broadcast(first), "_file")  # one row a file
     is_header = (F.col("_block") == 0) & (F.col("_row") == F.col("_first"))
     [head] = headed.filter(is_header).orderBy("_file").select("value").head(1)
     rows = parse_records(headed.filter(~is_header), header_names(head.value, sep), sep, options)

@@ -1,9 +1,11 @@
 import csv
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from siftmark.catalog import queries
 from siftmark.operators.content import content_digest
 from siftmark.plans import warehouse as wh
 from siftmark.sources import readers, writers
@@ -206,3 +208,24 @@ def test_views(spark):
 def test_written_keeps_special_values(spark):
     df = spark.createDataFrame([(float("nan"), -0.0, None), (float("inf"), 1.0, "s")], "a double, b double, c string")
     assert str(rows(written(df), "b")) == str(rows(df, "b"))
+
+
+def test_texts_are_written_and_put_together_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A table of several read blocks becomes several CSV files, and no text is shuffled by its file alone."""
+    docs = [(i, "a" if i % 3 else None, f"line {i}\n" * 40 + 'x"y') for i in range(4000)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "scratch_folder", lambda _: f"{tmp_path}/scratch")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "50000")
+    try:
+        found = {r.lang: (r.rows, r.characters, r.differing, r.several_blocks)
+                 for r in queries.csv_quoted_breaks(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    want = {lang: sum(len(t) + 18 for _, x, t in docs if x == lang) for lang in ("a", None)}
+    assert {k: v[1:] for k, v in found.items()} == {k: (n, 0, True) for k, n in want.items()}
+    assert len(list((tmp_path / "scratch" / "texts").glob("*.csv"))) > 1
+    by_file = re.findall(r"Exchange hashpartitioning\(_file#\d+, \d+\).*\n.*", plan(readers.csv_records(spark, f"{tmp_path}/scratch/texts")[0]))
+    assert by_file and not any("value#" in x for x in by_file)
