@@ -508,6 +508,10 @@ def label_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select(F.col("_label").alias("label"), F.col("_label_code").alias("code"))
 
 
+#: Stored bytes of a table that one task writes as text; texts may be several times as long.
+WRITE_BLOCK = 32 << 20
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """A setting of the session for a while."""
@@ -528,12 +532,12 @@ def block_bytes(spark: SparkSession, size: int) -> AbstractContextManager[None]:
 def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line breaks, written as CSV and read in blocks: what differs from the source, by language.
 
-    There is one file for each full read block of the table (128 MB by default), so small tables are one file.
+    There is one file for each WRITE_BLOCK bytes of the table, so small tables are one file.
     """
     docs = bind.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "lang", F.concat(F.lit('say "so", '), "text", F.lit('\n""\r\nend')).alias("text"))
     path = f"{scratch_folder(spark)}/texts"
-    with setting(spark, "spark.sql.files.minPartitionNum", "1"):
+    with setting(spark, "spark.sql.files.minPartitionNum", "1"), block_bytes(spark, WRITE_BLOCK):
         docs.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     with block_bytes(spark, 100_000):
         found = written(read_csv(spark, path, ordered=True))

@@ -215,14 +215,9 @@ def test_texts_are_written_and_put_together_by_many_tasks(spark, tmp_path, monke
     docs = [(i, "a" if i % 3 else None, f"line {i}\n" * 40 + 'x"y') for i in range(4000)]
     spark.createDataFrame(docs, "doc_id long, lang string, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
     monkeypatch.setattr(queries, "scratch_folder", lambda _: f"{tmp_path}/scratch")
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "50000")
-    try:
-        found = {r.lang: (r.rows, r.characters, r.differing, r.several_blocks)
-                 for r in queries.csv_quoted_breaks(spark, str(tmp_path)).collect()}
-    finally:
-        spark.conf.set(name, before)
+    monkeypatch.setattr(queries, "WRITE_BLOCK", 50_000)
+    found = {r.lang: (r.rows, r.characters, r.differing, r.several_blocks)
+             for r in queries.csv_quoted_breaks(spark, str(tmp_path)).collect()}
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
     want = {lang: sum(len(t) + 18 for _, x, t in docs if x == lang) for lang in ("a", None)}
     assert {k: v[1:] for k, v in found.items()} == {k: (n, 0, True) for k, n in want.items()}
