@@ -2,6 +2,7 @@
 
 import random
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -187,6 +188,41 @@ def test_quality_filter_misses_no_id(spark, monkeypatch):
         assert [counts.target.sum(), counts.raw.sum()] == [1001, 3002]
 
 
+def test_quality_counts_take_one_pass_and_one_worker_a_task(spark, monkeypatch):
+    """Without wrong ids both counts come from one job, with one Python step before and one after its shuffle."""
+    docs = spark.createDataFrame([(1, "a b"), (1, "a"), (2, "a c"), (None, "a"), (4, None)], "_id long, _text string")
+    plans, rows = [], quality_rules.count_rows
+
+    def seen(*args):
+        plans.append((found := rows(*args))._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(quality_rules, "count_rows", seen)
+    counts = quality_rules.learned_counts(docs, docs.where("_id = 1").select("_id").distinct(), "_id", "_text")
+    assert [counts.target.sum(), counts.raw.sum()] == [4, 8]
+    assert [(p.count("MapInArrow"), p.count("Exchange")) for p in plans] == [(2, 1)]
+
+
+def test_quality_hands_back_slices(monkeypatch):
+    """Kept rows of a large batch leave a slice at a time, in their order and with all their columns."""
+    text = " ".join(words(random.Random(1), 60, 60))
+    rows = pa.record_batch({"k": list(range(500)), "text": [None if i % 9 == 0 else "short" if i % 7 == 0 else text for i in range(500)]})
+
+    class Here:
+        sparkSession = sparkContext = schema = property(lambda self: self)
+
+        def broadcast(self, value):
+            return SimpleNamespace(value=value)
+
+        def mapInArrow(self, run, schema):
+            return list(run(iter([rows.slice(0, 0), rows.slice(3)])))
+
+    monkeypatch.setattr(textbatch, "SLICE_BYTES", 10 * len(text))
+    found = quality_rules.keep_good(Here(), no_rules())
+    assert len(found) > 20 and max(b.num_rows for b in found) <= 40
+    assert pa.Table.from_batches(found).to_pylist() == [r for r in rows.slice(3).to_pylist() if r["text"] == text]
+
+
 # 2 compression classifier
 
 def test_compression_scores(spark):
