@@ -6,16 +6,19 @@ their distance 1 - J is at most eps. The result is each document's set size and
 1. Seeds. Texts about nothing in common all lie at distance 1 from each other and from any pivot, where
    the triangle inequality tells nothing. So documents are first gathered around seeds: a set is cut
    by hash into more slices than two linked sets of its size can differ in, so they agree on at least
-   one slice. Documents with an equal slice share a seed, the least id among them. Only a spanning
-   forest of these meetings leaves a task, never pairs. Their components are the outer regions; every
-   link lies within one, and documents that meet nobody are done without their sets being sent.
+   as many slices as there are more (see Slices), less those that are empty. Signatures of slices are counted, and those that
+   several documents have go back to these. A set whose links share t of its signatures keeps all but its t - 1
+   most frequent ones, so common phrases hardly chain documents. What is equal of the kept signatures is a
+   meeting, named by the least id. Only a spanning forest of the meetings leaves a task, never pairs. Their components
+   are the outer regions; every link lies within one, and documents that meet nobody are done without their
+   sets being sent. Of equal sets (128-bit hashes of them) one document stands for the others from here on.
 2. Pivots. A region of more than LEAF documents is split by pivots: each document goes to its nearest
    pivot's Voronoi region, and also to each other pivot p with d(x, p) <= d(x, nearest) + 2 eps. By the
    triangle inequality two linked documents then meet in the region of either one's nearest pivot.
    Links to pivots are settled on the way, and a region whose documents are already connected is done.
 3. Recursion ends at LEAF documents, or where pivots don't separate; these are compared exactly.
 
-A region of at most MAX_REGION shingles is split within one task. Seeds that follow common phrases can chain
+A region of at most MAX_REGION shingles is split within one task. Common phrases may still chain
 unrelated documents to a larger one, and these pivots don't separate. So a larger one is first seeded
 again: shingles are counted in the region and ordered from rare to common. Linked sets share one
 of the least shingles of each, as many as a linked set may lack and one more (prefix filter). Shingles that one
@@ -48,6 +51,7 @@ from pyspark.sql import functions as F
 
 from siftmark.llm.components import components
 from siftmark.llm.packets import Gather, empty_packets, pack, part_count, reduce_parts, schema
+from siftmark.llm.quality_rules import id_filter, likely
 from siftmark.llm.textbatch import U64, TextSlice, chain, mix, slices
 from siftmark.sources.scratch import written
 
@@ -61,8 +65,19 @@ BLOCK = 4096
 LEVELS = 3
 SALTS = 32
 SLACK = 1e-9
+#: The bits above these of a signature are its group's code; the code of whole sets.
+CODE = U64(57)
+WHOLE = 2 * (SALTS + 1)
+#: Makes the second hash of a whole set.
+SECOND = U64(0x8CB92BA72F3D8DD7)
 
 SIGNATURE = {"sig": np.uint64, "doc": np.int64}
+#: Kinds of rows of `seed_meetings`: a document and the size of its set (NO_ID: the id is null), a meeting, a document with an equal set and
+#: the one that stands for it, a signature (`more` is a second hash of a whole set), a group and how many of its signatures a link shares.
+DOC, EDGE, NO_ID, COPY, SIGNED, GROUP = range(6)
+MET = SIGNATURE | {"kind": np.int8}
+SIGNATURES = MET | {"more": np.uint64}
+SHARED = MET | {"n": np.int32}
 #: A shingle of a document with the number of documents that have it; 0: `sig` is the document's allowance (`allowance`).
 COUNTED = SIGNATURE | {"n": np.int32}
 #: Bits of a shingle's hash that are not sent when shingles are counted: equal rests only make a region larger.
@@ -125,10 +140,25 @@ def slice_count(low: int, high: int, percent: int) -> tuple[int, int]:
 
 def slice_signatures(values: np.ndarray, edges: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the non-empty slices of each set, for its size class and the one below."""
+    return grouped_signatures(values, edges, percent)[:2]
+
+
+def coded(sigs: np.ndarray, codes: np.ndarray | int) -> np.ndarray:
+    """Signatures with the code of their group in the high bits."""
+    return (sigs >> U64(64 - CODE)) | (np.asarray(codes).astype(U64) << CODE)
+
+
+def grouped_signatures(values: np.ndarray, edges: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Signatures and their sets; and of each group of signatures of a set: set, code, signatures that a linked set shares.
+
+    A group is what one salt cuts at one size class. A linked set shares so many of the signatures of at least one
+    group with the same code, as its empty slices can be no more than that group's among the equal ones.
+    """
     sizes = np.diff(edges)
     classes = size_classes(percent, int(sizes.max(initial=1)))
     own = np.searchsorted(classes, sizes, side="right") - 1
     sigs, docs = [], []
+    groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for shift in (0, 1):
         level = own - shift
         todo = np.flatnonzero((sizes > 0) & (level >= 0))
@@ -153,20 +183,27 @@ def slice_signatures(values: np.ndarray, edges: np.ndarray, percent: int) -> tup
             cells = sorted_cells[first]
             of = np.searchsorted(base, cells, side="right") - 1
             key = (cells - base[of]).astype(U64) * U64(0x9FB21C651E98DF25) + level[todo[of]].astype(U64) * U64(0xD1B54A32D192ED03)
-            sigs.append(mix(sums + mix(key + U64(salt))))
+            code = (level[todo] % 2) * (SALTS + 1) + salt
+            sigs.append(coded(mix(sums + mix(key + U64(salt))), code[of]))
             docs.append(todo[of])
             empty = count[level[todo]] - np.bincount(of, minlength=len(todo))
-            todo = todo[empty > slack[level[todo]]]
+            spare = slack[level[todo]] - empty
+            groups.append((todo, code, np.maximum(spare, 0) + 1))
+            todo = todo[spare < 0]
             salt += 1
         single = np.concatenate([single, todo])
-        for i in single:
-            sigs.append(mix(values[edges[i] : edges[i + 1]] + U64(level[i] + 2)))
+        code = (level[single] % 2) * (SALTS + 1) + SALTS
+        groups.append((single, code, -(-percent * sizes[single] // 100)))
+        for i, c in zip(single, code, strict=True):
+            sigs.append(coded(mix(values[edges[i] : edges[i + 1]] + U64(level[i] + 2)), c))
             docs.append(np.full(sizes[i], i))
     full = np.flatnonzero(sizes > 0)
     if len(full):
-        sigs.append(mix(np.add.reduceat(mix(values), edges[:-1][full]) + U64(1)))
+        sigs.append(coded(mix(np.add.reduceat(mix(values), edges[:-1][full]) + U64(1)), WHOLE))
         docs.append(full)
-    return (np.concatenate(sigs), np.concatenate(docs)) if sigs else (np.zeros(0, U64), np.zeros(0, np.int64))
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(sigs) if sigs else np.zeros(0, U64), np.concatenate([none, *docs]),
+            *(np.concatenate([none, *x]) for x in zip(*groups, strict=True)))
 
 
 def meeting_edges(sigs: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -307,12 +344,70 @@ def join_regions(regions: np.ndarray, ids: np.ndarray, blobs: list[bytes], perce
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def copies_of(sigs: np.ndarray, more: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of documents with equal sets (128 bits): the first by `docs` that stands for the others, and each of these."""
+    order = np.lexsort((docs, more, sigs))
+    s, m = sigs[order], more[order]
+    first = np.append(True, (s[1:] != s[:-1]) | (m[1:] != m[:-1])) if len(s) else np.zeros(0, bool)
+    return order[np.flatnonzero(first)[np.cumsum(first) - 1]][~first], order[~first]
+
+
+def shared_signatures(x: dict[str, np.ndarray], count: int) -> Iterator[pa.RecordBatch]:
+    """Packets by document of the signatures that several documents have, with the number of these; of equal sets; and of all other rows."""
+    rest, whole = x["kind"] != SIGNED, x["sig"] >> CODE == WHOLE
+    whole &= ~rest
+    lead, copy = copies_of(x["sig"][whole], x["more"][whole], x["doc"][whole])
+    a, b = x["doc"][whole][lead], x["doc"][whole][copy]
+    a, b = a[a != b], b[a != b]
+    sliced = ~rest & ~whole
+    order = np.lexsort((x["doc"][sliced], x["sig"][sliced]))
+    sig, doc, n = x["sig"][sliced][order], x["doc"][sliced][order], np.zeros(0, np.int64)
+    if len(sig):
+        first = np.append(True, sig[1:] != sig[:-1])
+        new = first | np.append(True, doc[1:] != doc[:-1])
+        first = np.flatnonzero(first)
+        n = np.repeat(np.add.reduceat(new, first, dtype=np.int64), np.diff(np.append(first, len(sig))))
+        sig, doc, n = sig[n > 1], doc[n > 1], n[n > 1]
+    kind = np.repeat(np.array([COPY, SIGNED], np.int8), [len(a), len(sig)])
+    doc = np.concatenate([x["doc"][rest], b, doc])
+    yield from pack({"sig": np.concatenate([x["sig"][rest], a.view(U64), sig]), "doc": doc, "kind": np.append(x["kind"][rest], kind),
+                     "n": np.append(np.zeros(rest.sum() + len(a)), n).astype(np.int32)}, np.mod(doc, count), count)
+
+
+def rare_signatures(x: dict[str, np.ndarray], count: int) -> Iterator[pa.RecordBatch]:
+    """Packets by signature of what each group keeps of its shared signatures; and of documents and copies.
+
+    Of a group whose links share t of its signatures, all but the t - 1 most frequent are kept: with an order that is the same for
+    all, the least that is shared with a link is among them. A copy keeps none, as another document stands for it.
+    Where rows share an id, their groups can't be told apart, and all are kept.
+    """
+    rest = x["kind"] < SIGNED
+    sig, doc, n, head = x["sig"][~rest], x["doc"][~rest], x["n"][~rest], x["kind"][~rest] == GROUP
+    code = (sig >> CODE).astype(np.int8)
+    order = np.lexsort((sig, n, code, doc))  # a group's own row has no number of documents and so stands first
+    sig, doc, code, head = sig[order], doc[order], code[order], head[order]
+    group = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (code[1:] != code[:-1]))) - 1 if len(sig) else np.zeros(0, np.int64)
+    wanted = np.ones(len(sig), np.int64)
+    wanted[group[head]] = (sig[head] & ((U64(1) << CODE) - U64(1))).astype(np.int64)
+    sig, doc, group = sig[~head], doc[~head], group[~head]
+    shared = np.bincount(group, minlength=len(wanted))
+    place = np.arange(len(sig)) - (np.cumsum(shared) - shared)[group]
+    ids, rows = np.unique(x["doc"][x["kind"] == DOC], return_counts=True)
+    keep = (place <= (shared - wanted)[group]) & ~np.isin(doc, x["doc"][x["kind"] == COPY])
+    keep |= np.isin(doc, ids[rows > 1])
+    sig, doc = sig[keep], doc[keep]
+    yield from pack({"sig": np.append(x["sig"][rest], sig), "doc": np.append(x["doc"][rest], doc), "kind": np.append(x["kind"][rest], np.full(len(sig), SIGNED, np.int8))},
+                    np.append(np.mod(x["doc"][rest], count), (sig % U64(count)).astype(np.int64)), count)
+
+
 def seed_meetings(docs: DataFrame, shingle: int, percent: int, count: int) -> DataFrame:
-    """Rows (kind, a, b): kind 0 is a document and the size of its set, kind 1 an edge of a meeting."""
-    kinds = SIGNATURE | {"kind": np.int8}
+    """Rows (kind, a, b): a document and the size of its set, an edge of a meeting, a document and its copy.
 
+    Three shuffles: all signatures are counted, those that several documents have go back to these, and what they keep meets.
+    """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gather = Gather(kinds, count)
+        gather = Gather(SIGNATURES, count)
+        none = lambda x: np.zeros(len(x), np.uint64)
         for batch in batches:
             known = np.array(batch.column("_id").is_valid())
             ids = batch.column("_id").fill_null(0).to_numpy()
@@ -321,27 +416,37 @@ def seed_meetings(docs: DataFrame, shingle: int, percent: int, count: int) -> Da
                 here = ids[part.low : part.low + part.n]
                 sizes = np.diff(edges).astype(np.uint64)
                 valid = known[part.low : part.low + part.n]
-                yield from gather.add(np.mod(here, count), sig=sizes, doc=here, kind=np.where(valid, 0, 2))
-                sigs, of = slice_signatures(values, edges, percent)
-                sigs, of = sigs[valid[of]], of[valid[of]]
-                a, b = meeting_edges(sigs, here[of])
-                yield from gather.add(np.mod(b, count), sig=a.view(U64), doc=b, kind=np.ones(len(a)))
-                _, lead = np.unique(sigs, return_index=True)  # one of the batch stands for the others
-                sigs, of = sigs[lead], of[lead]
-                yield from gather.add((sigs % U64(count)).astype(np.int32), sig=sigs, doc=here[of], kind=np.full(len(sigs), 3))
+                yield from gather.add(np.mod(here, count), sig=sizes, doc=here, kind=np.where(valid, DOC, NO_ID), more=none(here))
+                sigs, of, *groups = grouped_signatures(values, edges, percent)
+                more = none(sigs)
+                whole = np.flatnonzero(sigs >> CODE == WHOLE)  # one for each set that is not empty, in order
+                if len(whole):
+                    more[whole] = np.add.reduceat(mix(values ^ SECOND), edges[:-1][of[whole]])
+                whole = whole[valid[of[whole]]]
+                lead, copy = (of[whole[k]] for k in copies_of(sigs[whole], more[whole], here[of[whole]]))
+                yield from gather.add(np.mod(here[copy], count), sig=here[lead].view(U64), doc=here[copy], kind=np.full(len(copy), COPY), more=none(copy))
+                sent = valid.copy()
+                sent[copy] = False
+                sigs, of, more = (y[sent[of]] for y in (sigs, of, more))
+                yield from gather.add((sigs % U64(count)).astype(np.int32), sig=sigs, doc=here[of], kind=np.full(len(sigs), SIGNED), more=more)
+                of, code, wanted = (g[sent[groups[0]] & (groups[2] > 1)] for g in groups)
+                head = wanted.astype(U64) | (code.astype(U64) << CODE)
+                yield from gather.add(np.mod(here[of], count), sig=head, doc=here[of], kind=np.full(len(of), GROUP), more=none(of))
         yield from gather.flush()
 
     def meet(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        a, b = meeting_edges(x["sig"][x["kind"] == 3], x["doc"][x["kind"] == 3])
-        doc, edge = x["kind"] % 2 == 0, x["kind"] == 1
+        signed = x["kind"] == SIGNED
+        a, b = meeting_edges(x["sig"][signed], x["doc"][signed])
+        doc, copy = (x["kind"] == DOC) | (x["kind"] == NO_ID), x["kind"] == COPY
         yield pa.record_batch({
-            "kind": np.concatenate([x["kind"][doc], np.ones(edge.sum() + len(a), np.int8)]).astype(np.int32),
-            "a": np.concatenate([x["doc"][doc], x["sig"][edge].view(np.int64), a]),
-            "b": np.concatenate([x["sig"][doc].view(np.int64), x["doc"][edge], b])})
+            "kind": np.concatenate([x["kind"][doc], x["kind"][copy], np.full(len(a), EDGE, np.int8)]).astype(np.int32),
+            "a": np.concatenate([x["doc"][doc], x["sig"][copy].view(np.int64), a]),
+            "b": np.concatenate([x["sig"][doc].view(np.int64), x["doc"][copy], b])})
 
-    packets = docs.mapInArrow(scan, schema(kinds))
+    shared = reduce_parts(docs.mapInArrow(scan, schema(SIGNATURES)), SIGNATURES, lambda x: shared_signatures(x, count), schema(SHARED), lambda: empty_packets(SHARED))
+    rare = reduce_parts(shared, SHARED, lambda x: rare_signatures(x, count), schema(MET), lambda: empty_packets(MET))
     empty = lambda: pa.table({"kind": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    return reduce_parts(packets, kinds, meet, "kind int, a long, b long", empty)
+    return reduce_parts(rare, MET, meet, "kind int, a long, b long", empty)
 
 
 def allowance(size: int, keys: int, percent: int) -> int:
@@ -417,7 +522,8 @@ def prefix_meetings(nodes: DataFrame, percent: int, count: int) -> DataFrame:
 
 
 def with_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """(region, _id, set) of the documents that have met others."""
+    """(region, _id, set) of the documents that have met others. Only these and a filter's few wrong hits are shuffled."""
+    docs = likely(docs, id_filter(members.select(F.col("node").alias("_id"))))
     # a share of all texts, so a shuffle at every size; the hint keeps small trials to the plan of large runs
     rows = docs.join(members.withColumnsRenamed({"node": "_id", "component": "region"}).hint("merge"), "_id")
 
@@ -544,8 +650,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     count = part_count(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     met = written(seed_meetings(rows, shingle, percent, count))
-    regions = components(met.where("kind = 1").select("a", "b"))
-    widths = met.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.max("b").alias("n"))
+    regions = components(met.where(F.col("kind") == EDGE).select("a", "b"))
+    widths = met.where(F.col("kind") == DOC).groupBy(F.col("a").alias("node")).agg(F.max("b").alias("n"))
     sizes = regions.join(widths, "node").groupBy("component").agg(F.sum("n").alias("n"))
     large = written(sizes.where(F.col("n") > max_region).select("component"))
     deal = F.pmod(F.xxhash64("region"), F.lit(count)).cast("long")
@@ -567,8 +673,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         edges = edges.unionByName(group_edges(sets.join(small, "_id").withColumn("task", deal), percent))
         if not large.isEmpty():
             edges = edges.unionByName(split_regions(rest, sets, percent, block))
-    found = components(edges)
-    sized_docs = met.where("kind <> 1").select(F.when(F.col("kind") == 0, F.col("a")).alias("_id"), F.col("b").alias("n_shingles"))
+    found = components(edges.unionByName(met.where(F.col("kind") == COPY).select("a", "b")))
+    sized_docs = met.where(F.col("kind").isin(DOC, NO_ID)).select(F.when(F.col("kind") == DOC, F.col("a")).alias("_id"), F.col("b").alias("n_shingles"))
     out = sized_docs.join(found.withColumnsRenamed({"node": "_id"}), "_id", "left")
     return out.select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("component", "_id").alias("component_id"))
 

@@ -14,6 +14,7 @@ from siftmark.llm import decontaminate, jaccard_join, line_dedup, quality_rules,
 from siftmark.llm.compression_quality import fit as fit_compression
 from siftmark.llm.compression_quality import quality_scores
 from siftmark.llm.labelled import labelled_sample
+from siftmark.llm.packets import unpack
 from siftmark.llm.piece_model import library, piece_model, public_model_path
 from siftmark.llm.sentencepiece_codec import Codec, decoded, encoded
 from siftmark.llm.token_counts import CountTransducer, token_counts
@@ -468,6 +469,61 @@ def test_common_phrases_make_no_large_region(spark, monkeypatch):
     assert got == want and sum(i != c for i, (_, c) in want.items()) == 10
 
 
+def test_common_phrases_chain_no_seeds(spark):
+    """Few documents meet that have no link; copies are named, and their texts are not sent."""
+    rng = random.Random(3)
+    phrases = [f"p{k}a p{k}b p{k}c p{k}d" for k in range(30)]
+    rows, near, copies = [], set(), set()
+    for i in range(90):
+        own = [f"d{i}x{k}" for k in range(150)]
+        rows.append((3 * i, " ".join(own + rng.sample(phrases, 10))))
+        if i % 9 == 0:
+            rows.append((3 * i + 1, " ".join([*own[:-1], "z", *rows[-1][1].split()[150:]])))
+            near |= {3 * i, 3 * i + 1}
+        if i % 10 == 0:
+            rows.append((3 * i + 2, rows[-1 if i % 9 else -2][1]))
+            copies.add((3 * i, 3 * i + 2))
+    docs = spark.createDataFrame(rows, "_id long, _text string").repartition(5)
+    met = jaccard_join.seed_meetings(docs, 2, 80, 4).collect()
+    meet = {x for r in met if r.kind == 1 for x in (r.a, r.b)}
+    assert near <= meet and len(meet - near) < 20
+    assert {(r.a, r.b) for r in met if r.kind == 3} == copies
+    assert sorted((r.a, r.b) for r in met if r.kind == 0) == sorted((i, n) for i, (n, _) in brute.jaccard(rows, 2, 80).items())
+
+
+def test_linked_documents_keep_a_signature():
+    """Of linked sets, and of rows that share an id, also where most signatures are frequent."""
+    rng = random.Random(6)
+    for percent in (50, 80, 95):
+        common = [[rng.getrandbits(63) for _ in range(rng.randrange(2, 30))] for _ in range(25)]
+        sets = []
+        for i in range(0, 240, 3):
+            base = [rng.getrandbits(63) for _ in range(rng.randrange(1, 200))] + [v for c in rng.sample(common, rng.randrange(6)) for v in c]
+            for k in range(3):
+                lost = int(len(base) * (100 - percent) / 100 * rng.random() ** 2)
+                sets.append((i + k, sorted({*rng.sample(base, len(base) - lost), *(rng.getrandbits(63) for _ in range(rng.randrange(2)))})))
+        sets += [(i + 3, s) for i, s in sets[::17]] + [(1000 + i, s) for i, s in sets[::13]]
+        ids, values = np.array([i for i, _ in sets]), [np.array(s, np.uint64) for _, s in sets]
+        edges = np.append(0, np.cumsum([len(v) for v in values]))
+        sigs, of, held, code, wanted = jaccard_join.grouped_signatures(np.concatenate(values), edges, percent)
+        heads = wanted.astype(np.uint64) | (code.astype(np.uint64) << jaccard_join.CODE)
+        x = {"sig": np.concatenate([np.diff(edges).astype(np.uint64), sigs, heads]), "doc": np.concatenate([ids, ids[of], ids[held]]),
+             "kind": np.repeat(np.array([0, 4, 5], np.int8), [len(ids), len(sigs), len(heads)])}
+        x["more"] = np.zeros(len(x["sig"]), np.uint64)
+        for step, kinds in ((jaccard_join.shared_signatures, jaccard_join.SHARED), (jaccard_join.rare_signatures, jaccard_join.MET)):
+            x = unpack(pa.Table.from_batches(step(x, 1)), kinds)
+        signed, copy = x["kind"] == 4, x["kind"] == 3
+        a, b = jaccard_join.meeting_edges(x["sig"][signed], x["doc"][signed])
+        label = {int(i): int(i) for i in ids}
+        for i, j in [*zip(a.tolist(), b.tolist(), strict=True), *zip(x["sig"][copy].tolist(), x["doc"][copy].tolist(), strict=True)]:
+            label = {k: label[i] if v == label[j] else v for k, v in label.items()}
+        for m, (i, s) in enumerate(sets):
+            for j, t in sets[:m]:
+                both = len(set(s) & set(t))
+                assert 100 * both < percent * (len(s) + len(t) - both) or label[i] == label[j]
+        assert signed.sum() < 0.7 * len(sigs)
+
+
 def test_linked_documents_meet_in_their_prefixes(spark):
     """Also where rows share an id; prefixes hold no more than they need."""
     rng = random.Random(8)
