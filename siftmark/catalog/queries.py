@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import AbstractContextManager, contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from siftmark.plans import audit, feeds
 from siftmark.plans import recommend as rec
 from siftmark.plans import warehouse as wh
 from siftmark.plans.build import RawFiles, build, current_views
-from siftmark.sources.readers import FILE_ORDER, read_csv, read_csv_after_preamble, read_table
+from siftmark.sources.readers import FILE_ORDER, block_bytes, read_csv, read_csv_after_preamble, read_table, setting
 from siftmark.sources.scratch import scratch_folder, written
 from siftmark.sources.writers import export_tables, normalise_for_export, register_views, write_profile
 from siftmark.spec import SUSPICIOUS_TOKENS, MarketSpec
@@ -512,22 +511,6 @@ def label_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 WRITE_BLOCK = 32 << 20
 
 
-@contextmanager
-def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A setting of the session for a while."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
-def block_bytes(spark: SparkSession, size: int) -> AbstractContextManager[None]:
-    """Files are read in blocks of at most so many bytes."""
-    return setting(spark, "spark.sql.files.maxPartitionBytes", str(size))
-
-
 @query
 def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with line breaks, written as CSV and read in blocks: what differs from the source, by language.
@@ -539,8 +522,7 @@ def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/texts"
     with setting(spark, "spark.sql.files.minPartitionNum", "1"), block_bytes(spark, WRITE_BLOCK):
         docs.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
-    with block_bytes(spark, 100_000):
-        found = written(read_csv(spark, path, ordered=True))
+    found = written(read_csv(spark, path, ordered=True, block=100_000))
     several = found.agg(F.min("_block") < F.max("_block")).first()[0]
     changed = content_differences(docs, found.drop(*FILE_ORDER), ["lang", "doc_id"]).groupBy("lang").agg(F.count(F.lit(1)).alias("differing"))
     rows = found.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text")).alias("characters"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ POPULATION_SCHEMA = "country_name string, iso3_code string, year bigint, populat
 #: Place of a row: file, start of its block, running number in the task.
 FILE_ORDER = ["_file", "_block", "_row"]
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
+#: Bytes of small file blocks that one task reads.
+TASK_BYTES = 32 << 20
 #: What Spark's parser gives for a quoted empty field, so that it differs from a missing one.
 EMPTY = "\u0001"
 
@@ -44,6 +47,33 @@ def file_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def block_bytes(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """Files are read in blocks of at most so many bytes."""
+    return setting(spark, "spark.sql.files.maxPartitionBytes", str(size))
+
+
+def in_fewer_tasks(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """The same blocks of files, those that are small read one after another by a task instead of by a task each.
+
+    A task gets no more than TASK_BYTES of blocks of the greatest size, and every core still gets some. Places stay as they are.
+    """
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    blocks = lines._jdf.rdd().getNumPartitions()
+    tasks = max(-(-blocks * size // TASK_BYTES), 2 * spark.sparkContext.defaultParallelism)
+    return lines.coalesce(tasks) if tasks < blocks else lines
+
+
 def quote_count(c: str) -> Column:
     return F.length(c) - F.length(F.replace(F.col(c), F.lit('"'), F.lit("")))
 
@@ -61,7 +91,7 @@ def block_quotes(lines: DataFrame) -> DataFrame:
     return blocks.select("_file", "_block", inside.alias("_inside"), (F.col("_odd") > 0).alias("_crosses"))
 
 
-def _block_records(inside_blocks: set[tuple[str, int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _block_records(inside_blocks: dict[str, set[int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Joins the lines of each block to records and marks those that begin or end in another block.
 
     Lines come in the order of the scan. A task keeps its last unfinished record only.
@@ -79,7 +109,8 @@ def _block_records(inside_blocks: set[tuple[str, int]]) -> Callable[[Iterator[pa
             file, block = names.indices.to_numpy(), lines["_block"].to_numpy()
             new = np.append(True, (file[1:] != file[:-1]) | (block[1:] != block[:-1]))
             first = np.flatnonzero(new)
-            state = np.array([(names.dictionary[file[k]].as_py(), int(block[k])) in inside_blocks for k in first], np.int64)
+            inside_of = [inside_blocks.get(name, ()) for name in names.dictionary.to_pylist()]
+            state = np.array([int(block[k]) in inside_of[file[k]] for k in first], np.int64)
             if kept is not None:  # the first lines go on from the batch before
                 state[0] = kept_inside
             of = np.cumsum(new) - 1
@@ -110,21 +141,27 @@ def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Rec
     yield True, None
 
 
-def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+def csv_records(spark: SparkSession, path: str, block: int | None = None) -> tuple[DataFrame, bool]:
     """(value, _file, _block, _row): CSV records as text, where quoted fields may hold line breaks; and whether any does.
 
     Files are read in blocks by many tasks. Quote parities tell each block whether it starts inside
     a quoted field; it joins its own lines to records, and what a block holds of a record
     that began in an earlier one is handed back to it. Only these pieces, at most two a block,
     are shuffled. Line feeds inside quotes stay, and so do carriage returns; a record whose quote never closes
-    reaches to the end of its file. If no line of the input has an open quote, records are the lines.
+    reaches to the end of its file. If no line of the input has an open quote, records are the lines. With ``block`` the
+    files, and not what is stored on the way, are read in blocks of so many bytes.
     """
-    lines = file_lines(spark, path)
+    with nullcontext() if block is None else block_bytes(spark, block):
+        return _csv_records(spark, path)
+
+
+def _csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+    lines = in_fewer_tasks(spark, file_lines(spark, path))
     blocks = written(block_quotes(lines))
     if blocks.filter("_crosses").isEmpty():
         return lines, False
-    # no more than one row a block
-    inside = {(r["_file"], r["_block"]) for r in blocks.filter("_inside").collect()}
+    # one row a file, with no more than one number a block
+    inside = {r["_file"]: set(r["_blocks"]) for r in blocks.filter("_inside").groupBy("_file").agg(F.collect_list("_block").alias("_blocks")).collect()}
     marked = lines.withColumn("_odd", F.pmod(quote_count("value"), F.lit(2)))
     schema = "value string, _file string, _block bigint, _row bigint, _begins boolean, _ends boolean"
     found = written(marked.mapInArrow(_block_records(inside), schema))
@@ -152,23 +189,24 @@ def header_names(record: str, sep: str = ",") -> list[str]:
     return [n if n else f"_unnamed_{i}" for i, n in enumerate(names)]
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ",", ordered: bool = False, keep_empty: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, sep: str = ",", ordered: bool = False, keep_empty: bool = False, block: int | None = None) -> DataFrame:
     """CSV with a header line; columns are taken by name, so extra columns do no harm.
 
     Quoted fields may hold line breaks, and files are still read by many tasks: the input
     is looked through once for quotes that stay open at a line end (a job that runs here). If there are none, Spark's own
     reader takes the lines as they are; otherwise records are put together first. ``ordered`` adds the place of each row (``FILE_ORDER``).
-    Empty fields are NULL; with ``keep_empty`` quoted ones are empty text.
+    Empty fields are NULL; with ``keep_empty`` quoted ones are empty text. With ``block`` the files are looked through, and records
+    put together, in blocks of so many bytes.
     """
     if keep_empty:
-        rows = _read_csv(spark, path, sep, ordered, {**CSV_OPTIONS, "emptyValue": EMPTY})
+        rows = _read_csv(spark, path, sep, ordered, {**CSV_OPTIONS, "emptyValue": EMPTY}, block)
         fields = [c for c in rows.columns if c not in FILE_ORDER]
         return rows.withColumns({c: F.when(F.col(f"`{c}`") != EMPTY, F.col(f"`{c}`")).when(F.col(f"`{c}`") == EMPTY, F.lit("")) for c in fields})
-    return _read_csv(spark, path, sep, ordered, CSV_OPTIONS)
+    return _read_csv(spark, path, sep, ordered, CSV_OPTIONS, block)
 
 
-def _read_csv(spark: SparkSession, path: str, sep: str, ordered: bool, options: Mapping[str, str]) -> DataFrame:
-    records, assembled = csv_records(spark, path)
+def _read_csv(spark: SparkSession, path: str, sep: str, ordered: bool, options: Mapping[str, str], block: int | None) -> DataFrame:
+    records, assembled = csv_records(spark, path, block)
     if not assembled:
         rows = spark.read.options(header=True, sep=sep, **options).csv(path)
         return rows.withColumns({

@@ -224,3 +224,35 @@ def test_texts_are_written_and_put_together_by_many_tasks(spark, tmp_path, monke
     assert len(list((tmp_path / "scratch" / "texts").glob("*.csv"))) > 1
     by_file = re.findall(r"Exchange hashpartitioning\(_file#\d+, \d+\).*\n.*", plan(readers.csv_records(spark, f"{tmp_path}/scratch/texts")[0]))
     assert by_file and not any("value#" in x for x in by_file)
+
+
+def test_small_blocks_share_tasks(spark, tmp_path, monkeypatch):
+    """Of many blocks of 100 KB a task reads several, and what is stored on the way isn't read in such blocks."""
+    docs = [(i, "a", f"line {i} x\n" * 500 + 'x"y') for i in range(1500)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "scratch_folder", lambda _: f"{tmp_path}/scratch")
+    spark.sparkContext.setJobGroup("small blocks", "")
+    try:
+        [found] = queries.csv_quoted_breaks(spark, str(tmp_path)).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert (found.rows, found.characters, found.differing, found.several_blocks) == (1500, sum(len(t) + 18 for *_, t in docs), 0, True)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(k) for j in tracker.getJobIdsForGroup("small blocks") for k in tracker.getJobInfo(j).stageIds]
+    blocks = sum(f.stat().st_size for f in (tmp_path / "scratch" / "texts").glob("*.csv")) // 100_000
+    assert blocks > 80 and max(s.numTasks for s in stages if s) < 40
+
+
+def test_blocks_in_one_task_keep_their_places(spark, tmp_path, blocks):
+    data = odd_fields(11, 400)
+    for k in range(2):
+        with open(tmp_path / f"part-{k}.csv", "w", newline="") as f:
+            csv.writer(f, lineterminator="\n").writerows([("k", "text", "more"), *data[k::2]])
+    plain = sorted(tuple(r) for r in readers.read_csv(spark, str(tmp_path)).collect())
+    found = readers.read_csv(spark, str(tmp_path), ordered=True, block=50)
+    assert sorted(tuple(r)[:3] for r in found.collect()) == plain == sorted(data)
+    assert [tuple(r)[:3] for r in found.orderBy(*readers.FILE_ORDER).collect()] == [*data[::2], *data[1::2]]
+    assert found.select("_block").distinct().count() > 100
+    blocks(50)
+    lines = readers.file_lines(spark, str(tmp_path))
+    assert readers.in_fewer_tasks(spark, lines).rdd.getNumPartitions() <= max(2 * spark.sparkContext.defaultParallelism, 1) < lines.rdd.getNumPartitions()
